@@ -77,7 +77,7 @@ def pattern_marker(col: Column | str, patterns: Mapping[str, str]) -> Column:
 
 def fixed_point(col: Column | str, places: int = 2) -> Column:
     """Fixed number of decimals, halves to even, no grouping."""
-    return F.format_number(_col(col), "0." + "0" * places if places else "0")
+    return F.call_function("format_number", _col(col), F.lit("0." + "0" * places if places else "0"))
 
 
 def percent_text(col: Column | str, places: int = 1) -> Column:

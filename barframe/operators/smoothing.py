@@ -10,6 +10,10 @@ running sum and one carried number:
   weight falls below the smallest double after a fixed number of blocks. Taking that many
   is the whole carry in double arithmetic, so a block looks back over a few block ends and
   never over its series.
+
+A signal, the mean of the difference of two means, is carried the same way: a mean ``y``
+at the end of a block adds ``a * sum(y * r**j * q**(m - j), j = 1..m)`` to the signal m rows
+later (r is the factor of the mean, q that of the signal), which has a closed form.
 """
 
 from __future__ import annotations
@@ -18,7 +22,7 @@ import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barframe.operators.blocks import SERIES_KEYS, block_window, row_blocks, row_ordinal
@@ -41,6 +45,27 @@ class Ewm:
     def span(cls, col: str, span: int, start: int = 0) -> Ewm:
         return cls(col, 2.0 / (span + 1), span, start)
 
+    @property
+    def first(self) -> int:
+        """Row of the first value."""
+        return self.start + self.min_periods - 1
+
+
+@dataclass(frozen=True)
+class Signal:
+    """The mean, with weight ``alpha``, of the mean named ``fast`` less the mean named ``slow``,
+    from row ``start`` on."""
+
+    fast: str
+    slow: str
+    alpha: float
+    min_periods: int
+    start: int
+
+    @property
+    def first(self) -> int:
+        return self.start + self.min_periods - 1
+
 
 def _digits(alpha: float) -> float:
     """Decimal digits by which the weight of a value fades per row."""
@@ -50,7 +75,8 @@ def _digits(alpha: float) -> float:
 def block_size(alphas: Sequence[float]) -> int:
     """Largest power of two up to 65536 that keeps the factors in range, and not more than
     are needed to reach 2048 rows with a look-back of at most 8 blocks."""
-    fastest, slowest = max(map(_digits, alphas)), min(map(_digits, alphas))
+    moving = [a for a in alphas if a < 1] or [0.5]
+    fastest, slowest = max(map(_digits, moving)), min(map(_digits, moving))
     size = 64
     while size < 65536 and 2 * size * fastest <= FACTOR_LIMIT:
         if size >= 2048 and FADE_DIGITS / (size * slowest) <= 8:
@@ -63,55 +89,78 @@ def _look_back(size: int, alphas: Sequence[float]) -> int:
     return math.ceil(FADE_DIGITS / (size * min(map(_digits, alphas)))) + 1
 
 
+def _power(alpha: float, exponent: Column) -> Column:
+    return F.pow(F.lit(1.0 - alpha), exponent)
+
+
+def _response(alpha: float, signal: float, m: Column) -> Column:
+    """What a mean with weight ``alpha`` and value 1 adds to a signal with weight ``signal``
+    over the next m rows without input."""
+    r, q = 1.0 - alpha, 1.0 - signal
+    if r == q:
+        return m * F.pow(F.lit(q), m) * signal
+    return (_power(alpha, m) - _power(signal, m)) * (signal * r / (r - q))
+
+
 def smooth_blocks(
-    blocks: DataFrame, means: Mapping[str, Ewm], size: int, keys: Sequence[str] = SERIES_KEYS
+    blocks: DataFrame, means: Mapping[str, Ewm], size: int, keys: Sequence[str] = SERIES_KEYS,
+    signals: Mapping[str, Signal] | None = None,
 ) -> DataFrame:
-    """Add ``means`` to rows that carry ``rn`` and ``blk`` (core rows only)."""
-    if any(not 0 < m.alpha <= 1 for m in means.values()):
-        raise ValueError("alpha must be above 0 and at most 1")
+    """Add ``means``, and ``signals`` made of them, to rows that carry ``rn`` and ``blk`` (core rows only)."""
+    signals = signals or {}
+    everything = {**means, **signals}
+    alphas = [m.alpha for m in everything.values()]
+    if not all(0 < a < 1 for a in alphas):
+        raise ValueError("alpha must be above 0 and below 1")
+    if size * max(map(_digits, alphas)) > 300:
+        raise ValueError("blocks too long for these weights")
+    if any(s.start >= size for s in signals.values()):
+        raise ValueError("a signal must start in the first block")
     keys = list(keys)
-    identity = {n: m for n, m in means.items() if m.alpha == 1}
-    moving = {n: m for n, m in means.items() if m.alpha < 1}
-    out = blocks
-    if moving:
-        alphas = [m.alpha for m in moving.values()]
-        if size * max(map(_digits, alphas)) > 300:
-            raise ValueError("block too long for these weights")
-        place = F.col("rn") - F.col("blk") * size
-        w = block_window(keys)
-        local = {}
-        for name, m in moving.items():
-            share = F.when(F.col("rn") == m.start, F.col(m.col)).when(F.col("rn") > m.start, F.col(m.col) * m.alpha)
-            q = F.lit(1.0 - m.alpha)
-            running = F.sum(share * F.pow(q, -place)).over(w)
-            local[f"__{name}"] = F.coalesce(running, F.lit(0.0)) * F.pow(q, place)
-        summed = out.withColumns(local)
-        steps = F.explode(F.sequence(F.lit(1), F.lit(_look_back(size, alphas)))).alias("__k")
-        carry = (
-            summed.where(place == size - 1)
-            .select(*keys, "blk", *local, steps)
-            .groupBy(*keys, (F.col("blk") + F.col("__k")).alias("blk"))
-            .agg(
-                *[
-                    F.sum(F.col(f"__{n}") * F.pow(F.lit(1.0 - m.alpha), (F.col("__k") - 1) * size)).alias(f"__carry_{n}")
-                    for n, m in moving.items()
-                ]
-            )
+    rn, place = F.col("rn"), F.col("rn") - F.col("blk") * size
+    so_far = block_window(keys).rowsBetween(Window.unboundedPreceding, 0)
+
+    def running(value: Column, m: Ewm | Signal) -> Column:
+        share = F.when(rn == m.start, value).when(rn > m.start, value * m.alpha)
+        total = F.sum(share * _power(m.alpha, -place)).over(so_far)
+        return F.coalesce(total, F.lit(0.0)) * _power(m.alpha, place)
+
+    local = blocks.select("*", *[running(F.col(m.col), m).alias(f"__{n}") for n, m in means.items()])
+    if signals:
+        local = local.select(
+            "*", *[running(F.col(f"__{s.fast}") - F.col(f"__{s.slow}"), s).alias(f"__{n}") for n, s in signals.items()]
         )
-        out = summed.join(carry, [*keys, "blk"], "left").withColumns(
-            {
-                n: F.when(
-                    F.col("rn") >= m.start + m.min_periods - 1,
-                    F.col(f"__{n}")
-                    + F.coalesce(F.col(f"__carry_{n}"), F.lit(0.0)) * F.pow(F.lit(1.0 - m.alpha), place + 1),
-                )
-                for n, m in moving.items()
-            }
-        )
-    out = out.withColumns(
-        {n: F.when(F.col("rn") >= m.start + m.min_periods - 1, F.col(m.col)) for n, m in identity.items()}
-    ) if identity else out
-    return out.select(*[c for c in blocks.columns if c not in means], *means)
+
+    rows_between = (F.col("__k") - 1) * size
+
+    def later(m: Column, prefix: str) -> dict[str, Column]:
+        """All values m rows after the ones in the prefixed columns, without input."""
+        out = {n: F.col(prefix + n) * _power(e.alpha, m) for n, e in everything.items()}
+        for n, s in signals.items():
+            fast, slow = means[s.fast], means[s.slow]
+            out[n] = (
+                out[n]
+                + F.col(prefix + s.fast) * _response(fast.alpha, s.alpha, m)
+                - F.col(prefix + s.slow) * _response(slow.alpha, s.alpha, m)
+            )
+        return out
+
+    ends = local.where(place == size - 1).select(
+        *keys, "blk", *[f"__{n}" for n in everything],
+        F.explode(F.sequence(F.lit(1), F.lit(_look_back(size, alphas)))).alias("__k"),
+    )
+    carry = ends.groupBy(*keys, (F.col("blk") + F.col("__k")).alias("blk")).agg(
+        *[F.sum(v).alias(f"__carry_{n}") for n, v in later(rows_between, "__").items()]
+    )
+    joined = local.join(carry, [*keys, "blk"], "left")
+    faded = later(place + 1, "__carry_")
+    return joined.select(
+        *[c for c in blocks.columns if c not in everything],
+        *[
+            F.when(rn >= m.first, F.col(f"__{n}") + F.coalesce(faded[n], F.lit(0.0))).alias(n)
+            for n, m in everything.items()
+        ],
+    )
 
 
 def ewma(
@@ -121,16 +170,19 @@ def ewma(
 
     The columns may hold NULL only before the ``start`` row of their mean.
     """
-    size = size or block_size([m.alpha for m in means.values() if m.alpha < 1] or [0.5])
+    moving = {n: m for n, m in means.items() if m.alpha != 1}
+    size = size or block_size([m.alpha for m in means.values()])
     numbered = df if "rn" in df.columns else row_ordinal(df, keys)
-    blocks = row_blocks(numbered, size=size)
-    return smooth_blocks(blocks, means, size, keys).drop("blk", "core")
+    out = smooth_blocks(row_blocks(numbered, size=size), moving, size, keys).drop("blk", "core") if moving else numbered
+    # alpha = 1 is the value itself.
+    same = {n: F.when(F.col("rn") >= m.first, F.col(m.col)) for n, m in means.items() if n not in moving}
+    return out.withColumns(same) if same else out
 
 
 # ---- indicators ---------------------------------------------------------------------
 
 
-def move_cols(col: str, w) -> dict:
+def move_cols(col: str, w) -> dict[str, Column]:
     """Size of the rise and of the fall against the row before; 0 on the first row."""
     move = F.col(col) - F.lag(col, 1).over(w)
     return {"__rise": F.when(move > 0, move).otherwise(0.0), "__fall": F.when(move < 0, -move).otherwise(0.0)}
@@ -143,7 +195,7 @@ def rsi_means(window: int) -> dict[str, Ewm]:
     }
 
 
-def rsi_col():
+def rsi_col() -> Column:
     up, down = F.col("__rise_mean"), F.col("__fall_mean")
     return F.when(down == 0, F.lit(100.0)).otherwise(100 - 100 / (1 + F.try_divide(up, down)))
 
@@ -152,8 +204,12 @@ def macd_means(col: str, fast: int, slow: int) -> dict[str, Ewm]:
     return {"__fast": Ewm.span(col, fast), "__slow": Ewm.span(col, slow)}
 
 
-def macd_signal(slow: int, sign: int) -> dict[str, Ewm]:
-    return {"__signal": Ewm.span("__line", sign, start=slow - 1)}
+def macd_signal(slow: int, sign: int) -> dict[str, Signal]:
+    return {"__signal": Signal("__fast", "__slow", 2.0 / (sign + 1), sign, slow - 1)}
+
+
+def macd_col() -> Column:
+    return F.col("__fast") - F.col("__slow") - F.col("__signal")
 
 
 def rsi(
@@ -161,16 +217,11 @@ def rsi(
 ) -> DataFrame:
     """Relative strength on Wilder means; 100 where the mean fall is 0, NULL in the first ``window - 1`` rows."""
     means = rsi_means(window)
-    size = block_size([m.alpha for m in means.values() if m.alpha < 1] or [0.5])
+    size = block_size([m.alpha for m in means.values()])
     numbered = df if "rn" in df.columns else row_ordinal(df, keys)
-    moves = (
-        row_blocks(numbered, before=1, size=size).withColumns(move_cols(col, block_window(keys))).where("core")
-    )
-    return (
-        smooth_blocks(moves, means, size, keys)
-        .withColumn(out, rsi_col())
-        .select(*[c for c in df.columns if c != out], out)
-    )
+    moves = row_blocks(numbered, before=1, size=size).withColumns(move_cols(col, block_window(keys))).where("core")
+    rest = [c for c in df.columns if c != out]
+    return smooth_blocks(moves, means, size, keys).select(*rest, rsi_col().alias(out))
 
 
 def macd_diff(
@@ -179,13 +230,7 @@ def macd_diff(
 ) -> DataFrame:
     """Fast minus slow mean, less the mean of that line; first value on row ``slow + sign - 2``."""
     means, signal = macd_means(col, fast, slow), macd_signal(slow, sign)
-    size = block_size([m.alpha for m in (*means.values(), *signal.values()) if m.alpha < 1] or [0.5])
+    size = block_size([m.alpha for m in (*means.values(), *signal.values())])
     numbered = df if "rn" in df.columns else row_ordinal(df, keys)
-    lines = smooth_blocks(row_blocks(numbered, size=size), means, size, keys).withColumn(
-        "__line", F.col("__fast") - F.col("__slow")
-    )
-    return (
-        smooth_blocks(lines, signal, size, keys)
-        .withColumn(out, F.col("__line") - F.col("__signal"))
-        .select(*[c for c in df.columns if c != out], out)
-    )
+    lines = smooth_blocks(row_blocks(numbered, size=size), means, size, keys, signal)
+    return lines.select(*[c for c in df.columns if c != out], macd_col().alias(out))

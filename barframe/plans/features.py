@@ -45,15 +45,9 @@ def add_returns(
         )
         .where("core")
     )
-    lines = (
-        sm.smooth_blocks(framed, means, size, keys)
-        .withColumn("rsi", sm.rsi_col())
-        .withColumn("__line", F.col("__fast") - F.col("__slow"))
-    )
-    return (
-        sm.smooth_blocks(lines, signal, size, keys)
-        .withColumn("macd", F.col("__line") - F.col("__signal"))
-        .select(*numbered.columns, *RETURN_COLUMNS)
+    return sm.smooth_blocks(framed, means, size, keys, signal).select(
+        *numbered.columns, "return", "return_1h", "target", sm.rsi_col().alias("rsi"), sm.macd_col().alias("macd"),
+        "volatility",
     )
 
 

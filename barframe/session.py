@@ -50,3 +50,14 @@ def cut_lineage(df):
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_dir(spark))
     return df.checkpoint()
+
+
+def stored(df, name: str = "table"):
+    """``df`` as a parquet table of the shared folder: computed once, then read by column.
+
+    For a table that several branches of a plan read. It outlives executors, and each branch
+    scans only the columns it needs.
+    """
+    path = shared_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
