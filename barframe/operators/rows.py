@@ -53,9 +53,9 @@ def latest_row(df: DataFrame, keys: Sequence[str] = (), time_col: str = "ts") ->
     if not keys:
         return df.orderBy(F.col(time_col).desc()).limit(1)
     rest = [c for c in df.columns if c not in (*keys, time_col)]
-    last = F.max_by(F.struct(*rest), time_col) if rest else F.lit(None)
-    out = df.groupBy(*keys).agg(F.max(time_col).alias(time_col), last.alias("__row"))
-    return out.select(*[F.col(f"__row.{c}").alias(c) if c in rest else F.col(c) for c in df.columns])
+    # One max_by per column: over numbers this stays a hash aggregate, over a struct it would sort.
+    last = [F.max_by(c, time_col).alias(c) for c in rest]
+    return df.groupBy(*keys).agg(F.max(time_col).alias(time_col), *last).select(*df.columns)
 
 
 def head_rows(df: DataFrame, order: Sequence[str | Column], max_rows: int = 20, keys: Sequence[str] = ()) -> DataFrame:

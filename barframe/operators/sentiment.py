@@ -90,10 +90,10 @@ def parsed_html_nodes(
 
 
 def headline_score(
-    text: Column | str, positive: Sequence[str] = POSITIVE_WORDS, negative: Sequence[str] = NEGATIVE_WORDS
+    lowered: Column | str, positive: Sequence[str] = POSITIVE_WORDS, negative: Sequence[str] = NEGATIVE_WORDS
 ) -> Column:
-    """+1 if a positive word occurs, else -1 if a negative one does, else 0."""
-    return F.when(any_word(text, positive), 1).when(any_word(text, negative), -1).otherwise(0)
+    """+1 if a positive word occurs in the lower-cased text, else -1 if a negative one does, else 0."""
+    return F.when(any_word(lowered, positive), 1).when(any_word(lowered, negative), -1).otherwise(0)
 
 
 def sentiment_score(
@@ -101,5 +101,7 @@ def sentiment_score(
     positive: Sequence[str] = POSITIVE_WORDS, negative: Sequence[str] = NEGATIVE_WORDS, out: str = "sentiment",
 ) -> DataFrame:
     """The sum of the headline scores, of the table (0 if empty) or of each key."""
-    total = F.coalesce(F.sum(headline_score(text, positive, negative)), F.lit(0)).cast("int").alias(out)
-    return headlines.groupBy(*keys).agg(total) if keys else headlines.agg(total)
+    lowered = headlines.select(*keys, F.lower(text).alias("__lowered"))
+    score = headline_score("__lowered", positive, negative)
+    total = F.coalesce(F.sum(score), F.lit(0)).cast("int").alias(out)
+    return lowered.groupBy(*keys).agg(total) if keys else lowered.agg(total)

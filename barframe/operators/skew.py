@@ -7,24 +7,30 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-HOT_SHARE = 1000  # a key is hot when it holds more than 1/HOT_SHARE of the rows
+HOT_KEYS = 1000  # at most this many keys are treated as hot
+HOT_ROWS = 1_000_000  # a key with fewer rows is never hot
 
 
-def hot_keys(per_key: DataFrame, n: str, share: int = HOT_SHARE) -> DataFrame:
-    """The rows of ``per_key`` (one per key, with its row count ``n``) that hold more than
-    ``1/share`` of all rows. There are fewer than ``share`` of them, whatever the data."""
-    total = per_key.agg(F.sum(n)).scalar()
-    return per_key.where(F.col(n) * share > total)
+def hot_keys(per_key: DataFrame, key: str, n: str, keys: int = HOT_KEYS, rows: int = HOT_ROWS) -> DataFrame:
+    """The ``keys`` rows of ``per_key`` (one per key, with its row count ``n``) with the most rows.
+
+    Their number is bounded whatever the data, and any key left out holds less than
+    ``1/keys`` of all rows.
+    """
+    return per_key.where(F.col(n) >= rows).orderBy(F.col(n).desc(), key).limit(keys)
 
 
-def join_per_key(left: DataFrame, per_key: DataFrame, key: str, n: str, share: int = HOT_SHARE) -> DataFrame:
+def join_per_key(
+    left: DataFrame, per_key: DataFrame, key: str, n: str, keys: int = HOT_KEYS, rows: int = HOT_ROWS
+) -> DataFrame:
     """Left rows with the columns of ``per_key``, which has a row for every left key (NULL is a key).
 
     ``n`` is the number of left rows of the key. Rows of hot keys meet the broadcast hot
     rows where they are and are not shuffled; the others take the ordinary join.
     """
-    hot = F.broadcast(hot_keys(per_key, n, share).withColumnRenamed(key, "__key"))
-    cold = per_key.withColumnRenamed(key, "__key")
+    hot = F.broadcast(hot_keys(per_key, key, n, keys, rows).withColumnRenamed(key, "__key"))
+    # The count stays in, so that both branches read the same aggregate.
+    cold = per_key.where(F.col(n) > 0).withColumnRenamed(key, "__key")
     same = left[key].eqNullSafe(F.col("__key"))
     columns = [*left.columns, *[c for c in per_key.columns if c not in (key, n)]]
     from_hot = left.join(hot, same).select(*columns)

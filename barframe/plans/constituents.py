@@ -15,6 +15,7 @@ from barframe.operators.memberships import (
     normalize_index,
     order_columns,
 )
+from barframe.session import stored
 from barframe.sources.records import discover_fields, expand_fields, read_documents, record_array
 
 
@@ -36,15 +37,19 @@ def constituent_records(docs: DataFrame) -> DataFrame:
 
 
 def membership_table(records: DataFrame, fields: Sequence[tuple[str, str]] | None = None) -> DataFrame:
-    """The membership table with its cap classes, of ``(index_name, pos, raw)``."""
+    """The membership table with its cap classes, of ``(index_name, pos, raw)``.
+
+    The parsed rows are stored before they are classified: the classes and both branches of
+    their join then read columns instead of parsing the documents again.
+    """
     fields = discover_fields(records, ("index_name", "pos")) if fields is None else fields
     if not any(name == "symbol" for name, _ in fields):
         fields = [("symbol", "string"), *fields]
-    # pos, raw and index_name are our own columns; a record's field of that name must not meet them.
+    # A record's own field called index_name, pos or raw must not meet ours.
     ours = records.select(
         F.col("index_name").alias("__index"), F.col("pos").alias("__pos"), F.col("raw").alias("__raw")
     )
     wide = expand_fields(ours, fields, raw="__raw", nested="text")
     kept = drop_self_row(wide, "__index", "symbol", "__pos")
     rows = membership_rows(kept, "__index", "symbol", drop=("__pos", "__raw"))
-    return add_cap_class(normalize_index(order_columns(rows)))
+    return add_cap_class(stored(normalize_index(order_columns(rows)), "memberships"))

@@ -14,10 +14,11 @@ from pyspark.sql import functions as F
 
 from barframe.fixed_values import MIN_TRAINING_ROWS, TARGET
 from barframe.functions.text import trend_band
+from barframe.operators.blocks import row_ordinal
 from barframe.operators.report import binary_measures, classification_report
 from barframe.operators.rows import require_rows, time_series_split
 from barframe.plans.features import feature_table, latest_features, select_features
-from barframe.session import cut_lineage
+from barframe.session import cut_lineage, stored
 
 TREES = 150
 DEPTH = 10
@@ -32,15 +33,22 @@ def labelled(df: DataFrame, target: str = TARGET) -> DataFrame:
 
 def train_trend_model(
     train: DataFrame, features: Sequence[str], target: str = TARGET, trees: int = TREES, depth: int = DEPTH,
-    seed: int = SEED,
+    seed: int = SEED, time_col: str = "ts",
 ) -> PipelineModel:
     """A random forest on ``features``. Executors grow all trees level by level; node ids are
-    cached per row, so that a level does not walk the trees again."""
+    cached per row, so that a level does not walk the trees again.
+
+    Growing trees costs far more than reading the rows, so they are spread over as many
+    tasks as a shuffle has, by time: the same rows in the same pieces on every run.
+    """
     forest = RandomForestClassifier(
-        numTrees=trees, maxDepth=depth, seed=seed, cacheNodeIds=True, labelCol="label", featuresCol="features"
+        numTrees=trees, maxDepth=depth, seed=seed, cacheNodeIds=True, maxMemoryInMB=1024, labelCol="label",
+        featuresCol="features",
     )
+    tasks = int(train.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = train.repartition(tasks, time_col)
     stages = [VectorAssembler(inputCols=list(features), outputCol="features"), forest]
-    return Pipeline(stages=stages).fit(labelled(train, target).select("label", *features))
+    return Pipeline(stages=stages).fit(labelled(spread, target).select("label", *features))
 
 
 def predict(model: PipelineModel, df: DataFrame) -> DataFrame:
@@ -84,8 +92,11 @@ def train_and_predict(
 ) -> tuple[DataFrame, DataFrame]:
     """``(results, report)`` of one run: features, guard, last time fold, forest, latest score.
 
-    The feature table is checkpointed once; the guard, the fit and the scores read that copy.
+    The numbered bars are stored once, for the branches of the feature plan, and the feature
+    table is checkpointed once: the guard, the fit and the scores read that copy.
     """
+    if "rn" not in bars.columns:
+        bars = stored(row_ordinal(bars), "bars")
     table = cut_lineage(feature_table(bars, sentiment, present, **table_options))
     require_rows(table, min_rows)
     features = select_features(table.columns)

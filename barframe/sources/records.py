@@ -12,7 +12,7 @@ from barframe.fixed_values import SNAPSHOT_PATHS, SPLIT_DOCUMENT, SPLIT_FIELDS
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
     """Whole files as rows, with the partition columns of the folder."""
-    return spark.read.option("wholetext", True).text(path).withColumnRenamed("value", "doc")
+    return spark.read.text(path, wholetext=True).withColumnRenamed("value", "doc")
 
 
 def read_snapshots(spark: SparkSession, catalog: Mapping[str, str]) -> DataFrame:
@@ -25,8 +25,18 @@ def read_snapshots(spark: SparkSession, catalog: Mapping[str, str]) -> DataFrame
 
 
 def record_array(doc: Column | str, path: str) -> Column:
-    """The records under a JSON path, each kept as text."""
-    return F.from_json(F.get_json_object(doc, path), "array<string>")
+    """The records under a path such as ``$.allSec.data``, each kept as text.
+
+    The path becomes a schema, so that one pass parses the document and splits the array.
+    """
+    names = path.removeprefix("$.").split(".")
+    schema = "array<string>"
+    for name in reversed(names):
+        schema = f"struct<`{name}`: {schema}>"
+    value = F.from_json(doc, schema)
+    for name in names:
+        value = value.getField(name)
+    return value
 
 
 def extract_records(docs: DataFrame, paths: Mapping[str, str] = SNAPSHOT_PATHS) -> DataFrame:
@@ -44,14 +54,16 @@ def split_document(
 ) -> DataFrame:
     """The records of one document under several fields, each field a category of its own."""
     rest = [c for c in docs.columns if c not in ("doc", "category")]
+    schema = "struct<" + ", ".join(f"`{field}`: array<string>" for field in fields) + ">"
     parts = F.array(
         *[
-            F.struct(F.lit(category).alias("category"), record_array("doc", f"$.{field}").alias("records"))
+            F.struct(F.lit(category).alias("category"), F.col("__fields").getField(field).alias("records"))
             for field, category in fields.items()
         ]
     )
     return (
         docs.where(F.col("category") == document)
+        .select(*rest, F.from_json("doc", schema).alias("__fields"))
         .select(*rest, F.explode(parts).alias("__part"))
         .select(*rest, F.col("__part.category").alias("category"), F.posexplode("__part.records").alias("pos", "raw"))
     )
@@ -104,16 +116,15 @@ def expand_fields(
 
     A nested value gives NULL, or its JSON text with ``nested='text'``.
     """
-    kinds = F.from_json(raw, "map<string,string>")
-    parsed = records.withColumn("__text", kinds)
-    if nested == "null":
-        parsed = parsed.withColumn("__v", F.parse_json(raw))
+    schema = "struct<" + ", ".join(f"`{name}`: string" for name, _ in fields) + ">"
+    parsed = records.withColumn("__fields", F.from_json(raw, schema))
 
     def value(name: str, dtype: str) -> Column:
-        text = F.try_element_at("__text", F.lit(name))
+        text = F.col("__fields").getField(name)
         if nested == "null":
-            kind = F.schema_of_variant(F.try_variant_get("__v", f"$['{name}']", "variant"))
-            text = F.when(~(F.startswith(kind, F.lit("OBJECT")) | F.startswith(kind, F.lit("ARRAY"))), text)
-        return text.try_cast(dtype).alias(name)
+            # Only a text that looks nested is looked at again.
+            kind = F.schema_of_variant(F.try_variant_get(F.parse_json(raw), f"$['{name}']", "variant"))
+            text = F.when(~F.substring(text, 1, 1).isin("[", "{"), text).when(~kind.rlike("^(OBJECT|ARRAY)"), text)
+        return (text if dtype == "string" else text.try_cast(dtype)).alias(name)
 
-    return parsed.select(*[c for c in records.columns if c != raw], raw, *[value(n, t) for n, t in fields])
+    return parsed.select(*records.columns, *[value(n, t) for n, t in fields])
