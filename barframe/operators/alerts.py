@@ -37,14 +37,20 @@ def is_authorized(chat_id: Column | str, ids: Collection[int]) -> Column:
     return F.coalesce(c.isin(*ids), F.lit(False)) if ids else F.lit(False)
 
 
+def flag_authorized(
+    df: DataFrame, ids: Collection[int] | DataFrame, chat_id: str = "chat_id", out: str = "authorized"
+) -> DataFrame:
+    """Add whether the chat is authorized. ``ids`` is a list or a table ``(chat_id)``."""
+    if isinstance(ids, DataFrame):
+        return flag_members(df, ids, chat_id, "chat_id", out)
+    return df.withColumn(out, is_authorized(chat_id, ids))
+
+
 def split_authorized(
     df: DataFrame, ids: Collection[int] | DataFrame, chat_id: str = "chat_id"
 ) -> tuple[DataFrame, DataFrame]:
-    """The rows of authorized chats, and the others. ``ids`` is a list or a table ``(chat_id)``."""
-    if isinstance(ids, DataFrame):
-        flagged = flag_members(df, ids, chat_id, "chat_id", "__known")
-    else:
-        flagged = df.withColumn("__known", is_authorized(chat_id, ids))
+    """The rows of authorized chats, and the others."""
+    flagged = flag_authorized(df, ids, chat_id, "__known")
     return flagged.where("__known").drop("__known"), flagged.where("not __known").drop("__known")
 
 

@@ -26,15 +26,24 @@ def join_per_key(
     """Left rows with the columns of ``per_key``, which has a row for every left key (NULL is a key).
 
     ``n`` is the number of left rows of the key. Rows of hot keys meet the broadcast hot
-    rows where they are and are not shuffled; the others take the ordinary join.
+    rows where they are and are not shuffled; the others take the ordinary join. ``left`` is
+    read in both branches, so hand in a stored table rather than a long plan.
     """
-    hot = F.broadcast(hot_keys(per_key, key, n, keys, rows).withColumnRenamed(key, "__key"))
-    # The count stays in, so that both branches read the same aggregate.
-    cold = per_key.where(F.col(n) > 0).withColumnRenamed(key, "__key")
-    same = left[key].eqNullSafe(F.col("__key"))
-    columns = [*left.columns, *[c for c in per_key.columns if c not in (key, n)]]
-    from_hot = left.join(hot, same).select(*columns)
-    from_cold = left.join(hot, same, "left_anti").join(cold, same).select(*columns)
+    added = [c for c in per_key.columns if c not in (key, n)]
+
+    def side(df: DataFrame, prefix: str) -> DataFrame:
+        return df.select(F.col(key).alias(f"{prefix}key"), n, *[F.col(c).alias(prefix + c) for c in added])
+
+    # Both branches use the same columns of both sides, so each side is computed once.
+    hot = F.broadcast(side(hot_keys(per_key, key, n, keys, rows), "__hot_").withColumnRenamed(n, "__hot_n"))
+    cold = side(per_key.where(F.col(n) > 0), "__cold_")
+    tagged = left.join(hot, left[key].eqNullSafe(F.col("__hot_key")), "left")
+    from_hot = tagged.where("__hot_n is not null").select(*left.columns, *[F.col(f"__hot_{c}").alias(c) for c in added])
+    from_cold = (
+        tagged.where("__hot_n is null")
+        .join(cold, left[key].eqNullSafe(F.col("__cold_key")))
+        .select(*left.columns, *[F.coalesce(f"__hot_{c}", f"__cold_{c}").alias(c) for c in added])
+    )
     return from_hot.unionByName(from_cold)
 
 

@@ -8,13 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barframe.fixed_values import CATEGORY_ORDER, KEYS_COLUMN, REASON_COLUMN, SNAPSHOT_PATHS, SPLIT_DOCUMENT
-from barframe.operators.screens import add_record_keys, tag_reason, union_categories
-from barframe.sources.records import discover_fields, expand_fields, extract_records, read_snapshots, split_document
-
-
-def activity_records(docs: DataFrame) -> DataFrame:
-    """``(category, pos, raw)`` of all eight categories from the six documents."""
-    return union_categories(extract_records(docs), split_document(docs))
+from barframe.operators.screens import add_record_keys, tag_reason
+from barframe.sources.records import all_records, discover_fields, expand_fields, read_snapshots
 
 
 def activity_table(records: DataFrame, fields: Sequence[tuple[str, str]] | None = None) -> DataFrame:
@@ -33,4 +28,4 @@ def read_activity(spark: SparkSession, catalog: Mapping[str, str]) -> DataFrame:
     missing = {*SNAPSHOT_PATHS, SPLIT_DOCUMENT} - set(catalog)
     if missing:
         raise ValueError(f"no document for {', '.join(sorted(missing))}")
-    return activity_table(activity_records(read_snapshots(spark, catalog)))
+    return activity_table(all_records(read_snapshots(spark, catalog)))

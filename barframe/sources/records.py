@@ -39,14 +39,38 @@ def record_array(doc: Column | str, path: str) -> Column:
     return value
 
 
-def extract_records(docs: DataFrame, paths: Mapping[str, str] = SNAPSHOT_PATHS) -> DataFrame:
-    """``(category, pos, raw)``: one row per record of the documents whose category has a path."""
+def _array_by_category(paths: Mapping[str, str]) -> Column:
     by_path: dict[str, list[str]] = {}
     for category, path in paths.items():
         by_path.setdefault(path, []).append(category)
-    array = F.coalesce(*[F.when(F.col("category").isin(*cs), record_array("doc", p)) for p, cs in by_path.items()])
+    return F.coalesce(*[F.when(F.col("category").isin(*cs), record_array("doc", p)) for p, cs in by_path.items()])
+
+
+def _split_parts(fields: Mapping[str, str], parsed: str = "__fields") -> Column:
+    return F.array(
+        *[
+            F.struct(F.lit(category).alias("category"), F.col(parsed).getField(field).alias("records"))
+            for field, category in fields.items()
+        ]
+    )
+
+
+def _split_schema(fields: Mapping[str, str]) -> str:
+    return "struct<" + ", ".join(f"`{field}`: array<string>" for field in fields) + ">"
+
+
+def _exploded(df: DataFrame, rest: Sequence[str]) -> DataFrame:
+    """Rows of ``__parts``, an array of (category, records), as one row per record."""
+    return df.select(*rest, F.explode("__parts").alias("__part")).select(
+        *rest, F.col("__part.category").alias("category"), F.posexplode("__part.records").alias("pos", "raw")
+    )
+
+
+def extract_records(docs: DataFrame, paths: Mapping[str, str] = SNAPSHOT_PATHS) -> DataFrame:
+    """``(category, pos, raw)``: one row per record of the documents whose category has a path."""
     rest = [c for c in docs.columns if c != "doc"]
-    return docs.where(F.col("category").isin(*paths)).select(*rest, F.posexplode(array).alias("pos", "raw"))
+    wanted = docs.where(F.col("category").isin(*paths))
+    return wanted.select(*rest, F.posexplode(_array_by_category(paths)).alias("pos", "raw"))
 
 
 def split_document(
@@ -54,19 +78,26 @@ def split_document(
 ) -> DataFrame:
     """The records of one document under several fields, each field a category of its own."""
     rest = [c for c in docs.columns if c not in ("doc", "category")]
-    schema = "struct<" + ", ".join(f"`{field}`: array<string>" for field in fields) + ">"
-    parts = F.array(
-        *[
-            F.struct(F.lit(category).alias("category"), F.col("__fields").getField(field).alias("records"))
-            for field, category in fields.items()
-        ]
+    parsed = docs.where(F.col("category") == document).select(
+        *rest, F.from_json("doc", _split_schema(fields)).alias("__fields")
     )
-    return (
-        docs.where(F.col("category") == document)
-        .select(*rest, F.from_json("doc", schema).alias("__fields"))
-        .select(*rest, F.explode(parts).alias("__part"))
-        .select(*rest, F.col("__part.category").alias("category"), F.posexplode("__part.records").alias("pos", "raw"))
+    return _exploded(parsed.withColumn("__parts", _split_parts(fields)), rest)
+
+
+def all_records(
+    docs: DataFrame, paths: Mapping[str, str] = SNAPSHOT_PATHS, document: str = SPLIT_DOCUMENT,
+    fields: Mapping[str, str] = SPLIT_FIELDS,
+) -> DataFrame:
+    """``extract_records`` and ``split_document`` together, in one scan of the documents."""
+    rest = [c for c in docs.columns if c not in ("doc", "category")]
+    is_split = F.col("category") == document
+    parsed = docs.where(F.col("category").isin(*paths, document)).select(
+        *rest, "category",
+        F.when(is_split, F.from_json("doc", _split_schema(fields))).alias("__fields"),
+        _array_by_category(paths).alias("__records"),
     )
+    single = F.array(F.struct("category", F.col("__records").alias("records")))
+    return _exploded(parsed.withColumn("__parts", F.when(is_split, _split_parts(fields)).otherwise(single)), rest)
 
 
 def record_keys(raw: Column | str) -> Column:

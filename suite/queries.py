@@ -20,13 +20,13 @@ from barframe.operators import tables as tb
 from barframe.operators.blocks import row_ordinal as number_rows
 from barframe.operators.align import align_by_position, align_by_time, attach_scalar
 from barframe.operators.report import binary_measures, classification_report
-from barframe.plans.activity import activity_records, activity_table
+from barframe.plans.activity import activity_table
 from barframe.plans.constituents import constituent_records, membership_table
 from barframe.plans.features import add_returns, feature_table
 from barframe.plans.trend import train_and_predict
 from barframe.session import shared_path, stored
 from barframe.sources import bars as br
-from barframe.sources.records import extract_records, record_keys, split_document
+from barframe.sources.records import all_records, extract_records, record_keys, split_document
 from barframe.streaming.bars import stream_bars, stream_once
 from barframe.streaming.updates import UpdateJob, read_outbox
 from suite import tables as t
@@ -331,7 +331,7 @@ def split_documents(spark, sf):
 @query
 def activity(spark, sf):
     fields = [("symbol", "string"), ("price", "double"), ("qty", "bigint"), ("meta", "string")]
-    return activity_table(activity_records(t.snapshot_docs(spark, sf)), fields)
+    return activity_table(all_records(t.snapshot_docs(spark, sf)), fields)
 
 
 # ---- memberships ----------------------------------------------------------------------
@@ -351,12 +351,12 @@ def membership_rows(spark, sf):
 
 @query
 def cap_class(spark, sf):
-    return mb.add_cap_class(mb.normalize_index(t.members(spark, sf)), mid=t.MID, small=t.SMALL, out="cap_class")
+    return mb.add_cap_class(stored(mb.normalize_index(t.members(spark, sf))), mid=t.MID, small=t.SMALL, out="cap_class")
 
 
 @query
 def cap_summary(spark, sf):
-    classed = mb.add_cap_class(t.members(spark, sf), mid=t.MID, small=t.SMALL)
+    classed = mb.add_cap_class(stored(t.members(spark, sf)), mid=t.MID, small=t.SMALL)
     return mb.cap_summary(classed)
 
 
@@ -503,8 +503,7 @@ def fan_out_listed(spark, sf):
 def split_authorized(spark, sf):
     ids = t.table(spark, sf, "nation").select(F.col("n_nationkey").cast("bigint").alias("chat_id"))
     events = t.table(spark, sf, "events").select("event_id", F.col("user_id").alias("chat_id"))
-    known, others = al.split_authorized(events, ids)
-    return known.withColumn("authorized", F.lit(True)).unionByName(others.withColumn("authorized", F.lit(False)))
+    return al.flag_authorized(events, ids)
 
 
 @query
