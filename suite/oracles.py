@@ -205,6 +205,8 @@ from {source}, unnest(range(0, greatest((length({text}) + 4095) // 4096, 1))) as
 ORACLES: dict[str, str] = {
     "bars_hourly": f"with {bars('hour')} select * from bars",
     "bars_minute": f"with {BARS} select * from bars",
+    "named_bars": f"""with {BARS} select * replace (case symbol when 'click' then 'NSEI' when 'view' then 'NSEBANK'
+      when 'purchase' then 'SNP' else 'INDIA_VIX' end as symbol) from bars where symbol <> 'signup'""",
     "recent_bars": """select event_type as symbol, ts, value as open, value as high, value as low, value as close, value as volume
       from events where event_type in ('click', 'view')
       and ts >= (select max(ts) from events where event_type in ('click', 'view')) - interval 7 days""",
@@ -258,6 +260,9 @@ ORACLES: dict[str, str] = {
       union all select 'macro avg', round((p0 + p1) / 2, 6), round((r0 + r1) / 2, 6), round((f0 + f1) / 2, 6), total from g
       union all select 'weighted avg', round((p0 * su0 + p1 * su1) / total, 6), round((r0 * su0 + r1 * su1) / total, 6),
         round((f0 * su0 + f1 * su1) / total, 6), total from g""",
+    "class_measures": f"""with {LABELS}, {CELLS} select round(acc, 6) as accuracy, round(p0, 6) as precision_0, round(p1, 6) as precision_1,
+      round(r0, 6) as recall_0, round(r1, 6) as recall_1, round(f0, 6) as f1_0, round(f1, 6) as f1_1, su0 as support_0,
+      su1 as support_1 from g""",
     "trend_bands": """select l_orderkey, l_linenumber, l_partkey, case when l_discount * 10 > 0.6::double then '📈 Uptrend'
       when l_discount * 10 < 0.4::double then '📉 Downtrend' else '➡️ Sideways' end as trend from lineitem""",
     "union_screens": f"with {SCREENS} select * from screens",
@@ -277,12 +282,16 @@ ORACLES: dict[str, str] = {
     "record_key_list": "select event_id, array_to_string(json_keys(props), ', ') as relavant_columns from events",
     "extracted_records": f"with {DOCS}, {EXTRACTED} select * from extracted",
     "split_documents": f"with {DOCS}, {EXTRACTED} select * from parts",
+    "activity_csv": f"""with {DOCS}, {EXTRACTED}, all_records as (select * from extracted union all select * from parts)
+      select raw ->> '$.symbol' as symbol, (raw ->> '$.price')::double::varchar as price, raw ->> '$.qty' as qty,
+        category as "Reason", array_to_string(json_keys(raw), ', ') as relavant_columns from all_records""",
     "activity": f"""with {DOCS}, {EXTRACTED}, all_records as (select * from extracted union all select * from parts)
       select raw ->> '$.symbol' as symbol, (raw ->> '$.price')::double as price, (raw ->> '$.qty')::bigint as qty,
         null::varchar as meta, category as "Reason", array_to_string(json_keys(raw), ', ') as relavant_columns from all_records""",
     "membership_rows": """select c_custkey as "Stock", 'INDEX' as "Index Type", r_name as "Index", c_custkey as symbol, c_name
       from customer join nation on c_nationkey = n_nationkey join region on n_regionkey = r_regionkey""",
     "cap_class": f'with {MEMBERS} select upper("Index") as "Index", "Stock", cap_class from classed',
+    "memberships_by_index": f"""with {MEMBERS} select "Stock", "Index" from members where regexp_matches("Index", 'NATION_1$')""",
     "cap_summary": f"""with {MEMBERS} select count(distinct "Stock") as unique_stocks, count(*) filter (cap_class = 'Large Cap') as large_cap,
       count(*) filter (cap_class = 'Mid Cap') as mid_cap, count(*) filter (cap_class = 'Small Cap') as small_cap from classed""",
     "membership_flags": f'with {MEMBERS} select "Stock", in_mid, in_small, rows from flags',
@@ -343,6 +352,10 @@ ORACLES: dict[str, str] = {
     "fan_out_listed": f"""with r as (select unnest([{', '.join(map(str, t.CHAT_IDS))}])::bigint as chat_id)
       select event_id as alert_id, chat_id, 0 as part, props as text, false as silent from events
       join r on event_type in ('error', 'signup') or user_id = 0 or user_id = chat_id""",
+    "stored_outbox": f"""with r as (select unnest([{', '.join(map(str, t.CHAT_IDS))}])::bigint as chat_id)
+      select event_id as alert_id, chat_id, 0 as part, props as text, silent from events
+      join r on event_type in ('error', 'signup') or user_id = 0 or user_id = chat_id
+      cross join (values (false), (true)) as s(silent)""",
     "split_authorized": "select event_id, user_id as chat_id, user_id in (select n_nationkey from nation) as authorized from events",
     "is_authorized": f"select event_id, user_id in {IDS} as authorized from events",
     "parse_commands": f"with {MESSAGES} select * from commands",
@@ -359,3 +372,4 @@ ORACLES: dict[str, str] = {
         from commands join before using (update_id))
       {CHUNK_ROWS.format(id="update_id", more="chat_id,", text="reply", source="replies")}""",
 }
+ORACLES["activity_discovered"] = ORACLES["activity"]

@@ -27,6 +27,7 @@ from barframe.plans.trend import train_and_predict
 from barframe.session import shared_path, stored
 from barframe.sources import bars as br
 from barframe.sources.records import all_records, extract_records, record_keys, split_document
+from barframe.sources.sinks import write_activity, write_memberships, write_outbox
 from barframe.streaming.bars import stream_bars, stream_once
 from barframe.streaming.updates import UpdateJob, read_outbox
 from suite import tables as t
@@ -59,6 +60,11 @@ def bars_minute(spark, sf):
     return t.plain_ts(t.bars(spark, sf))
 
 
+@query
+def named_bars(spark, sf):
+    return t.plain_ts(t.named(spark, sf))
+
+
 @query
 def recent_bars(spark, sf):
     """The event table read as finished bars of two symbols, the last seven days."""
@@ -242,6 +248,12 @@ def class_report(spark, sf):
     return rounded(classification_report(t.quality_labels(spark, sf)), "precision", "recall", "f1_score")
 
 
+@query
+def class_measures(spark, sf):
+    out = binary_measures(t.quality_labels(spark, sf))
+    return rounded(out, *[c for c, d in out.dtypes if d == "double"])
+
+
 @query
 def trend_bands(spark, sf):
     return t.table(spark, sf, "lineitem").select(
@@ -334,6 +346,20 @@ def activity(spark, sf):
     return activity_table(all_records(t.snapshot_docs(spark, sf)), fields)
 
 
+@query
+def activity_discovered(spark, sf):
+    """As ``activity``, with the fields and their types found in the records."""
+    return activity_table(stored(all_records(t.snapshot_docs(spark, sf))))
+
+
+@query
+def activity_csv(spark, sf):
+    """The activity table written as CSV and read back as text."""
+    path = f"{shared_path(spark, 'activity')}/csv"
+    write_activity(activity(spark, sf).drop("meta"), path)
+    return spark.read.option("header", True).csv(path)
+
+
 # ---- memberships ----------------------------------------------------------------------
 
 
@@ -354,6 +380,15 @@ def cap_class(spark, sf):
     return mb.add_cap_class(stored(mb.normalize_index(t.members(spark, sf))), mid=t.MID, small=t.SMALL, out="cap_class")
 
 
+@query
+def memberships_by_index(spark, sf):
+    """Written in folders by index and read back for some of them."""
+    path = shared_path(spark, "members")
+    write_memberships(t.members(spark, sf), path, "parquet", ["Index"])
+    back = spark.read.schema("Stock bigint, Index string").parquet(path)
+    return back.where(tx.name_matches("Index", t.MID)).select("Stock", "Index")
+
+
 @query
 def cap_summary(spark, sf):
     classed = mb.add_cap_class(stored(t.members(spark, sf)), mid=t.MID, small=t.SMALL)
@@ -499,6 +534,15 @@ def fan_out_listed(spark, sf):
     return al.outbox(t.alerts(spark, sf), t.CHAT_IDS)
 
 
+@query
+def stored_outbox(spark, sf):
+    """Styled alerts for the listed chats, appended to an outbox table in two goes."""
+    path = shared_path(spark, "outbox")
+    for silent in (False, True):
+        write_outbox(al.outbox(t.alerts(spark, sf).withColumn("silent", F.lit(silent)), t.CHAT_IDS), path)
+    return spark.read.parquet(path)
+
+
 @query
 def split_authorized(spark, sf):
     ids = t.table(spark, sf, "nation").select(F.col("n_nationkey").cast("bigint").alias("chat_id"))
