@@ -54,13 +54,15 @@ def split_authorized(
     return flagged.where("__known").drop("__known"), flagged.where("not __known").drop("__known")
 
 
-def fan_out(alerts: DataFrame, recipients: Collection[int] | DataFrame, alert_id: str = "alert_id") -> DataFrame:
+def fan_out(
+    alerts: DataFrame, recipients: Collection[int] | DataFrame, alert_id: str = "alert_id", grid: int = GRID
+) -> DataFrame:
     """One row per alert and recipient, in ``chat_id``.
 
     An alert without chat id (NULL or 0) goes to every recipient, another one to its chat
     if that is a recipient. A list of recipients needs no join. With a table, addressed
     alerts take a join by chat, and alerts for everyone meet the recipients in a grid of
-    ``GRID`` x ``GRID`` pieces, so neither side is broadcast or held by one task.
+    ``grid`` x ``grid`` pieces, so neither side is broadcast or held by one task.
     """
     to_all = F.col("chat_id").isNull() | (F.col("chat_id") == 0)
     rest = [c for c in alerts.columns if c != "chat_id"]
@@ -73,14 +75,14 @@ def fan_out(alerts: DataFrame, recipients: Collection[int] | DataFrame, alert_id
         return alerts.select(*rest, F.explode(targets).alias("chat_id")).select(*alerts.columns)
     known = recipients.select(F.col("chat_id").cast("bigint").alias("chat_id")).distinct()
     addressed, _ = split_authorized(alerts.where(~to_all).withColumn("chat_id", F.col("chat_id").cast("bigint")), known)
-    pieces = F.sequence(F.lit(0), F.lit(GRID - 1))
+    pieces = F.sequence(F.lit(0), F.lit(grid - 1))
     left = (
         alerts.where(to_all)
         .drop("chat_id")
-        .withColumn("__a", F.pmod(F.xxhash64(alert_id), F.lit(GRID)).cast("int"))
+        .withColumn("__a", F.pmod(F.xxhash64(alert_id), F.lit(grid)).cast("int"))
         .withColumn("__r", F.explode(pieces))
     )
-    right = known.withColumn("__r", F.pmod(F.xxhash64("chat_id"), F.lit(GRID)).cast("int")).withColumn(
+    right = known.withColumn("__r", F.pmod(F.xxhash64("chat_id"), F.lit(grid)).cast("int")).withColumn(
         "__a", F.explode(pieces)
     )
     return left.join(right, ["__a", "__r"]).select(*alerts.columns).unionByName(addressed)

@@ -30,8 +30,10 @@ def row_ordinal(
 ) -> DataFrame:
     """Position 0..n-1 of each row in its series, by ``(time_col, *tie_breakers)``.
 
-    ``bucket`` (a ``date_trunc`` unit) bounds the rows one task sorts. The table of bucket
-    counts holds one row per series and bucket; only that table is put in order as a whole.
+    ``bucket`` (a ``date_trunc`` unit) bounds the rows one task sorts; a day holds 1440
+    one-minute bars, and a table of ticks wants a smaller unit. The table of bucket counts
+    holds one row per series and bucket; only that table is put in order as a whole. Rows
+    without key or time belong to no series and are dropped.
     """
     keys = list(keys)
     cut, before = "__bucket", "__before"

@@ -79,7 +79,7 @@ def build_bars(ticks: DataFrame, interval: str = "1 minute") -> DataFrame:
     Ticks are reduced before the shuffle, and a busy symbol spreads over its bars.
     """
     return (
-        ticks.where(F.col("price").isNotNull())
+        ticks.where("price is not null and not isnan(price)")
         .groupBy("symbol", F.window("ts", interval).alias("__w"))
         .agg(*bar_columns())
         .select("symbol", F.col("__w.start").alias("ts"), *OHLCV)

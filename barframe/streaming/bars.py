@@ -14,7 +14,7 @@ def stream_bars(ticks: DataFrame, interval: str = "1 minute", delay: str = "5 mi
     """Bars of ``ticks(symbol, event_id, ts, price)``, each given once, when the watermark
     has passed its end. Ticks later than ``delay`` may be dropped."""
     return (
-        ticks.where(F.col("price").isNotNull())
+        ticks.where("price is not null and not isnan(price)")
         .withColumn("ts", F.col("ts").cast("timestamp"))  # a watermark needs a zoned timestamp
         .withWatermark("ts", delay)
         .groupBy("symbol", F.window("ts", interval).alias("__w"))

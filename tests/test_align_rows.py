@@ -177,3 +177,15 @@ def test_sinks(spark, tmp_path):
     append_run(df, str(tmp_path / "runs"))
     append_run(df, str(tmp_path / "runs"))
     assert spark.read.parquet(str(tmp_path / "runs")).count() == 2
+
+
+def test_rows_per_key_are_cut_before_the_shuffle(spark):
+    df = spark.createDataFrame([], "k string, v int")
+    plan = rows.head_rows(df, ["v"], 2, ["k"])._jdf.queryExecution().sparkPlan().toString()
+    assert "WindowGroupLimit" in plan
+
+
+def test_no_price_makes_no_bar(spark):
+    df = spark.createDataFrame([("a", 1, at(0), float("nan")), ("a", 2, at(0), None)],
+                               "symbol string, event_id bigint, ts timestamp, price double")
+    assert build_bars(df).count() == 0
