@@ -92,8 +92,9 @@ def train_and_predict(
 ) -> tuple[DataFrame, DataFrame]:
     """``(results, report)`` of one run: features, guard, last time fold, forest, latest score.
 
-    The numbered bars are stored once, for the branches of the feature plan, and the feature
-    table is checkpointed once: the guard, the fit and the scores read that copy.
+    ``bars`` should be a stored table. The numbered bars are stored once, for the branches of
+    the feature plan, and the feature table is checkpointed once: the guard, the fit and the
+    scores read that copy.
     """
     if "rn" not in bars.columns:
         bars = stored(row_ordinal(bars), "bars")

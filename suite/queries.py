@@ -82,7 +82,7 @@ def row_ordinal(spark, sf):
 
 
 def _change(spark, sf, n):
-    out = se.pct_change(t.bars(spark, sf), n=n, out="change").select("symbol", "ts", "change")
+    out = se.pct_change(t.stored_bars(spark, sf), n=n, out="change").select("symbol", "ts", "change")
     return t.plain_ts(rounded(out, "change"))
 
 
@@ -98,12 +98,12 @@ def pct_change_60(spark, sf):
 
 @query
 def forward_target(spark, sf):
-    return t.plain_ts(se.forward_target(t.bars(spark, sf)).select("symbol", "ts", "target"))
+    return t.plain_ts(se.forward_target(t.stored_bars(spark, sf)).select("symbol", "ts", "target"))
 
 
 @query
 def rolling_std_30(spark, sf):
-    out = se.rolling_std(t.bars(spark, sf)).select("symbol", "ts", "volatility")
+    out = se.rolling_std(t.stored_bars(spark, sf)).select("symbol", "ts", "volatility")
     return t.plain_ts(rounded(out, "volatility"))
 
 
@@ -142,7 +142,7 @@ _ALIGNED = {"c_close": ("click", "close"), "v_close": ("view", "close"), "p_clos
 
 @query
 def align_position(spark, sf):
-    return t.plain_ts(align_by_position(t.bars(spark, sf), "click", _ALIGNED))
+    return t.plain_ts(align_by_position(t.stored_bars(spark, sf), "click", _ALIGNED))
 
 
 @query
@@ -160,7 +160,7 @@ def _score(spark, sf):
 
 
 def _features(spark, sf, **options):
-    bars = stored(number_rows(t.named(spark, sf)))
+    bars = stored(number_rows(stored(t.named(spark, sf))))
     out = feature_table(bars, _score(spark, sf), present=list(t.INSTRUMENTS), **options)
     return t.plain_ts(rounded(out, *[c for c, d in out.dtypes if d == "double"]))
 
@@ -177,13 +177,13 @@ def feature_table_complete(spark, sf):
 
 @query
 def last_fold(spark, sf):
-    split = rows.time_series_split(t.bars(spark, sf).where("symbol = 'click'").select("ts", "close"))
+    split = rows.time_series_split(t.stored_bars(spark, sf).where("symbol = 'click'").select("ts", "close"))
     return t.plain_ts(split.select("ts", "rn", "fold", "part"))
 
 
 @query
 def all_folds(spark, sf):
-    split = rows.time_series_split(t.bars(spark, sf).where("symbol = 'click'").select("ts"), fold=None, gap=60)
+    split = rows.time_series_split(t.stored_bars(spark, sf).where("symbol = 'click'").select("ts"), fold=None, gap=60)
     return t.plain_ts(split.select("ts", "rn", "fold", "part"))
 
 
@@ -448,7 +448,7 @@ def strike_band(spark, sf):
 
 @query
 def cell_band(spark, sf):
-    change = se.pct_change(t.bars(spark, sf), n=1, out="change").withColumn("change", F.round(F.col("change") * 100, 2))
+    change = se.pct_change(t.stored_bars(spark, sf), n=1, out="change").withColumn("change", F.round(F.col("change") * 100, 2))
     text = tx.render_cell("change", "change", "double", {"change": {"positive": "+"}})
     out = change.select("symbol", "ts", tx.change_band("change").alias("band"), text.alias("cell"))
     return t.plain_ts(out)
@@ -606,6 +606,6 @@ def command_replies(spark, sf):
 def trend_model(spark, sf):
     # The smallest tables hold fewer rows than the usual guard asks for.
     results, _ = train_and_predict(
-        t.named(spark, sf), _score(spark, sf), present=list(t.INSTRUMENTS), run_ts="2024-01-31 00:00:00", min_rows=50
+        stored(t.named(spark, sf)), _score(spark, sf), present=list(t.INSTRUMENTS), run_ts="2024-01-31 00:00:00", min_rows=50
     )
     return t.plain_ts(results, "timestamp")

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barframe.operators.blocks import row_ordinal
+from barframe.session import stored
 from barframe.sources.bars import build_bars, named_bars
 
 # Which event type plays which instrument.
@@ -33,8 +34,13 @@ def bars(spark: SparkSession, sf: str, interval: str = "1 minute") -> DataFrame:
     return build_bars(ticks(spark, sf), interval)
 
 
+def stored_bars(spark: SparkSession, sf: str) -> DataFrame:
+    """Bars written once, so that the plans that read them twice reduce the ticks once."""
+    return stored(bars(spark, sf), "bars")
+
+
 def numbered_bars(spark: SparkSession, sf: str) -> DataFrame:
-    return row_ordinal(bars(spark, sf))
+    return row_ordinal(stored_bars(spark, sf))
 
 
 def named(spark: SparkSession, sf: str) -> DataFrame:
