@@ -84,9 +84,9 @@ f as (
   left join (select * from feats where symbol = 'view') b using (rn)
   left join (select * from feats where symbol = 'purchase') s using (rn)
   left join (select * from feats where symbol = 'error') v using (rn))
-select ts, round(n_close, 6) as "N_Close", round(n_ret, 6) as "N_Return", round(n_ret60, 6) as "N_Return_1h",
-  round(b_close, 6) as "B_Close", round(b_ret, 6) as "B_Return", round(b_ret60, 6) as "B_Return_1h",
-  round(s_ret, 6) as "SNP_Return", round(v_close, 6) as "VIX_Close", round(v_ret, 6) as "VIX_Return",
+select ts, round(n_close, 6) as "N_Close", round(n_ret, 9) as "N_Return", round(n_ret60, 9) as "N_Return_1h",
+  round(b_close, 6) as "B_Close", round(b_ret, 9) as "B_Return", round(b_ret60, 9) as "B_Return_1h",
+  round(s_ret, 9) as "SNP_Return", round(v_close, 6) as "VIX_Close", round(v_ret, 9) as "VIX_Return",
   round(n_rsi, 6) as "NSEI_RSI", round(n_macd, 6) as "NSEI_MACD", round(n_vol, 6) as "NSEI_Volatility",
   round(b_rsi, 6) as "NSEBANK_RSI", round(b_macd, 6) as "NSEBANK_MACD", round(b_vol, 6) as "NSEBANK_Volatility",
   hour(ts)::integer as "Hour", minute(ts)::integer as "Minute", (isodow(ts) - 1)::integer as "DayOfWeek",
@@ -211,8 +211,8 @@ ORACLES: dict[str, str] = {
       from events where event_type in ('click', 'view')
       and ts >= (select max(ts) from events where event_type in ('click', 'view')) - interval 7 days""",
     "row_ordinal": f"with {BARS} select symbol, ts, rn from n",
-    "pct_change_1": f"with {BARS} select symbol, ts, round(close / nullif(lag(close) over (partition by symbol order by ts), 0) - 1, 6) as change from n",
-    "pct_change_60": f"with {BARS} select symbol, ts, round(close / nullif(lag(close, 60) over (partition by symbol order by ts), 0) - 1, 6) as change from n",
+    "pct_change_1": f"with {BARS} select symbol, ts, round(close / nullif(lag(close) over (partition by symbol order by ts), 0) - 1, 9) as change from n",
+    "pct_change_60": f"with {BARS} select symbol, ts, round(close / nullif(lag(close, 60) over (partition by symbol order by ts), 0) - 1, 9) as change from n",
     "forward_target": f"""with {BARS} select symbol, ts,
       (case when lead(close, 60) over (partition by symbol order by ts) / nullif(close, 0) - 1 > 0 then 1 else 0 end)::integer as target from n""",
     "rolling_std_30": f"""with {BARS} select symbol, ts, round(case when count(close) over f = 30 then stddev_samp(close) over f end, 6) as volatility
@@ -220,8 +220,8 @@ ORACLES: dict[str, str] = {
     "ewma_span12": f"with recursive {INDICATORS} select symbol, ts, round(case when rn >= 11 then ef end, 6) as mean from feats",
     "rsi_14": f"with recursive {INDICATORS} select symbol, ts, round(rsi, 6) as rsi from feats",
     "macd_diff": f"with recursive {INDICATORS} select symbol, ts, round(macd, 6) as macd_diff from feats",
-    "returns_and_indicators": f"""with recursive {INDICATORS} select symbol, ts, target::integer as target, round(ret, 6) as return,
-      round(ret60, 6) as return_1h, round(rsi, 6) as rsi, round(macd, 6) as macd, round(vol, 6) as volatility from feats""",
+    "returns_and_indicators": f"""with recursive {INDICATORS} select symbol, ts, target::integer as target, round(ret, 9) as return,
+      round(ret60, 9) as return_1h, round(rsi, 6) as rsi, round(macd, 6) as macd, round(vol, 6) as volatility from feats""",
     "session_parts": """select event_id, ts, hour(ts)::integer as "Hour", minute(ts)::integer as "Minute",
       (isodow(ts) - 1)::integer as "DayOfWeek" from events""",
     "align_position": f"""with {BARS} select c.rn, c.ts, c.close as c_close, v.close as v_close, p.close as p_close

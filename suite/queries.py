@@ -35,6 +35,8 @@ from suite import tables as t
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
+# Returns are single divisions, equal to the last bit; six places would leave ties to the rounding rule.
+RETURN_PLACES = 9
 POSITIVE, NEGATIVE = ["ing", "positive"], ["sell-off", "ent", "st"]
 
 
@@ -83,7 +85,7 @@ def row_ordinal(spark, sf):
 
 def _change(spark, sf, n):
     out = se.pct_change(t.stored_bars(spark, sf), n=n, out="change").select("symbol", "ts", "change")
-    return t.plain_ts(rounded(out, "change"))
+    return t.plain_ts(rounded(out, "change", places=RETURN_PLACES))
 
 
 @query
@@ -128,8 +130,9 @@ def macd_diff(spark, sf):
 @query
 def returns_and_indicators(spark, sf):
     out = add_returns(stored(t.numbered_bars(spark, sf)))
-    cols = ("return", "return_1h", "rsi", "macd", "volatility")
-    return t.plain_ts(rounded(out.select("symbol", "ts", "target", *cols), *cols))
+    means = ("rsi", "macd", "volatility")
+    out = rounded(out.select("symbol", "ts", "target", "return", "return_1h", *means), *means)
+    return t.plain_ts(rounded(out, "return", "return_1h", places=RETURN_PLACES))
 
 
 @query
@@ -162,7 +165,9 @@ def _score(spark, sf):
 def _features(spark, sf, **options):
     bars = stored(number_rows(stored(t.named(spark, sf))))
     out = feature_table(bars, _score(spark, sf), present=list(t.INSTRUMENTS), **options)
-    return t.plain_ts(rounded(out, *[c for c, d in out.dtypes if d == "double"]))
+    returns = [c for c in out.columns if "_Return" in c]
+    means = [c for c, d in out.dtypes if d == "double" and c not in returns]
+    return t.plain_ts(rounded(rounded(out, *means), *returns, places=RETURN_PLACES))
 
 
 @query
@@ -429,7 +434,7 @@ def self_row(spark, sf):
 @query
 def constituents(spark, sf):
     fields = [("symbol", "string"), ("lastPrice", "double"), ("Index", "string"), ("open", "bigint")]
-    return membership_table(constituent_records(t.constituent_docs(spark, sf)), fields)
+    return membership_table(t.constituent_docs(spark, sf), fields)
 
 
 # ---- text, bands and tables -----------------------------------------------------------

@@ -11,7 +11,7 @@ from barframe.operators import memberships as mb
 from barframe.operators import screens
 from barframe.operators import sentiment as st
 from barframe.plans.activity import read_activity
-from barframe.plans.constituents import index_catalog, membership_table, read_memberships
+from barframe.plans.constituents import index_catalog, membership_table, read_index_documents, read_memberships
 from barframe.sources.records import discover_fields, expand_fields, extract_records, read_snapshots
 from barframe.sources.sinks import write_activity
 
@@ -116,7 +116,7 @@ def landed(tmp_path):
 
 
 def test_memberships(spark, landed):
-    df = membership_table(read_memberships(spark, landed))
+    df = membership_table(read_index_documents(spark, landed))
     assert df.columns == ["Stock", "Index Type", "Index", "symbol", "x", "Market Cap Classification"]
     got = {(r["Index"], r["Stock"]): r["Market Cap Classification"] for r in df.collect()}
     assert got == {
@@ -130,8 +130,13 @@ def test_memberships(spark, landed):
     assert tuple(coverage) == (3, len(INDICES))
 
 
+def test_read_memberships(spark, landed):
+    got = read_memberships(spark, landed, ["NIFTY 50", "NIFTY IT"])
+    assert sorted((r["index_name"], r["pos"]) for r in got.collect()) == [("NIFTY 50", i) for i in range(3)]
+
+
 def test_membership_fields_given(spark, landed):
-    df = membership_table(read_memberships(spark, landed, ["NIFTY MIDCAP 50"]), [("x", "bigint")])
+    df = membership_table(read_index_documents(spark, landed, ["NIFTY MIDCAP 50"]), [("x", "bigint")])
     assert {r["x"] for r in df.collect()} == {2, None}
 
 
