@@ -60,10 +60,15 @@ def _split_schema(fields: Mapping[str, str]) -> str:
 
 
 def _exploded(df: DataFrame, rest: Sequence[str]) -> DataFrame:
-    """Rows of ``__parts``, an array of (category, records), as one row per record."""
-    return df.select(*rest, F.explode("__parts").alias("__part")).select(
-        *rest, F.col("__part.category").alias("category"), F.posexplode("__part.records").alias("pos", "raw")
+    """Rows of ``__parts``, an array of (category, records), as one row per record.
+
+    A plain ``explode`` of a column lets the optimizer test its size in a filter below, which
+    would parse every document a second time; the outer form does not.
+    """
+    records = df.select(*rest, F.explode_outer("__parts").alias("__part")).select(
+        *rest, F.col("__part.category").alias("category"), F.posexplode_outer("__part.records").alias("pos", "raw")
     )
+    return records.where("pos is not null")
 
 
 def extract_records(docs: DataFrame, paths: Mapping[str, str] = SNAPSHOT_PATHS) -> DataFrame:

@@ -12,7 +12,7 @@ from barframe.operators import screens
 from barframe.operators import sentiment as st
 from barframe.plans.activity import read_activity
 from barframe.plans.constituents import index_catalog, membership_table, read_index_documents, read_memberships
-from barframe.sources.records import discover_fields, expand_fields, extract_records, read_snapshots
+from barframe.sources.records import all_records, discover_fields, expand_fields, extract_records, read_snapshots
 from barframe.sources.sinks import write_activity
 
 RECORDS = {
@@ -175,3 +175,12 @@ def test_scores(spark):
     assert st.sentiment_score(df.limit(0)).first()["sentiment"] == 0
     assert st.sentiment_score(df, keys=["text"]).where("text = 'update'").first()["sentiment"] == 1
     assert df.select(F.count("*")).first()[0] == 6
+
+
+def test_documents_are_parsed_once(spark, catalog):
+    """No filter below an explode repeats the JSON parse."""
+    df = all_records(read_snapshots(spark, catalog))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    filters = [line for line in plan.split("\n") if "Filter" in line.split("(")[0]]
+    assert not any("from_json" in line for line in filters)
+    assert df.count() == 8
