@@ -21,8 +21,9 @@ WHITE[[0x20, *range(0x09, 0x0E)]] = True
 _MUL = np.uint64(0x9E3779B97F4A7C15)
 
 
-def text_chunks(column: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """``(first row, end row, bytes, offsets)`` of consecutive pieces of a string column.
+def text_chunks(column: pa.Array, limit: int = CHUNK_BYTES, rows: int = 1 << 20) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """``(first row, end row, bytes, offsets)`` of consecutive pieces of a string column,
+    of at most ``rows`` rows each.
 
     ``offsets`` has a place for every row of the piece and one more; a null counts as empty.
     """
@@ -33,7 +34,7 @@ def text_chunks(column: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[in
     row = 0
     while row < len(column):
         end = int(np.searchsorted(offsets, offsets[row] + limit, side="right")) - 1
-        end = min(max(end, row + 1), len(column))
+        end = min(max(end, row + 1), row + rows, len(column))
         cut = offsets[row : end + 1]
         yield row, end, values[cut[0] : cut[-1]], cut - cut[0]
         row = end
@@ -68,14 +69,28 @@ def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[0], _powers[1]
 
 
-def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each byte span; equal spans have equal hashes wherever they stand."""
-    power, inverse = _power_tables(len(data) + 1)
-    total = np.zeros(len(data) + 1, dtype=np.uint64)
-    np.cumsum(_byte_values()[data] * power[: len(data)], out=total[1:])
+def running_sums(values: np.ndarray) -> np.ndarray:
+    """What ``span_hashes`` needs of a sequence of 64-bit values."""
+    power, _ = _power_tables(len(values) + 1)
+    total = np.zeros(len(values) + 1, dtype=np.uint64)
+    np.cumsum(values * power[: len(values)], out=total[1:])
+    return total
+
+
+def span_hashes(total: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each span; equal spans have equal hashes wherever they stand."""
+    _, inverse = _power_tables(len(total))
     return mix((total[ends] - total[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
 
 
+def byte_sums(data: np.ndarray) -> np.ndarray:
+    return running_sums(_byte_values()[data])
+
+
+def point_sums(points: np.ndarray) -> np.ndarray:
+    return running_sums(mix(points.astype(np.uint64) * _MUL + np.uint64(1)))
+
+
 def lower_ascii(data: np.ndarray) -> np.ndarray:
     """A-Z in lower case, other bytes as they are."""
     return np.where((data >= 65) & (data <= 90), data + np.uint8(32), data)

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barframe.llm import bpe, tokenfiles
+from barframe.llm import bpe, langid, licenses, mixing, tokenfiles, toxicity
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 
@@ -20,6 +20,24 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfiles.document_token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path(RANKS))
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Expected severity of every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit_severity(docs, table(spark, sf_dir, "labels"))
+    return toxicity.severity(docs, model).select("doc_id", "severity", "grade", "toxic")
+
+
+def op5_entropy_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the mix of sources takes of every document."""
+    return mixing.mix_sources(table(spark, sf_dir, "documents"))
+
+
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, from a model that never saw the held-out ones."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return langid.cross_checked(docs).select("doc_id", "held_out", "lang_pred", "score", "ambiguous")
+
+
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every whole text encoded to ids and decoded again, as digests."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -32,9 +50,18 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License notices in every document."""
+    return licenses.scan_licenses(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_token_counts": op1_token_counts,
+    "op3_toxicity": op3_toxicity,
+    "op5_entropy_mix": op5_entropy_mix,
+    "op6_language_id": op6_language_id,
     "op8_byte_bpe": op8_byte_bpe,
+    "op9_license_scan": op9_license_scan,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op5_entropy_mix": mixing.MIX_SQL}
