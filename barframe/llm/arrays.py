@@ -7,11 +7,14 @@ so memory follows the longest text and not the size of an Arrow batch.
 from __future__ import annotations
 
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from functools import cache
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 CHUNK_BYTES = 1 << 20
 
@@ -40,6 +43,15 @@ def text_chunks(column: pa.Array, limit: int = CHUNK_BYTES, rows: int = 1 << 20)
         row = end
 
 
+def with_input(df: DataFrame, column: str, added: Sequence[str]) -> tuple[DataFrame, list[str], StructType]:
+    """What a row-wise operator reads: ``column`` first, then the columns it keeps, which are all but
+    those it adds (whatever their case); the kept names and their schema."""
+    taken = {name.lower() for name in added}
+    rest = [c for c in df.columns if c.lower() not in taken]
+    source = df.select(F.col(f"`{column}`").alias("__input"), *[F.col(f"`{c}`") for c in rest])
+    return source, rest, StructType(source.schema.fields[1:])
+
+
 def rows_of(offsets: np.ndarray, places: np.ndarray) -> np.ndarray:
     """The row that each byte place (ascending or not) lies in."""
     return np.searchsorted(offsets, places, side="right") - 1

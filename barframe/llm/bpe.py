@@ -18,9 +18,8 @@ from functools import cache
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from barframe.llm.arrays import LETTER, NUMBER, OTHER, SPACE, code_points, point_classes, text_chunks
+from barframe.llm.arrays import LETTER, NUMBER, OTHER, SPACE, code_points, point_classes, text_chunks, with_input
 
 CACHE_PIECES = 200_000  # merged pieces in each of the two generations of a worker's cache
 _NEVER = 1 << 62  # the rank of a pair that does not merge
@@ -197,9 +196,7 @@ def encode_texts(
     with open(ranks_path, "rb") as file:
         content = df.sparkSession.sparkContext.broadcast(file.read())
     added = [name for name in (ids, offsets, decoded) if name]
-    rest = [c for c in df.columns if c not in added]
-    source = df.select(F.col(f"`{text}`").alias("__text"), *[F.col(f"`{c}`") for c in rest])
-    schema = source.drop("__text").schema
+    source, rest, schema = with_input(df, text, added)
     for name in added:
         schema = schema.add(name, "binary")
 

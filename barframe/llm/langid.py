@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from barframe.llm.arrays import code_points, lower_points, rows_of, text_chunks
+from barframe.llm.arrays import code_points, lower_points, rows_of, text_chunks, with_input
 
 BUCKET_BITS = 12
 SAMPLE_ROWS = 2000  # labelled rows that the classifiers are fitted on, over all languages
@@ -162,9 +162,8 @@ def identify(df: DataFrame, model: Model, text: str = "text", pred: str = "lang_
     ``unknown``, score 0 and ambiguous true. Ties go to the label first by code point. Columns of
     these names in ``df`` are replaced, all others kept.
     """
-    rest = [c for c in df.columns if c not in (pred, score, ambiguous)]
-    source = df.select(F.col(f"`{text}`").alias("__text"), *[F.col(f"`{c}`") for c in rest])
-    schema = source.drop("__text").schema.add(pred, "string").add(score, "double").add(ambiguous, "boolean")
+    source, rest, schema = with_input(df, text, (pred, score, ambiguous))
+    schema = schema.add(pred, "string").add(score, "double").add(ambiguous, "boolean")
     shared = df.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

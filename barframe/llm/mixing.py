@@ -68,8 +68,9 @@ def newton_tilt(size: Column, target: Column, steps: int = NEWTON_STEPS) -> Colu
     return F.when((size > 0) & (target > 0), step)
 
 
-def mix_sources(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", most: int = MOST, targets: DataFrame | None = None) -> DataFrame:
-    """``(doc_id, size, source_size, target, copies, taken)`` of every document row.
+def mix_sources(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", most: int = MOST, targets: DataFrame | None = None, tag: str | None = None) -> DataFrame:
+    """``(doc_id, size, source_size, target, copies, taken)`` of every document row, and its ``tag``
+    if a column of that name is given.
 
     ``taken = copies * size`` words, copies from 0 to ``most``. ``targets (source, target)`` may
     give the words wanted of each source (above ``most`` times its size it stops there; sources
@@ -79,7 +80,8 @@ def mix_sources(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sou
     target by half a document's size at most. Repeated rows count as documents each.
     """
     key = F.md5(F.coalesce(F.col(doc_id).cast("string"), F.lit("")))
-    sized = stored(docs.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), word_count(text).alias("size"), key.alias("key")), "sized")
+    tags = [F.col(f"`{tag}`").alias("tag")] if tag else []
+    sized = stored(docs.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), word_count(text).alias("size"), key.alias("key"), *tags), "sized")
     sizes = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
     if targets is None:
         aimed = capped_targets(repeating_weights(sizes), most)
@@ -119,7 +121,7 @@ def mix_sources(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sou
     return (
         clear.unionByName(edge)
         .withColumn("copies", F.least(F.col("base") + F.col("odd"), F.lit(most)))
-        .select("doc_id", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
+        .select("doc_id", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"), *(["tag"] if tag else []))
     )
 
 

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barframe.llm import bpe, langid, licenses, mixing, tokenfiles, toxicity
+from barframe.llm import bpe, covertree, htmltext, kmeanstree, langid, licenses, mixing, ngramjoin, tokenfiles, toxicity
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 
@@ -20,6 +20,11 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfiles.document_token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path(RANKS))
 
 
+def op2_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate groups and link counts of all vectors."""
+    return covertree.link_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Expected severity of every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -27,6 +32,11 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.severity(docs, model).select("doc_id", "severity", "grade", "toxic")
 
 
+def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate groups of all documents by 3-word shingles."""
+    return ngramjoin.jaccard_groups(table(spark, sf_dir, "documents"))
+
+
 def op5_entropy_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix of sources takes of every document."""
     return mixing.mix_sources(table(spark, sf_dir, "documents"))
@@ -38,6 +48,12 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.cross_checked(docs).select("doc_id", "held_out", "lang_pred", "score", "ambiguous")
 
 
+def op7_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return htmltext.extract(pages, htmltext.fit_labeller(pages)).select("page_id", "url", "text", "n_chars")
+
+
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every whole text encoded to ids and decoded again, as digests."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -50,6 +66,11 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_kmeans_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten nearest neighbours of every hundredth vector."""
+    return kmeanstree.every_hundredth(table(spark, sf_dir, "embeddings"))
+
+
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """License notices in every document."""
     return licenses.scan_licenses(table(spark, sf_dir, "documents"))
@@ -57,11 +78,15 @@ def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_token_counts": op1_token_counts,
+    "op2_cover_tree": op2_cover_tree,
     "op3_toxicity": op3_toxicity,
+    "op4_ngram_join": op4_ngram_join,
     "op5_entropy_mix": op5_entropy_mix,
     "op6_language_id": op6_language_id,
+    "op7_main_text": op7_main_text,
     "op8_byte_bpe": op8_byte_bpe,
     "op9_license_scan": op9_license_scan,
+    "op10_kmeans_tree": op10_kmeans_tree,
 }
 
 ORACLES: dict[str, str] = {"op5_entropy_mix": mixing.MIX_SQL}

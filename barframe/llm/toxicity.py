@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barframe.llm.arrays import code_points, lower_points, point_sums, rows_of, span_hashes, text_chunks
+from barframe.llm.arrays import code_points, lower_points, point_sums, rows_of, span_hashes, text_chunks, with_input
 
 SAMPLE_ROWS = 2000  # labelled documents of each class that the model is fitted on
 FEATURES = 512  # features kept, those that tell the classes apart best
@@ -187,9 +187,8 @@ def severity(df: DataFrame, model: Model, text: str = "text", expected: str = "s
     any grade above 0 is likelier than not. A null or empty text is not toxic, with severity 0.
     Columns of these names in ``df`` are replaced, all others kept."""
     added = [expected, grade, toxic]
-    rest = [c for c in df.columns if c not in added]
-    source = df.select(F.col(f"`{text}`").alias("__text"), *[F.col(f"`{c}`") for c in rest])
-    schema = source.drop("__text").schema.add(expected, "double").add(grade, "integer").add(toxic, "boolean")
+    source, rest, schema = with_input(df, text, added)
+    schema = schema.add(expected, "double").add(grade, "integer").add(toxic, "boolean")
     shared = df.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
