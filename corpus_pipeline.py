@@ -1,4 +1,12 @@
-"""Documents to training tokens: the stages in order, each written and read again as the next one's documents."""
+"""Documents to training tokens: five stages, each written and read again as the next one's documents.
+
+1. language ID: documents without a letter, or long ones whose language stays ambiguous, go;
+2. toxicity: documents more likely toxic than not go;
+3. n-gram Jaccard join: of the documents that link by five-word shingles at 0.8 the one with the
+   smallest id stays;
+4. mixing: documents are repeated (0 to 3 times) so that sources come near their target weights;
+5. byte-level BPE: every row that is left becomes token ids.
+"""
 
 from __future__ import annotations
 
@@ -6,17 +14,56 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barframe.llm import bpe
+from barframe.llm import bpe, langid, mixing, ngramjoin, toxicity
 from barframe.session import stored
 
+COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+LONG = 200  # characters from which ambiguity speaks against a text
+
+
+def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language can be told; short texts may be ambiguous. The model learns from the
+    ``lang`` of its own input."""
+    told = langid.identify(docs.select(*COLUMNS), langid.fit_languages(docs))
+    return told.where((F.col("lang_pred") != "und") & ~(F.col("ambiguous") & (F.length("text") >= LONG))).select(*COLUMNS)
+
+
+def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the severity model does not call toxic. It learns from the table of labels."""
+    model = toxicity.fit_severity(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return toxicity.severity(docs.select(*COLUMNS), model).where(~F.col("toxic")).select(*COLUMNS)
+
+
+def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate group. Of rows with one id one stays; rows without an id
+    belong to no group and all stay."""
+    groups = ngramjoin.jaccard_groups(docs, like=ngramjoin.Likeness(words=5, num=80, den=100))
+    chosen = groups.where("doc_id = component_id").select("doc_id").distinct()
+    rows = docs.select(*COLUMNS)
+    return rows.join(chosen, "doc_id", "left_semi").dropDuplicates(["doc_id"]).unionByName(rows.where("doc_id is null")).select(*COLUMNS)
+
+
+def to_target_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix of sources takes it."""
+    rows = stored(docs.select(*COLUMNS).withColumn("row", F.monotonically_increasing_id()), "mix-rows")
+    copies = mixing.mix_sources(rows, tag="row").where("copies > 0").select(F.col("tag").alias("row"), "copies")
+    repeated = rows.join(copies, "row").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
+    return repeated.select(*COLUMNS)
+
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Byte-level BPE ids of every document that is left."""
-    tokens = bpe.encode_texts(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), decoded="decoded")
-    return tokens.withColumn("n_tokens", F.expr("length(ids) div 4").cast("long")).select("doc_id", "lang", "source", "n_tokens", "ids")
+    """Token ids of every document row, packed as little-endian unsigned 32-bit integers."""
+    tokens = bpe.encode_texts(docs.select(*COLUMNS), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    return tokens.select("doc_id", "lang", "source", F.expr("length(ids) div 4").cast("long").alias("n_tokens"), "ids")
 
 
-STAGES = [("bpe", encode)]
+STAGES = [
+    ("language_id", known_language),
+    ("toxicity", not_toxic),
+    ("ngram_join", one_of_each),
+    ("mixing", to_target_weights),
+    ("byte_bpe", encode),
+]
 
 #: SQL has no words for the learned stages; tests hold the pipeline against brute force.
 ORACLE_SQL = None
