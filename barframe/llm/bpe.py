@@ -166,7 +166,7 @@ def encode_chunk(words: Vocabulary, data: np.ndarray, offsets: np.ndarray) -> li
     starts = piece_starts(data, offsets)
     raw = data.tobytes()
     at = starts.tolist()
-    packed = list(map(words.__getitem__, [raw[a:b] for a, b in zip(at, [*at[1:], len(raw)], strict=True)]))
+    packed = list(map(words.__getitem__, [raw[a:b] for a, b in zip(at, [*at[1:], len(raw)][: len(at)], strict=True)]))
     cuts = np.searchsorted(starts, offsets).tolist()
     return [b"".join(packed[a:b]) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
 
