@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barframe.fixed_values import CAP_CLASSES, CAP_COLUMN, INDEX_TYPE, MID_PATTERN, SMALL_PATTERN
+from barframe.functions.names import quoted_name
 from barframe.functions.text import name_matches, same_text
 from barframe.operators.skew import join_per_key
 
@@ -24,13 +25,13 @@ def membership_rows(df: DataFrame, index: str = "index_name", symbol: str = "sym
     """``Index``, ``Index Type``, ``Stock`` and all other fields; those three names are never overwritten."""
     rest = [c for c in df.columns if c not in (*RESERVED, index, *drop)]
     return df.select(
-        F.col(index).alias("Index"), F.lit(INDEX_TYPE).alias("Index Type"), F.col(symbol).alias("Stock"), *rest
+        F.col(index).alias("Index"), F.lit(INDEX_TYPE).alias("Index Type"), F.col(symbol).alias("Stock"), *map(quoted_name, rest)
     )
 
 
 def order_columns(df: DataFrame, first: Sequence[str] = ("Stock", "Index Type", "Index")) -> DataFrame:
     lead = [c for c in first if c in df.columns]
-    return df.select(*lead, *[c for c in df.columns if c not in lead])
+    return df.select(*map(quoted_name, [*lead, *[c for c in df.columns if c not in lead]]))
 
 
 def normalize_index(df: DataFrame, index: str = "Index") -> DataFrame:
@@ -64,8 +65,8 @@ def add_cap_class(
 ) -> DataFrame:
     """Mid Cap before Small Cap before Large Cap, by the indices that hold the stock."""
     flags = membership_flags(df, index, stock, mid, small)
-    per_stock = flags.select(stock, "rows", cap_class_col(F.col("in_mid"), F.col("in_small")).alias(out))
-    return join_per_key(df, per_stock, stock, "rows")
+    per_stock = flags.select(stock, cap_class_col(F.col("in_mid"), F.col("in_small")).alias(out))
+    return join_per_key(df, per_stock, stock)
 
 
 def unique_stocks(df: DataFrame, stock: str = "Stock") -> DataFrame:

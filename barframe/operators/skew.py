@@ -1,62 +1,28 @@
-"""Joins to a table with one row per key, where a few keys may hold most of the left rows."""
+"""Joins to a value per key, where a few keys may hold most of the left rows.
 
-from __future__ import annotations
+One plan at every size: an equi-join on the key. The left side is never grouped, so adaptive
+execution may split a partition that one key fills and copy the few rows of the other side.
+"""
 
-from collections.abc import Sequence
+from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-HOT_KEYS = 1000  # at most this many keys are treated as hot
-HOT_ROWS = 1_000_000  # a key with fewer rows is never hot
-
-
-def hot_keys(per_key: DataFrame, key: str, n: str, keys: int = HOT_KEYS, rows: int = HOT_ROWS) -> DataFrame:
-    """The ``keys`` rows of ``per_key`` (one per key, with its row count ``n``) with the most rows.
-
-    Their number is bounded whatever the data, and any key left out holds less than
-    ``1/keys`` of all rows.
-    """
-    return per_key.where(F.col(n) >= rows).orderBy(F.col(n).desc(), key).limit(keys)
-
-
-def join_per_key(
-    left: DataFrame, per_key: DataFrame, key: str, n: str, keys: int = HOT_KEYS, rows: int = HOT_ROWS
-) -> DataFrame:
-    """Left rows with the columns of ``per_key``, which has a row for every left key (NULL is a key).
-
-    ``n`` is the number of left rows of the key. Rows of hot keys meet the broadcast hot
-    rows where they are and are not shuffled; the others take the ordinary join. ``left`` is
-    read in both branches, so hand in a stored table rather than a long plan.
-    """
-    added = [c for c in per_key.columns if c not in (key, n)]
-
-    def side(df: DataFrame, prefix: str) -> DataFrame:
-        return df.select(F.col(key).alias(f"{prefix}key"), n, *[F.col(c).alias(prefix + c) for c in added])
-
-    # Both branches use the same columns of both sides, so each side is computed once.
-    hot = F.broadcast(side(hot_keys(per_key, key, n, keys, rows), "__hot_").withColumnRenamed(n, "__hot_n"))
-    cold = side(per_key.where(F.col(n) > 0), "__cold_")
-    tagged = left.join(hot, left[key].eqNullSafe(F.col("__hot_key")), "left")
-    from_hot = tagged.where("__hot_n is not null").select(*left.columns, *[F.col(f"__hot_{c}").alias(c) for c in added])
-    from_cold = (
-        tagged.where("__hot_n is null")
-        .join(cold, left[key].eqNullSafe(F.col("__cold_key")))
-        .select(*left.columns, *[F.coalesce(f"__hot_{c}", f"__cold_{c}").alias(c) for c in added])
-    )
-    return from_hot.unionByName(from_cold)
+from barframe.functions.names import quoted_name
 
 
-def count_per_key(left: DataFrame, key: str, n: str = "__n") -> DataFrame:
-    return left.groupBy(key).agg(F.count(F.lit(1)).alias(n))
+def join_per_key(left: DataFrame, per_key: DataFrame, key: str) -> DataFrame:
+    """Left rows with the other columns of ``per_key``, which has one row per key (NULL is a key);
+    a left row without one gets NULL."""
+    added = [c for c in per_key.columns if c != key]
+    side = per_key.select(F.col(quoted_name(key)).alias("__key"), *[F.col(quoted_name(c)).alias(f"__{c}") for c in added])
+    joined = left.join(side, left[quoted_name(key)].eqNullSafe(F.col("__key")), "left")
+    return joined.select(*[left[quoted_name(c)] for c in left.columns], *[F.col(quoted_name(f"__{c}")).alias(c) for c in added])
 
 
 def flag_members(left: DataFrame, members: DataFrame, key: str, member_key: str, name: str) -> DataFrame:
     """Add a boolean: is ``left[key]`` in ``members``? NULL is never a member."""
-    known = members.select(F.col(member_key).alias("__m")).distinct()
-    per_key = (
-        count_per_key(left, key)
-        .join(known, F.col(key) == F.col("__m"), "left")
-        .select(key, "__n", F.col("__m").isNotNull().alias(name))
-    )
-    return join_per_key(left, per_key, key, "__n")
+    known = members.select(F.col(member_key).alias("__m")).where("__m is not null").distinct()
+    joined = left.join(known, left[quoted_name(key)] == F.col("__m"), "left")
+    return joined.select(*[left[quoted_name(c)] for c in left.columns], F.col("__m").isNotNull().alias(name))
