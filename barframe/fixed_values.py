@@ -92,63 +92,70 @@ SYMBOL_LENGTH = 15
 BATCH_LIMIT = 10
 
 # Texts; names in braces are columns.
-PREDICTION_LINES = [
-    "<b>🤖 Hourly Market Prediction</b>",
-    "⏰ <i>{timestamp}</i>",
-    "",
-    "<b>Next Hour Prediction:</b> {trend}",
-    "<b>Uptrend Probability:</b> {probability}",
-    "<b>Model Accuracy:</b> {accuracy}",
-    "",
-    "<b>📊 Model Performance:</b>",
-    "• Precision (Down): {precision_0}",
-    "• Precision (Up): {precision_1}",
-    "• Recall (Down): {recall_0}",
-    "• Recall (Up): {recall_1}",
-    "",
-    "<b>📈 Data Overview:</b>",
-    "• Data Points: {data_points} (1-min intervals)",
-    "• Features Used: {features_used}",
-    "• Timeframe: Last 7 days",
-    "",
-    "<i>🔄(1-min data)</i>",
-]
-ERROR_LINES = [
-    "<b>🚨 Market Predictor Error</b>",
-    "⏰ <i>{timestamp}</i>",
-    "",
-    "<b>Error:</b> {error}",
-    "",
-    "<i>Please check the logs for more details.</i>",
-]
-STATUS_LINES = [
-    "📊 <b>Bot Status</b>",
-    "",
-    "🟢 Status: Active",
-    "📱 Mode: On-demand checking",
-    "👥 Authorized Users: {authorized}",
-    "🔧 Commands: {commands}",
-    "📨 Last Update ID: {last_update_id}",
-    "",
-    "<i>Bot ready for notifications!</i>",
-]
-HELP_LINES = [
-    "",
-    "🆘 <b>Available Commands:</b>",
-    "",
-    "{commands}",
-    "",
-    "💡 <b>How it works:</b>",
-    "This bot checks for messages only when your trading script calls check_messages().",
-    "Send notifications anytime with send_notification().",
-    "        ",
-]
+PREDICTION_MESSAGE = """\
+<b>🤖 Hourly Market Prediction</b>
+⏰ <i>{timestamp}</i>
+
+<b>Next Hour Prediction:</b> {trend}
+<b>Uptrend Probability:</b> {probability}
+<b>Model Accuracy:</b> {accuracy}
+
+<b>📊 Model Performance:</b>
+• Precision (Down): {precision_0}
+• Precision (Up): {precision_1}
+• Recall (Down): {recall_0}
+• Recall (Up): {recall_1}
+
+<b>📈 Data Overview:</b>
+• Data Points: {data_points} (1-min intervals)
+• Features Used: {features_used}
+• Timeframe: Last 7 days
+
+<i>🔄(1-min data)</i>"""
+ERROR_MESSAGE = """\
+<b>🚨 Market Predictor Error</b>
+⏰ <i>{timestamp}</i>
+
+<b>Error:</b> {error}
+
+<i>Please check the logs for more details.</i>"""
+STATUS_MESSAGE = """\
+📊 <b>Bot Status</b>
+
+🟢 Status: Active
+📱 Mode: On-demand checking
+👥 Authorized Users: {authorized}
+🔧 Commands: {commands}
+📨 Last Update ID: {last_update_id}
+
+<i>Bot ready for notifications!</i>"""
+HELP_MESSAGE = '\n🆘 <b>Available Commands:</b>\n\n{commands}\n\n💡 <b>How it works:</b>\nThis bot checks for messages only when your trading script calls check_messages().\nSend notifications anytime with send_notification().\n        '
 PING_TEXT = "🏓 Pong! Bot is responsive."
 INFO_FALLBACK_TEXT = "❌ Could not retrieve bot information"
 UNKNOWN_TEXT = "❓ Unknown command: /"
 ERROR_TEXT = "❌ Error: "
+FAILURE_TEXT = "🚨 Pipeline failed: "
 DEFAULT_COMMANDS = ["status", "help", "ping", "info"]
 
+# Features taken from each instrument: feature -> (instrument, column), in table order.
+FEATURE_SOURCES = {
+    "N_Close": ("NSEI", "close"),
+    "N_Return": ("NSEI", "return"),
+    "N_Return_1h": ("NSEI", "return_1h"),
+    "B_Close": ("NSEBANK", "close"),
+    "B_Return": ("NSEBANK", "return"),
+    "B_Return_1h": ("NSEBANK", "return_1h"),
+    "SNP_Return": ("SNP", "return"),
+    "VIX_Close": ("INDIA_VIX", "close"),
+    "VIX_Return": ("INDIA_VIX", "return"),
+    "NSEI_RSI": ("NSEI", "rsi"),
+    "NSEI_MACD": ("NSEI", "macd"),
+    "NSEI_Volatility": ("NSEI", "volatility"),
+    "NSEBANK_RSI": ("NSEBANK", "rsi"),
+    "NSEBANK_MACD": ("NSEBANK", "macd"),
+    "NSEBANK_Volatility": ("NSEBANK", "volatility"),
+}
+
 # Feature columns of the trend model, in order, by group.
 BASE_FEATURES = [
     "N_Return", "N_Return_1h",

@@ -214,10 +214,10 @@ def full_name(first: Column | str, last: Column | str) -> Column:
     return F.trim(F.concat(F.coalesce(_col(first), F.lit("")), F.lit(" "), F.coalesce(_col(last), F.lit(""))))
 
 
-def fill_lines(lines: Sequence[str], values: Mapping[str, Column]) -> Column:
-    """Lines of text with ``{name}`` places filled from columns; a NULL shows as N/A."""
+def fill_lines(text: str, values: Mapping[str, Column]) -> Column:
+    """A text with ``{name}`` places filled from columns; a NULL shows as N/A."""
     pieces = []
-    for part in re.split(r"(\{\w+\})", "\n".join(lines)):
+    for part in re.split(r"(\{\w+\})", text):
         name = part[1:-1] if re.fullmatch(r"\{\w+\}", part) else None
         if name:
             pieces.append(F.coalesce(values[name].cast("string"), F.lit("N/A")))

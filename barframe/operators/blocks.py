@@ -33,10 +33,11 @@ def row_ordinal(
     ``bucket`` (a ``date_trunc`` unit) bounds the rows one task sorts; a day holds 1440
     one-minute bars, and a table of ticks wants a smaller unit. The table of bucket counts
     holds one row per series and bucket; only that table is put in order as a whole. Rows
-    without key or time belong to no series and are dropped.
+    without key or time belong to no series and are dropped before anything is counted.
     """
     keys = list(keys)
     cut, before = "__bucket", "__before"
+    df = df.na.drop("any", subset=[*keys, time_col])
     bucketed = df.withColumn(cut, F.date_trunc(bucket, F.col(time_col)))
     earlier = Window.partitionBy(*(keys or [F.lit(0)])).orderBy(cut).rowsBetween(Window.unboundedPreceding, -1)
     offsets = (

@@ -213,11 +213,12 @@ def macd_col() -> Column:
 
 
 def rsi(
-    df: DataFrame, col: str = "close", window: int = 14, out: str = "rsi", keys: Sequence[str] = SERIES_KEYS
+    df: DataFrame, col: str = "close", window: int = 14, out: str = "rsi", keys: Sequence[str] = SERIES_KEYS,
+    size: int | None = None,
 ) -> DataFrame:
     """Relative strength on Wilder means; 100 where the mean fall is 0, NULL in the first ``window - 1`` rows."""
     means = rsi_means(window)
-    size = block_size([m.alpha for m in means.values()])
+    size = size or block_size([m.alpha for m in means.values()])
     numbered = df if "rn" in df.columns else row_ordinal(df, keys)
     moves = row_blocks(numbered, before=1, size=size).withColumns(move_cols(col, block_window(keys))).where("core")
     rest = [c for c in df.columns if c != out]
@@ -226,11 +227,11 @@ def rsi(
 
 def macd_diff(
     df: DataFrame, col: str = "close", fast: int = 12, slow: int = 26, sign: int = 9, out: str = "macd_diff",
-    keys: Sequence[str] = SERIES_KEYS,
+    keys: Sequence[str] = SERIES_KEYS, size: int | None = None,
 ) -> DataFrame:
     """Fast minus slow mean, less the mean of that line; first value on row ``slow + sign - 2``."""
     means, signal = macd_means(col, fast, slow), macd_signal(slow, sign)
-    size = block_size([m.alpha for m in (*means.values(), *signal.values())])
+    size = size or block_size([m.alpha for m in (*means.values(), *signal.values())])
     numbered = df if "rn" in df.columns else row_ordinal(df, keys)
     lines = smooth_blocks(row_blocks(numbered, size=size), means, size, keys, signal)
     return lines.select(*[c for c in df.columns if c != out], macd_col().alias(out))

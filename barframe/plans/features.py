@@ -7,12 +7,12 @@ from collections.abc import Collection, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barframe.fixed_values import BASE_FEATURES, FEATURE_GROUPS, INSTRUMENTS, PRIMARY, TARGET
+from barframe.fixed_values import BASE_FEATURES, FEATURE_GROUPS, FEATURE_SOURCES, INSTRUMENTS, PRIMARY, TARGET
 from barframe.functions import series as fx
 from barframe.operators import smoothing as sm
 from barframe.operators.align import align_by_position, align_by_time
 from barframe.operators.blocks import SERIES_KEYS, block_window, row_blocks, row_ordinal
-from barframe.operators.rows import drop_incomplete
+from barframe.operators.rows import drop_incomplete, latest_row
 
 RETURN_COLUMNS = ("return", "return_1h", "target", "rsi", "macd", "volatility")
 
@@ -20,16 +20,18 @@ RETURN_COLUMNS = ("return", "return_1h", "target", "rsi", "macd", "volatility")
 def add_returns(
     bars: DataFrame, horizon: int = 60, rsi_window: int = 14, fast: int = 12, slow: int = 26, sign: int = 9,
     vol_window: int = 30, null_tail: bool = False, keys: Sequence[str] = SERIES_KEYS,
+    size: int | None = None,
 ) -> DataFrame:
     """Returns, target, RSI, MACD difference and volatility of every series, and the ordinal ``rn``.
 
-    All frames and means share one exchange on ``(symbol, block)``: a block gets the rows its
-    frames reach in the blocks beside it, and the means add their carry by a join on the
-    same key.
+    All frames and means work on the same ``(symbol, block)`` pieces of ``size`` rows: a block gets
+    the rows its frames reach in the blocks beside it, and the means add their carry by a join
+    on the same key. The plan reads the rows twice, once for the block ends and once for the
+    rows that get the carry.
     """
     means = {**sm.rsi_means(rsi_window), **sm.macd_means("close", fast, slow)}
     signal = sm.macd_signal(slow, sign)
-    size = sm.block_size([m.alpha for m in (*means.values(), *signal.values())])
+    size = size or sm.block_size([m.alpha for m in (*means.values(), *signal.values())])
     numbered = bars if "rn" in bars.columns else row_ordinal(bars, keys)
     w = block_window(keys)
     framed = (
@@ -58,38 +60,19 @@ def require_series(bars: DataFrame, names: Collection[str] = tuple(INSTRUMENTS),
     """
     found = {r["symbol"] for r in bars.where(F.col("symbol").isin(*names)).select("symbol").distinct().collect()}
     if primary not in found:
-        raise ValueError(f"No data for {primary} (primary index)")
+        raise ValueError(f"the primary series {primary} has no bars")
     return [n for n in names if n in found]
 
 
 def feature_columns(present: Collection[str]) -> dict[str, tuple[str, str]]:
     """Feature name -> (series, column), for the series that are present."""
-    columns: dict[str, tuple[str, str]] = {}
-    for series, prefix in (("NSEI", "N"), ("NSEBANK", "B")):
-        if series in present:
-            columns |= {
-                f"{prefix}_Close": (series, "close"),
-                f"{prefix}_Return": (series, "return"),
-                f"{prefix}_Return_1h": (series, "return_1h"),
-            }
-    if "SNP" in present:
-        columns["SNP_Return"] = ("SNP", "return")
-    if "INDIA_VIX" in present:
-        columns |= {"VIX_Close": ("INDIA_VIX", "close"), "VIX_Return": ("INDIA_VIX", "return")}
-    for series in ("NSEI", "NSEBANK"):
-        if series in present:
-            columns |= {
-                f"{series}_RSI": (series, "rsi"),
-                f"{series}_MACD": (series, "macd"),
-                f"{series}_Volatility": (series, "volatility"),
-            }
-    return columns
+    return {name: source for name, source in FEATURE_SOURCES.items() if source[0] in present}
 
 
 def feature_table(
     bars: DataFrame, sentiment: DataFrame | int = 0, present: Collection[str] | None = None, primary: str = PRIMARY,
     align: str = "position", tolerance: str | None = None, tz: str | None = None, null_tail: bool = False,
-    complete: bool = True,
+    complete: bool = True, size: int | None = None,
 ) -> DataFrame:
     """One row per primary bar, with the features of all series and the target.
 
@@ -99,7 +82,7 @@ def feature_table(
     present = require_series(bars, primary=primary) if present is None else list(present)
     wanted = bars.where(F.col("symbol").isin(*present))
     columns = {**feature_columns(present), TARGET: (primary, "target")}
-    long = add_returns(wanted, null_tail=null_tail)
+    long = add_returns(wanted, null_tail=null_tail, size=size)
     if align == "position":
         wide = align_by_position(long, primary, columns)
     else:
@@ -122,8 +105,8 @@ def select_features(columns: Collection[str]) -> list[str]:
 
 
 def latest_features(table: DataFrame, features: Sequence[str] | None = None) -> DataFrame:
-    """The newest row of the feature table: the one to score."""
-    row = table.orderBy(F.col("ts").desc()).limit(1)
+    """The newest row of the feature table: the one to score. Of rows with one time, the last by their values."""
+    row = latest_row(table, tie_breakers=[c for c in table.columns if c != "ts"])
     return row.select("ts", *features) if features else row
 
 
