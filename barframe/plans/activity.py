@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barframe.fixed_values import CATEGORY_ORDER, KEYS_COLUMN, REASON_COLUMN, SNAPSHOT_PATHS, SPLIT_DOCUMENT
+from barframe.functions.names import quoted_name
 from barframe.operators.screens import add_record_keys, tag_reason
 from barframe.sources.records import all_records, discover_fields, expand_fields, read_snapshots
 
@@ -20,7 +21,7 @@ def activity_table(records: DataFrame, fields: Sequence[tuple[str, str]] | None
     place = F.array_position(F.lit(CATEGORY_ORDER), F.col("category"))
     fields = discover_fields(records, (place, "pos")) if fields is None else fields
     tagged = add_record_keys(tag_reason(records, F.col("category")))
-    return expand_fields(tagged, fields).select(*[n for n, _ in fields], REASON_COLUMN, KEYS_COLUMN)
+    return expand_fields(tagged, fields).select(*[quoted_name(n) for n, _ in fields], REASON_COLUMN, KEYS_COLUMN)
 
 
 def read_activity(spark: SparkSession, catalog: Mapping[str, str]) -> DataFrame:

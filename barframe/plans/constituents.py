@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barframe.fixed_values import INDICES
+from barframe.functions.names import quoted_name
 from barframe.operators.memberships import (
     add_cap_class,
     drop_self_row,
@@ -51,7 +52,7 @@ def membership_table(docs: DataFrame, fields: Sequence[tuple[str, str]] | None =
     fields = discover_fields(constituent_records(docs), ("index_name", "pos")) if fields is None else list(fields)
     if not any(name == "symbol" for name, _ in fields):
         fields = [("symbol", "string"), *fields]
-    schema = ", ".join(f"`{name}`: string" for name, _ in fields)
+    schema = ", ".join(f"{quoted_name(name)}: string" for name, _ in fields)
     records = F.from_json("doc", f"struct<data: array<struct<{schema}>>>").getField("data")
     # A record's own field called index_name or pos must not meet ours.
     parsed = docs.select(F.col("index_name").alias("__index"), F.posexplode(records).alias("__pos", "__record"))
