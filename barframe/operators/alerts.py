@@ -2,17 +2,16 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Collection, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from barframe.fixed_values import DEFAULT_STYLE, ERROR_LINES, MESSAGE_LIMIT, PREDICTION_LINES, STYLES
+from barframe.fixed_values import DEFAULT_STYLE, ERROR_MESSAGE, MESSAGE_LIMIT, PREDICTION_MESSAGE, STYLES
 from barframe.functions.text import fill_lines, fixed_point, percent_text, text_parts, timestamp_text
 from barframe.operators.skew import flag_members
 
-GRID = 8  # pieces per side when a table of recipients meets alerts for everyone
-
 
 def style_lookup(
     df: DataFrame, type_col: str = "type", styles: Mapping[str, tuple[str, str]] = STYLES, default: str = DEFAULT_STYLE
@@ -55,14 +54,15 @@ def split_authorized(
 
 
 def fan_out(
-    alerts: DataFrame, recipients: Collection[int] | DataFrame, alert_id: str = "alert_id", grid: int = GRID
+    alerts: DataFrame, recipients: Collection[int] | DataFrame, alert_id: str = "alert_id", grid: int | None = None
 ) -> DataFrame:
     """One row per alert and recipient, in ``chat_id``.
 
     An alert without chat id (NULL or 0) goes to every recipient, another one to its chat
     if that is a recipient. A list of recipients needs no join. With a table, addressed
     alerts take a join by chat, and alerts for everyone meet the recipients in a grid of
-    ``grid`` x ``grid`` pieces, so neither side is broadcast or held by one task.
+    ``grid`` x ``grid`` pieces, so neither side is broadcast or held by one task. By default the
+    grid has about one piece per shuffle partition.
     """
     to_all = F.col("chat_id").isNull() | (F.col("chat_id") == 0)
     rest = [c for c in alerts.columns if c != "chat_id"]
@@ -75,6 +75,7 @@ def fan_out(
         return alerts.select(*rest, F.explode(targets).alias("chat_id")).select(*alerts.columns)
     known = recipients.select(F.col("chat_id").cast("bigint").alias("chat_id")).distinct()
     addressed, _ = split_authorized(alerts.where(~to_all).withColumn("chat_id", F.col("chat_id").cast("bigint")), known)
+    grid = grid or math.ceil(math.sqrt(int(alerts.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
     pieces = F.sequence(F.lit(0), F.lit(grid - 1))
     left = (
         alerts.where(to_all)
@@ -94,12 +95,30 @@ def message_parts(df: DataFrame, text: str = "text", limit: int = MESSAGE_LIMIT)
     return df.select(*rest, F.posexplode(text_parts(text, limit)).alias("part", text))
 
 
+def rejected_alerts(alerts: DataFrame, recipients: Collection[int] | DataFrame) -> DataFrame:
+    """``(alert_id, chat_id, reason)`` of the alerts that ``outbox`` leaves out: addressed to a chat
+    that is no recipient, or without text."""
+    addressed = F.col("chat_id").isNotNull() & (F.col("chat_id") != 0)
+    flagged = flag_authorized(alerts.select("alert_id", F.col("chat_id").cast("bigint").alias("chat_id"), "text"), recipients, out="__known")
+    reason = F.when(F.col("text").isNull(), "no text").when(addressed & ~F.col("__known"), "chat not authorized")
+    return flagged.select("alert_id", "chat_id", reason.alias("reason")).where("reason is not null")
+
+
+def delivery_status(alerts: DataFrame, recipients: Collection[int] | DataFrame) -> DataFrame:
+    """``(alert_id, recipients, success)`` per alert id: how many chats get it, and whether any does."""
+    sent = fan_out(alerts.where("text is not null").select("alert_id", "chat_id"), recipients)
+    counted = sent.groupBy("alert_id").agg(F.count_distinct("chat_id").alias("recipients"))
+    every = alerts.select("alert_id").distinct().join(counted, "alert_id", "left")
+    n = F.coalesce("recipients", F.lit(0))
+    return every.select("alert_id", n.alias("recipients"), (n > 0).alias("success"))
+
+
 def outbox(alerts: DataFrame, recipients: Collection[int] | DataFrame) -> DataFrame:
     """Rows to send, ``(alert_id, chat_id, part, text, silent)``, of styled alerts
-    ``(alert_id, chat_id, text[, silent])``."""
+    ``(alert_id, chat_id, text[, silent])``. What is not sent is in ``rejected_alerts``."""
     silent = F.col("silent") if "silent" in alerts.columns else F.lit(False)
     ready = alerts.select("alert_id", "chat_id", "text", F.coalesce(silent, F.lit(False)).alias("silent"))
-    return message_parts(fan_out(ready, recipients)).select("alert_id", "chat_id", "part", "text", "silent")
+    return message_parts(fan_out(ready.where("text is not null"), recipients)).select("alert_id", "chat_id", "part", "text", "silent")
 
 
 # ---- texts -----------------------------------------------------------------------------
@@ -124,11 +143,11 @@ def render_prediction(results: DataFrame) -> DataFrame:
         .when(F.contains("trend", F.lit("Downtrend")), "warning")
         .otherwise("info")
     )
-    return results.withColumn("type", kind).withColumn("text", fill_lines(PREDICTION_LINES, values))
+    return results.withColumn("type", kind).withColumn("text", fill_lines(PREDICTION_MESSAGE, values))
 
 
 def render_error(errors: DataFrame) -> DataFrame:
     """The styled text of rows ``(error, timestamp)``."""
     values = {"timestamp": timestamp_text("timestamp"), "error": F.col("error")}
-    message = errors.withColumn("type", F.lit("error")).withColumn("message", F.trim(fill_lines(ERROR_LINES, values)))
+    message = errors.withColumn("type", F.lit("error")).withColumn("message", F.trim(fill_lines(ERROR_MESSAGE, values)))
     return style_alert(message).drop("icon", "color")

@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 from barframe.fixed_values import (
     BATCH_LIMIT,
     DEFAULT_COMMANDS,
-    HELP_LINES,
+    HELP_MESSAGE,
     INFO_FALLBACK_TEXT,
     PING_TEXT,
-    STATUS_LINES,
+    STATUS_MESSAGE,
     UNKNOWN_TEXT,
 )
 from barframe.functions.text import command_args, command_name, fill_lines, full_name, is_command
@@ -80,14 +80,15 @@ def sorted_commands(names: Collection[str]) -> str:
     return "\n".join(f"/{name}" for name in sorted(set(names)))
 
 
-def command_list(commands: DataFrame, name: str = "command") -> DataFrame:
-    """The distinct command names of a table, sorted, one per line."""
-    names = commands.select(F.concat(F.lit("/"), name).alias("c")).distinct()
+def command_list(commands: DataFrame, names: Collection[str] = DEFAULT_COMMANDS, name: str = "command") -> DataFrame:
+    """The registered command names that a table holds, sorted, one per line. What users type is
+    open-ended; the registry bounds the row."""
+    names = commands.where(F.col(name).isin(*names)).select(F.concat(F.lit("/"), name).alias("c")).distinct()
     return names.agg(F.array_join(F.sort_array(F.collect_set("c")), "\n").alias("commands"))
 
 
 def help_text(names: Collection[str] = DEFAULT_COMMANDS) -> str:
-    return "\n".join(HELP_LINES).replace("{commands}", sorted_commands(names))
+    return HELP_MESSAGE.replace("{commands}", sorted_commands(names))
 
 
 def log_status(updates: DataFrame, ids: Collection[int], names: Collection[str] = DEFAULT_COMMANDS) -> DataFrame:
@@ -98,7 +99,7 @@ def log_status(updates: DataFrame, ids: Collection[int], names: Collection[str]
         F.lit(len(set(ids))).alias("authorized"), F.lit(len(set(names))).alias("commands"), "last_update_id", "processed"
     )
     values = {c: F.col(c) for c in ("authorized", "commands", "last_update_id")}
-    return row.withColumn("text", fill_lines(STATUS_LINES, values))
+    return row.withColumn("text", fill_lines(STATUS_MESSAGE, values))
 
 
 def default_replies(
@@ -107,7 +108,7 @@ def default_replies(
     """Texts of the built-in commands at one state of the log. ``info`` asks a remote
     service in the original setting, so here it has its fallback text."""
     status = (
-        "\n".join(STATUS_LINES)
+        STATUS_MESSAGE
         .replace("{authorized}", str(len(set(ids))))
         .replace("{commands}", str(len(set(names))))
         .replace("{last_update_id}", str(last_update_id))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import html as references
 import re
 from collections.abc import Iterator, Sequence
 from html.parser import HTMLParser
@@ -9,35 +10,33 @@ from html.parser import HTMLParser
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from barframe.fixed_values import HEADLINE_CLASS, HEADLINE_LIMIT, HEADLINE_TAG, NEGATIVE_WORDS, POSITIVE_WORDS
 from barframe.functions.text import any_word
 
-# HTML entities decoded by the pattern form.
-ENTITIES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&nbsp;": " ", "&amp;": "&"}
+@F.pandas_udf(StringType())
+def decode_references(texts: pd.Series) -> pd.Series:
+    """All character references, named and numeric, decoded."""
+    return texts.map(references.unescape, na_action="ignore")
 
 
-def _decoded(text: Column) -> Column:
-    for entity, char in ENTITIES.items():
-        text = F.replace(text, F.lit(entity), F.lit(char))
-    return text
-
-
-def html_nodes(
+def pattern_html_nodes(
     pages: DataFrame, tag: str = HEADLINE_TAG, css_class: str | None = HEADLINE_CLASS,
     limit: int | None = HEADLINE_LIMIT, html: str = "html",
 ) -> DataFrame:
     """``(..., pos, text)``: the text of the first ``limit`` elements of each page, in document order.
 
-    Runs as a pattern on the JVM. Elements inside an element of the same tag, and markup inside
-    comments and scripts, need ``parsed_html_nodes``.
+    Finds elements by a pattern on the JVM and decodes character references in Arrow batches. It
+    takes an element inside one of the same tag as part of it, and markup inside comments and
+    scripts as markup: ``html_nodes`` is the exact form.
     """
     has_class = f"(?=[^>]*\\sclass=[\"'](?:[^\"']*\\s)?{re.escape(css_class)}[\\s\"'])" if css_class else ""
     pattern = f"(?is)<{tag}(?=[\\s>]){has_class}[^>]*>(.*?)</{tag}\\s*>"
     found = F.regexp_extract_all(html, F.lit(pattern), F.lit(1))
     found = F.slice(found, 1, limit) if limit is not None else found
     rest = [c for c in pages.columns if c != html]
-    text = _decoded(F.regexp_replace("__inner", "(?s)<[^>]*>", ""))
+    text = decode_references(F.regexp_replace("__inner", "(?s)<[^>]*>", ""))
     return pages.select(*rest, F.posexplode(found).alias("pos", "__inner")).select(*rest, "pos", text.alias("text"))
 
 
@@ -68,11 +67,14 @@ class _Elements(HTMLParser):
                 self.texts[place].append(data)
 
 
-def parsed_html_nodes(
+def html_nodes(
     pages: DataFrame, tag: str = HEADLINE_TAG, css_class: str | None = HEADLINE_CLASS,
     limit: int | None = HEADLINE_LIMIT, html: str = "html",
 ) -> DataFrame:
-    """As ``html_nodes``, with a real HTML parser in Arrow batches, for nested markup."""
+    """``(..., pos, text)``: the text of the first ``limit`` elements of each page, in document order,
+    character references decoded. An element inside one of the same tag counts by itself and as
+    part of the outer one. A parser reads the pages in Arrow batches.
+    """
 
     @F.pandas_udf("array<string>")
     def texts(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:

@@ -2,23 +2,25 @@
 
 from __future__ import annotations
 
-from collections.abc import Collection, Sequence
+from collections.abc import Callable, Collection, Sequence
 from datetime import datetime
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barframe.fixed_values import MIN_TRAINING_ROWS, TARGET
+from barframe.fixed_values import FAILURE_TEXT, MIN_TRAINING_ROWS, TARGET
 from barframe.functions.text import trend_band
+from barframe.operators.alerts import outbox, render_error, render_prediction
 from barframe.operators.blocks import row_ordinal
 from barframe.operators.report import binary_measures, classification_report
 from barframe.operators.rows import require_rows, time_series_split
 from barframe.plans.features import feature_table, latest_features, select_features
 from barframe.session import cut_lineage, stored
+from barframe.sources.sinks import append_run, write_outbox
 
 TREES = 150
 DEPTH = 10
@@ -109,3 +111,31 @@ def train_and_predict(
         results_row(latest, tested, table, len(features), run_ts),
         classification_report(tested, TARGET, "prediction"),
     )
+
+
+def alert_rows(texts: DataFrame) -> DataFrame:
+    """A text for everyone, as an alert of ``outbox``."""
+    return texts.select(F.lit(0).cast("bigint").alias("alert_id"), F.lit(None).cast("bigint").alias("chat_id"), "text")
+
+
+def trend_job(
+    predicted: Callable[[], tuple[DataFrame, DataFrame]], recipients: Collection[int] | DataFrame, outbox_path: str,
+    runs_path: str, run_ts: datetime | str,
+) -> bool:
+    """One run of the whole job: train, note the run, and send the prediction to every recipient;
+    on a failure send the error instead. Returns whether the run went well.
+
+    ``predicted`` gives ``(results, report)``, as ``train_and_predict`` does. The results are
+    stored before anything is sent, so that a failure cannot come half-way. Only failures of the
+    run become an alert; one of the outbox itself is raised.
+    """
+    spark = SparkSession.active()
+    try:
+        results = stored(predicted()[0], "results")
+    except Exception as error:  # noqa: BLE001 - whatever fails is reported
+        row = spark.range(1).select(F.lit(FAILURE_TEXT + (str(error).splitlines() or [""])[0]).alias("error"), F.lit(run_ts).cast("timestamp").alias("timestamp"))
+        write_outbox(outbox(alert_rows(render_error(row)), recipients), outbox_path)
+        return False
+    append_run(results, runs_path)
+    write_outbox(outbox(alert_rows(render_prediction(results)), recipients), outbox_path)
+    return True
