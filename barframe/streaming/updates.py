@@ -1,16 +1,19 @@
 """The command log as a stream: read updates, handle commands, write replies.
 
 Progress over files is in the streaming checkpoint. The highest handled id is in a small
-state table, one row per micro-batch, and repeated ids are dropped by it. Everything a
-micro-batch writes goes to folders named after it and replaces what a failed attempt left,
-so a retry neither loses nor doubles a reply.
+state table, one row per micro-batch, and repeated ids are dropped by it; without that table
+the log starts from 0. Everything a micro-batch writes goes to folders named after the run and
+the micro-batch and replaces what a failed attempt left, so a retry neither loses nor doubles a
+reply, and a run with a new checkpoint leaves earlier output alone.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Collection
+from functools import reduce
 from datetime import datetime, timezone
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -19,7 +22,7 @@ from barframe.fixed_values import (
     ERROR_TEXT,
     INFO_FALLBACK_TEXT,
     PING_TEXT,
-    STATUS_LINES,
+    STATUS_MESSAGE,
     UNKNOWN_TEXT,
 )
 from barframe.functions.text import fill_lines
@@ -31,6 +34,7 @@ from barframe.operators.commands import (
     parse_commands,
     route_updates,
 )
+from barframe.session import cut_lineage
 
 Handler = Callable[[DataFrame], DataFrame]  # commands -> (update_id, chat_id, reply)
 
@@ -73,22 +77,33 @@ def read_updates(spark: SparkSession, path: str) -> DataFrame:
 
 
 def new_updates(updates: DataFrame, high_water: int) -> DataFrame:
-    """Updates above the high-water mark, each id once; unreadable rows have no id and stay."""
-    fresh = updates.where(F.col("update_id") > high_water).dropDuplicates(["update_id"])
+    """Updates above the high-water mark, each id once; unreadable rows have no id and stay.
+
+    Of rows with one id and different content the first by its JSON text counts.
+    """
+    content = F.to_json(F.struct(*[c for c in updates.columns if c != "update_id"]))
+    first = Window.partitionBy("update_id").orderBy(content)
+    fresh = updates.where(F.col("update_id") > high_water).withColumn("__rank", F.row_number().over(first)).where("__rank = 1").drop("__rank")
     return fresh.unionByName(updates.where(F.col("update_id").isNull()))
 
 
 def with_previous_id(updates: DataFrame, high_water: int) -> DataFrame:
     """Add ``last_update_id``: the highest id handled before this update.
 
-    Inside spans of ids by ``lag``, and for the first of a span from the spans before it.
+    Inside spans of ids by ``lag``, for the first of a span from the spans before it, and for the
+    first span of a large span from the large spans before it. Only the large spans, one row per
+    ``SPAN * SPAN`` ids, are put in order as a whole.
     """
     spans = updates.where("update_id is not null").withColumn("__span", F.expr(f"update_id div {SPAN}"))
-    earlier = Window.partitionBy(F.lit(0)).orderBy("__span").rowsBetween(Window.unboundedPreceding, -1)
-    before = (
-        spans.groupBy("__span")
-        .agg(F.max("update_id").alias("__top"))
-        .select("__span", F.coalesce(F.max("__top").over(earlier), F.lit(high_water)).alias("__before"))
+    tops = spans.groupBy("__span").agg(F.max("update_id").alias("__top")).withColumn("__large", F.expr(f"__span div {SPAN}"))
+    upto = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
+    large = (
+        tops.groupBy("__large")
+        .agg(F.max("__top").alias("__large_top"))
+        .select("__large", F.coalesce(F.max("__large_top").over(upto(Window.partitionBy(F.lit(0)).orderBy("__large"))), F.lit(high_water)).alias("__mark"))
+    )
+    before = tops.join(large, "__large").select(
+        "__span", F.coalesce(F.max("__top").over(upto(Window.partitionBy("__large").orderBy("__span"))), F.col("__mark")).alias("__before")
     )
     inside = F.lag("update_id").over(Window.partitionBy("__span").orderBy("update_id"))
     return (
@@ -102,7 +117,7 @@ def built_in_replies(commands: DataFrame, registry: Registry, ids: Collection[in
     """Replies of the built-in commands and to unknown ones; commands with a handler of
     their own are left out. Needs ``last_update_id``."""
     status = fill_lines(
-        STATUS_LINES,
+        STATUS_MESSAGE,
         {
             "authorized": F.lit(len(set(ids))),
             "commands": F.lit(len(registry.names)),
@@ -126,37 +141,50 @@ def as_outbox(replies: DataFrame) -> DataFrame:
     return message_parts(replies.withColumnRenamed("reply", "text")).select("update_id", "chat_id", "part", "text")
 
 
+def first_line(error: Exception) -> str:
+    """What failed, without the trace: the last line of a Python worker's, else the first line."""
+    lines = [line.strip() for line in str(error).splitlines() if line.strip()] or [type(error).__name__]
+    raised = [line for line in lines if line.split(":")[0].endswith(("Error", "Exception")) and " " not in line.split(":")[0]]
+    return raised[-1] if raised and "Traceback" in str(error) else lines[0]
+
+
 class UpdateJob:
     """Handles the command log from ``source`` (a stream of updates) into tables under ``root``:
-    ``outbox``, ``unauthorized``, ``dead_letters`` and ``state``."""
+    ``outbox``, ``unauthorized``, ``dead_letters`` and ``state``. ``run`` names the folders of this
+    log's checkpoint; ``now`` is the time the state notes, by default the clock's."""
 
-    def __init__(self, source: DataFrame, root: str, ids: Collection[int], registry: Registry | None = None):
+    def __init__(
+        self, source: DataFrame, root: str, ids: Collection[int], registry: Registry | None = None, run: str = "0",
+        now: datetime | str | None = None,
+    ):
         self.source, self.root, self.ids = source, root, list(ids)
-        self.registry = registry or Registry()
+        self.registry, self.run_name, self.now = registry or Registry(), run, now
 
     def run(self) -> None:
         """Handle all updates that have arrived, then stop."""
         query = (
             self.source.writeStream.foreachBatch(self.handle)
-            .option("checkpointLocation", f"{self.root}/checkpoint")
+            .option("checkpointLocation", f"{self.root}/checkpoint/{self.run_name}")
             .trigger(availableNow=True)
             .start()
         )
         query.awaitTermination()
 
     def high_water(self, spark: SparkSession, batch_id: int) -> int:
-        """The mark the batch before left; 0 without one."""
-        if batch_id == 0:
+        """The highest id that any other micro-batch noted; 0 if none did."""
+        schema = "last_update_id bigint, last_save string, processed bigint, run string, batch_id bigint"
+        try:
+            state = spark.read.schema(schema).parquet(f"{self.root}/state")
+        except AnalysisException:  # nothing has been noted yet
             return 0
-        row = spark.read.parquet(f"{self.root}/state/batch_id={batch_id - 1}").select("last_update_id").first()
-        return row[0] if row else 0
+        own = (F.col("run") == self.run_name) & (F.col("batch_id") >= batch_id)
+        return state.where(~own).agg(F.coalesce(F.max("last_update_id"), F.lit(0))).first()[0]
 
     def handle(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         mark = self.high_water(spark, batch_id)
-        batch = batch.persist()
+        updates = new_updates(batch, mark).persist()
         try:
-            updates = new_updates(batch, mark)
             with_previous = with_previous_id(updates.select("update_id"), mark)
             messages = route_updates(updates)
             allowed = is_authorized("chat_id", self.ids)
@@ -169,23 +197,33 @@ class UpdateJob:
                 self._handle_custom(commands.where(F.col("command") == name), name, handler, batch_id)
             state = updates.agg(
                 F.greatest(F.coalesce(F.max("update_id"), F.lit(mark)), F.lit(mark)).alias("last_update_id"),
-                F.lit(datetime.now(timezone.utc).isoformat()).alias("last_save"),
+                F.lit(str(self.now or datetime.now(timezone.utc).isoformat())).alias("last_save"),
                 F.count(F.lit(1)).alias("processed"),
             )
             self._write(state, "state", batch_id)
         finally:
-            batch.unpersist()
+            updates.unpersist()
 
     def _handle_custom(self, commands: DataFrame, name: str, handler: Handler, batch_id: int) -> None:
-        """A failing handler answers with its error; the other commands go on."""
-        try:
-            self._write(as_outbox(handler(commands).select("update_id", "chat_id", "reply")), "outbox", batch_id, name)
-        except Exception as error:  # noqa: BLE001 - any failure of user code becomes a reply
-            failed = commands.select("update_id", "chat_id", F.lit(f"{ERROR_TEXT}{error}").alias("reply"))
-            self._write(as_outbox(failed), "outbox", batch_id, name)
+        """The replies of a handler. Where it fails, the commands are halved by id until the ones it
+        fails on stand alone; those answer with the error and all others as usual."""
+        pieces, good = [commands], []
+        while pieces:
+            piece = pieces.pop()
+            try:
+                replies = cut_lineage(handler(piece).select("update_id", "chat_id", "reply"))
+            except Exception as error:  # noqa: BLE001 - any failure of user code becomes a reply
+                low, high, n = piece.agg(F.min("update_id"), F.max("update_id"), F.count(F.lit(1))).first()
+                if n > 1 and low < high:
+                    middle = (low + high) // 2
+                    pieces += [piece.where(F.col("update_id") <= middle), piece.where(F.col("update_id") > middle)]
+                    continue
+                replies = piece.select("update_id", "chat_id", F.lit(f"{ERROR_TEXT}{first_line(error)}").alias("reply"))
+            good.append(replies)
+        self._write(as_outbox(reduce(DataFrame.unionByName, good)), "outbox", batch_id, name)
 
     def _write(self, df: DataFrame, table: str, batch_id: int, part: str | None = None) -> None:
-        path = f"{self.root}/{table}/batch_id={batch_id}" + (f"/handler={part}" if part else "")
+        path = f"{self.root}/{table}/run={self.run_name}/batch_id={batch_id}" + (f"/handler={part}" if part else "")
         df.write.mode("overwrite").parquet(path)
 
 
