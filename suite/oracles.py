@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 from barframe.fixed_values import (
-    ERROR_LINES,
+    ERROR_MESSAGE,
     NEGATIVE_WORDS,
     POSITIVE_WORDS,
-    PREDICTION_LINES,
-    STATUS_LINES,
+    PREDICTION_MESSAGE,
+    STATUS_MESSAGE,
 )
 from barframe.operators.commands import default_replies
 from suite import tables as t
@@ -98,7 +98,7 @@ where n_close is not null and n_ret is not null and n_ret60 is not null and b_cl
   and b_ret60 is not null and s_ret is not null and v_close is not null and v_ret is not null and n_rsi is not null
   and n_macd is not null and n_vol is not null and b_rsi is not null and b_macd is not null and b_vol is not null"""
 
-CLICKS = f"with {BARS}, c as (select ts, row_number() over (order by ts) - 1 as rn, count(*) over () as total from bars where symbol = 'click')"
+FOLDS = f"with {BARS}, c as (select symbol, ts, row_number() over (partition by symbol order by ts) - 1 as rn, count(*) over (partition by symbol) as total from bars)"
 
 TRADES = """
 trades as (select 'P' || l_partkey as symbol, l_extendedprice as price, l_quantity as qty, l_shipdate as ts, l_returnflag
@@ -110,12 +110,21 @@ pairs as (select symbol, ts, close, close / nullif(lag(close) over (partition by
 changes as (select symbol, close, change from pairs where r = 1 and change is not null)"""
 
 SCREENS = f"""{TRADES},
+by_month as (select symbol, date_trunc('month', ts) as period, sum(qty) as volume from trades group by all),
+grown as (select * from (select symbol, sum(volume) filter (period = (select max(period) from by_month)) as volume,
+    avg(volume) filter (period <> (select max(period) from by_month)) as mean_volume from by_month group by symbol)
+  where volume is not null and mean_volume is not null),
 screens as (
   select * from (select symbol, round(value, 2) as value, 'Most Active by Value' as "Reason" from active order by active.value desc, symbol limit 10)
   union all by name
   select * from (select symbol, round(volume, 2) as volume, 'Most Active by Volume' as "Reason" from active order by active.volume desc, symbol limit 10)
   union all by name
-  select * from (select symbol, close, round(change, 6) as change, 'Top Gainers' as "Reason" from changes order by changes.change desc, symbol limit 10))"""
+  select * from (select symbol, round(volume / mean_volume, 6) as gain, 'Volume Gainers' as "Reason" from grown
+    order by grown.volume / grown.mean_volume desc, symbol limit 10)
+  union all by name
+  select * from (select symbol, close, round(change, 6) as change, 'Top Gainers' as "Reason" from changes order by changes.change desc, symbol limit 10)
+  union all by name
+  select * from (select symbol, close, round(change, 6) as change, 'Top Losers' as "Reason" from changes order by changes.change, symbol limit 10))"""
 
 MEMBERS = """
 members as (select distinct n_name as "Index", l_partkey as "Stock" from lineitem
@@ -170,15 +179,15 @@ def reply_case(replies: dict[str, str]) -> str:
     return f"case command {known} else '❓ Unknown command: /' || command end"
 
 
-def filled(lines: list[str], values: dict[str, str]) -> str:
-    out = quoted("\n".join(lines))
+def filled(text: str, values: dict[str, str]) -> str:
+    out = quoted(text)
     for name, expression in values.items():
         out = f"replace({out}, '{{{name}}}', {expression})"
     return out
 
 
 def status_text(last: str) -> str:
-    return filled(STATUS_LINES, {"authorized": quoted(str(len(t.CHAT_IDS))), "commands": "'4'", "last_update_id": last})
+    return filled(STATUS_MESSAGE, {"authorized": quoted(str(len(t.CHAT_IDS))), "commands": "'4'", "last_update_id": last})
 
 
 def change_cell(col: str, text: str) -> str:
@@ -238,18 +247,25 @@ ORACLES: dict[str, str] = {
       asof left join (select * from bars where symbol = 'purchase') p on c.ts >= p.ts""",
     "feature_table_raw": FEATURES,
     "feature_table_complete": FEATURES + COMPLETE,
-    "last_fold": f"{CLICKS} select ts, rn, 4 as fold, case when rn < total - total // 6 then 'train' else 'test' end as part from c",
-    "all_folds": f"""{CLICKS}, s as (select ts, rn, f::integer as fold, total - (5 - f) * (total // 6) as start, total // 6 as k
+    "last_fold": f"{FOLDS} select symbol, ts, rn, 4 as fold, case when rn < total - total // 6 then 'train' else 'test' end as part from c",
+    "all_folds": f"""{FOLDS}, s as (select symbol, ts, rn, f::integer as fold, total - (5 - f) * (total // 6) as start, total // 6 as k
       from c, unnest(range(0, 5)) as u(f))
-      select ts, rn, fold, case when rn < start - 60 then 'train' else 'test' end as part from s
+      select symbol, ts, rn, fold, case when rn < start - 60 then 'train' else 'test' end as part from s
       where rn < start - 60 or (rn >= start and rn < start + k)""",
     "latest_row": f"with {BARS} select symbol, ts, open, high, low, close, volume from (select *, row_number() over (partition by symbol order by ts desc) as r from bars) where r = 1",
-    "latest_row_overall": "select event_id, ts, event_type from events order by ts desc limit 1",
+    "latest_row_overall": "select event_id, ts, event_type from events order by ts desc, event_id desc limit 1",
     "data_points": "select count(*) as data_points from events where event_id is not null and ts is not null and user_id is not null and event_type is not null and value is not null and props is not null",
     "scalar_on_all_rows": f"with {HEADLINES}, {SCORE} select event_id, sentiment from events, score",
-    "streamed_bars": f"with {bars('hour')} select * from bars where ts + interval 1 hour <= (select max(ts) from events) - interval 2 hours",
+    "streamed_bars": f"with {bars('hour')} select * from bars",
+    "streamed_bars_so_far": f"with {bars('hour')} select * from bars where ts + interval 1 hour <= (select max(ts) from events) - interval 2 hours",
     "headlines": f"with {HEADLINES} select page_id, pos, text from heads",
-    "headlines_parsed": f"with {HEADLINES} select page_id, pos, text from heads",
+    "headlines_by_pattern": f"with {HEADLINES} select page_id, pos, text from heads",
+    "headlines_of_class": f"""with {HEADLINES.replace("<a(?:\\s[^>]*)?>", '<a (?-i:href="/t)[^>]*>')} select page_id, pos, text from heads""",
+    "row_ordinal_gaps": """with recursive o as materialized (select event_type as symbol, event_id, value,
+        row_number() over (partition by event_type order by ts, event_id) - 1 as rn from events where event_id % 7 <> 0),
+      m as (select symbol, event_id, rn, value as mean from o where rn = 0
+        union all select o.symbol, o.event_id, o.rn, 0.5::double * o.value + 0.5::double * m.mean from m join o on o.symbol = m.symbol and o.rn = m.rn + 1)
+      select symbol, event_id, rn, round(mean, 6) as mean from m""",
     "headline_sentiment": f"with {HEADLINES}, {SCORE} select sentiment from score",
     "sentiment_score": f"select source, sum({word_score('text', POSITIVE_WORDS, NEGATIVE_WORDS)})::integer as sentiment from documents group by source",
     "sentiment_words": f"select source, sum({word_score('text', ['ing', 'positive'], ['sell-off', 'ent', 'st'])})::integer as sentiment from documents group by source",
@@ -284,7 +300,7 @@ ORACLES: dict[str, str] = {
     "split_documents": f"with {DOCS}, {EXTRACTED} select * from parts",
     "activity_csv": f"""with {DOCS}, {EXTRACTED}, all_records as (select * from extracted union all select * from parts)
       select raw ->> '$.symbol' as symbol, (raw ->> '$.price')::double::varchar as price, raw ->> '$.qty' as qty,
-        category as "Reason", array_to_string(json_keys(raw), ', ') as relavant_columns from all_records""",
+        null::varchar as meta, category as "Reason", array_to_string(json_keys(raw), ', ') as relavant_columns from all_records""",
     "activity": f"""with {DOCS}, {EXTRACTED}, all_records as (select * from extracted union all select * from parts)
       select raw ->> '$.symbol' as symbol, (raw ->> '$.price')::double as price, (raw ->> '$.qty')::bigint as qty,
         null::varchar as meta, category as "Reason", array_to_string(json_keys(raw), ', ') as relavant_columns from all_records""",
@@ -297,8 +313,8 @@ ORACLES: dict[str, str] = {
     "membership_flags": f'with {MEMBERS} select "Stock", in_mid, in_small, rows from flags',
     "unique_stocks": f'with {MEMBERS} select count(distinct "Stock") as unique_stocks from members',
     "distinct_members": f"""with {MEMBERS} select distinct "Stock" from members where regexp_matches("Index", 'NATION_1$')""",
-    "index_coverage": """select (select count(distinct s_nationkey) from supplier where s_acctbal > 8000) as successful_indices,
-      (select count(*) from nation) as configured_indices""",
+    "index_coverage": """select (select count(distinct s_nationkey) from supplier) as successful_indices,
+      (select count(*) + 1 from nation) as configured_indices""",
     "self_row": f"with {CONSTITUENTS} select index_name, pos, symbol from kept",
     "constituents": f"""with {CONSTITUENTS}, f as (select symbol, bool_or(contains(upper(index_name), 'MIDCAP')) as mid,
         bool_or(contains(upper(index_name), 'SMALLCAP')) as small from kept group by symbol)
@@ -332,13 +348,13 @@ ORACLES: dict[str, str] = {
       from lines group by p_brand""",
     "first_rows": "select o_orderkey, o_totalprice from orders order by o_orderkey limit 20",
     "prediction_text": f"""with {LABELS}, {CELLS} select case when acc > 0.6::double then 'success' when acc < 0.4::double then 'warning' else 'info' end as type,
-      {filled(PREDICTION_LINES, {
+      {filled(PREDICTION_MESSAGE, {
           "timestamp": "'2024-01-31 15:30:00'",
           "trend": "case when acc > 0.6::double then '📈 Uptrend' when acc < 0.4::double then '📉 Downtrend' else '➡️ Sideways' end",
           "probability": "printf('%.1f%%', acc * 100)", "accuracy": "printf('%.1f%%', acc * 100)",
           "precision_0": "printf('%.2f', p0)", "precision_1": "printf('%.2f', p1)", "recall_0": "printf('%.2f', r0)",
           "recall_1": "printf('%.2f', r1)", "data_points": "total::varchar", "features_used": "'17'"})} as text from g""",
-    "error_text": f"""select event_id, '❌ <b>' || {filled(ERROR_LINES, {"timestamp": "strftime(ts, '%Y-%m-%d %H:%M:%S')", "error": "props"})}
+    "error_text": f"""select event_id, '❌ <b>' || {filled(ERROR_MESSAGE, {"timestamp": "strftime(ts, '%Y-%m-%d %H:%M:%S')", "error": "props"})}
       || '</b>' as text from events""",
     "alert_style": """select *, icon || ' <b>' || message || '</b>' as text from (select event_id, props as message,
       case event_type when 'purchase' then 'profit' when 'click' then 'trade' else event_type end as type,
@@ -352,6 +368,23 @@ ORACLES: dict[str, str] = {
     "fan_out_listed": f"""with r as (select unnest([{', '.join(map(str, t.CHAT_IDS))}])::bigint as chat_id)
       select event_id as alert_id, chat_id, 0 as part, props as text, false as silent from events
       join r on event_type in ('error', 'signup') or user_id = 0 or user_id = chat_id""",
+    "rejected_alerts": f"""with a as (select event_id as alert_id, case event_type when 'error' then null when 'signup' then 0 else user_id end::bigint as chat_id,
+        event_id % 11 = 0 or props is null as no_text from events)
+      select alert_id, chat_id, case when no_text then 'no text' else 'chat not authorized' end as reason from a
+      where no_text or (chat_id is not null and chat_id <> 0 and chat_id not in {IDS})""",
+    "alert_status": """with a as (select event_id as alert_id, case event_type when 'error' then null when 'signup' then 0 else user_id end as chat_id,
+        event_id % 11 = 0 or props is null as no_text from events),
+      c as (select *, case when no_text then 0 when chat_id is null or chat_id = 0 then (select count(*) from nation)
+        when chat_id in (select n_nationkey from nation) then 1 else 0 end as recipients from a)
+      select alert_id, recipients, recipients > 0 as success from c""",
+    "landed_updates": f"with {MESSAGES} select * from messages where update_id % 9 <> 0",
+    "dead_letters": "select event_id + 1 as update_id, 'message without chat id' as error from events where (event_id + 1) % 9 = 0",
+    "trend_model_facts": f"""with f as ({FEATURES + COMPLETE}), n as (select *, row_number() over (order by ts) as r, count(*) over () as total from f)
+      select any_value(total) as data_points, 17 as features_used, count(*) filter (r > total - total // 6 and "Target" = 0) as support_0,
+        count(*) filter (r > total - total // 6 and "Target" = 1) as support_1, timestamp '2024-01-31 00:00:00' as timestamp from n""",
+    "trend_job_failure": f"""select 0::bigint as alert_id, chat_id, 0 as part, '❌ <b>' || {filled(ERROR_MESSAGE, {
+          "timestamp": "'2024-01-31 00:00:00'", "error": "'🚨 Pipeline failed: too few complete rows for training'"})} || '</b>' as text, false as silent
+      from (select unnest([{', '.join(map(str, t.CHAT_IDS))}])::bigint as chat_id)""",
     "stored_outbox": f"""with r as (select unnest([{', '.join(map(str, t.CHAT_IDS))}])::bigint as chat_id)
       select event_id as alert_id, chat_id, 0 as part, props as text, silent from events
       join r on event_type in ('error', 'signup') or user_id = 0 or user_id = chat_id
@@ -361,7 +394,7 @@ ORACLES: dict[str, str] = {
     "parse_commands": f"with {MESSAGES} select * from commands",
     "unauthorized_messages": f"with {MESSAGES} select * from messages where chat_id not in {IDS}",
     "dispatch": f"with {MESSAGES} select update_id, chat_id, command, {reply_case(default_replies(t.CHAT_IDS, 0))} as reply from commands",
-    "command_list": f"with {MESSAGES} select string_agg(distinct '/' || command, chr(10) order by '/' || command) as commands from commands",
+    "command_list": f"with {MESSAGES} select string_agg(distinct '/' || command, chr(10) order by '/' || command) as commands from commands where command in ('status', 'help', 'ping', 'info')",
     "next_batch": f"with {MESSAGES} select update_id, text from messages where update_id > 50 order by update_id limit 10",
     "log_status": f"""select {len(t.CHAT_IDS)} as authorized, 4 as commands, max(event_id) + 1 as last_update_id, count(*) as processed,
       {status_text("(max(event_id) + 1)::varchar")} as text from events""",
@@ -373,3 +406,7 @@ ORACLES: dict[str, str] = {
       {CHUNK_ROWS.format(id="update_id", more="chat_id,", text="reply", source="replies")}""",
 }
 ORACLES["activity_discovered"] = ORACLES["activity"]
+ORACLES["command_replies_restart"] = ORACLES["command_replies"]
+for _name in ("pct_change_60", "forward_target", "rolling_std_30", "ewma_span12", "rsi_14", "macd_diff", "returns_and_indicators"):
+    ORACLES[f"{_name}_blocks"] = ORACLES[_name]
+ORACLES["feature_table_blocks"] = ORACLES["feature_table_complete"]

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barframe.fixed_values import CAP_COLUMN
+from barframe.fixed_values import CAP_COLUMN, CATEGORY_ORDER
 from barframe.functions import text as tx
 from barframe.operators import alerts as al
 from barframe.operators import commands as cm
@@ -23,13 +23,13 @@ from barframe.operators.report import binary_measures, classification_report
 from barframe.plans.activity import activity_table
 from barframe.plans.constituents import constituent_records, membership_table
 from barframe.plans.features import add_returns, feature_table
-from barframe.plans.trend import train_and_predict
+from barframe.plans.trend import train_and_predict, trend_job
 from barframe.session import shared_path, stored
 from barframe.sources import bars as br
 from barframe.sources.records import all_records, extract_records, record_keys, split_document
 from barframe.sources.sinks import write_activity, write_memberships, write_outbox
-from barframe.streaming.bars import stream_bars, stream_once
-from barframe.streaming.updates import UpdateJob, read_outbox
+from barframe.streaming.bars import bars_to_end, stream_bars, stream_once
+from barframe.streaming.updates import UpdateJob, read_outbox, read_updates, updates_stream
 from suite import tables as t
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -83,8 +83,22 @@ def row_ordinal(spark, sf):
     return t.plain_ts(t.numbered_bars(spark, sf).select("symbol", "ts", "rn"))
 
 
-def _change(spark, sf, n):
-    out = se.pct_change(t.stored_bars(spark, sf), n=n, out="change").select("symbol", "ts", "change")
+SMALL_BLOCK = 128  # rows of a block in the queries that cross many blocks
+
+
+@query
+def row_ordinal_gaps(spark, sf):
+    """Ticks of which some have no time: those have no place and change no mean."""
+    ticks = t.table(spark, sf, "events").select(
+        F.col("event_type").alias("symbol"), "event_id", F.when(F.col("event_id") % 7 != 0, F.col("ts")).alias("ts"), "value"
+    )
+    numbered = stored(number_rows(ticks, tie_breakers=["event_id"]))
+    out = sm.ewma(numbered, {"mean": sm.Ewm("value", 0.5)}, size=SMALL_BLOCK)
+    return rounded(out.select("symbol", "event_id", "rn", "mean"), "mean")
+
+
+def _change(spark, sf, n, **options):
+    out = se.pct_change(t.stored_bars(spark, sf), n=n, out="change", **options).select("symbol", "ts", "change")
     return t.plain_ts(rounded(out, "change", places=RETURN_PLACES))
 
 
@@ -98,38 +112,97 @@ def pct_change_60(spark, sf):
     return _change(spark, sf, 60)
 
 
+@query
+def pct_change_60_blocks(spark, sf):
+    return _change(spark, sf, 60, size=SMALL_BLOCK)
+
+
+def _target(spark, sf, **options):
+    return t.plain_ts(se.forward_target(t.stored_bars(spark, sf), **options).select("symbol", "ts", "target"))
+
+
 @query
 def forward_target(spark, sf):
-    return t.plain_ts(se.forward_target(t.stored_bars(spark, sf)).select("symbol", "ts", "target"))
+    return _target(spark, sf)
 
 
 @query
-def rolling_std_30(spark, sf):
-    out = se.rolling_std(t.stored_bars(spark, sf)).select("symbol", "ts", "volatility")
+def forward_target_blocks(spark, sf):
+    return _target(spark, sf, size=SMALL_BLOCK)
+
+
+def _deviation(spark, sf, **options):
+    out = se.rolling_std(t.stored_bars(spark, sf), **options).select("symbol", "ts", "volatility")
     return t.plain_ts(rounded(out, "volatility"))
 
 
 @query
-def ewma_span12(spark, sf):
-    out = sm.ewma(stored(t.numbered_bars(spark, sf)), {"mean": sm.Ewm.span("close", 12)})
+def rolling_std_30(spark, sf):
+    return _deviation(spark, sf)
+
+
+@query
+def rolling_std_30_blocks(spark, sf):
+    return _deviation(spark, sf, size=SMALL_BLOCK)
+
+
+def _mean(spark, sf, **options):
+    out = sm.ewma(stored(t.numbered_bars(spark, sf)), {"mean": sm.Ewm.span("close", 12)}, **options)
     return t.plain_ts(rounded(out.select("symbol", "ts", "mean"), "mean"))
 
 
 @query
-def rsi_14(spark, sf):
-    out = sm.rsi(stored(t.numbered_bars(spark, sf))).select("symbol", "ts", "rsi")
+def ewma_span12(spark, sf):
+    return _mean(spark, sf)
+
+
+@query
+def ewma_span12_blocks(spark, sf):
+    return _mean(spark, sf, size=SMALL_BLOCK)
+
+
+def _rsi(spark, sf, **options):
+    out = sm.rsi(stored(t.numbered_bars(spark, sf)), **options).select("symbol", "ts", "rsi")
     return t.plain_ts(rounded(out, "rsi"))
 
 
 @query
-def macd_diff(spark, sf):
-    out = sm.macd_diff(stored(t.numbered_bars(spark, sf))).select("symbol", "ts", "macd_diff")
+def rsi_14(spark, sf):
+    return _rsi(spark, sf)
+
+
+@query
+def rsi_14_blocks(spark, sf):
+    return _rsi(spark, sf, size=SMALL_BLOCK)
+
+
+def _macd(spark, sf, **options):
+    out = sm.macd_diff(stored(t.numbered_bars(spark, sf)), **options).select("symbol", "ts", "macd_diff")
     return t.plain_ts(rounded(out, "macd_diff"))
 
 
+@query
+def macd_diff(spark, sf):
+    return _macd(spark, sf)
+
+
+@query
+def macd_diff_blocks(spark, sf):
+    return _macd(spark, sf, size=SMALL_BLOCK)
+
+
 @query
 def returns_and_indicators(spark, sf):
-    out = add_returns(stored(t.numbered_bars(spark, sf)))
+    return _returns(spark, sf)
+
+
+@query
+def returns_and_indicators_blocks(spark, sf):
+    return _returns(spark, sf, size=SMALL_BLOCK)
+
+
+def _returns(spark, sf, **options):
+    out = add_returns(stored(t.numbered_bars(spark, sf)), **options)
     means = ("rsi", "macd", "volatility")
     out = rounded(out.select("symbol", "ts", "target", "return", "return_1h", *means), *means)
     return t.plain_ts(rounded(out, "return", "return_1h", places=RETURN_PLACES))
@@ -180,16 +253,21 @@ def feature_table_complete(spark, sf):
     return _features(spark, sf)
 
 
+@query
+def feature_table_blocks(spark, sf):
+    return _features(spark, sf, size=SMALL_BLOCK)
+
+
 @query
 def last_fold(spark, sf):
-    split = rows.time_series_split(t.stored_bars(spark, sf).where("symbol = 'click'").select("ts", "close"))
-    return t.plain_ts(split.select("ts", "rn", "fold", "part"))
+    split = rows.time_series_split(t.stored_bars(spark, sf).select("symbol", "ts", "close"), keys=["symbol"])
+    return t.plain_ts(split.select("symbol", "ts", "rn", "fold", "part"))
 
 
 @query
 def all_folds(spark, sf):
-    split = rows.time_series_split(t.stored_bars(spark, sf).where("symbol = 'click'").select("ts"), fold=None, gap=60)
-    return t.plain_ts(split.select("ts", "rn", "fold", "part"))
+    split = rows.time_series_split(t.stored_bars(spark, sf).select("symbol", "ts"), fold=None, gap=60, keys=["symbol"])
+    return t.plain_ts(split.select("symbol", "ts", "rn", "fold", "part"))
 
 
 @query
@@ -199,7 +277,7 @@ def latest_row(spark, sf):
 
 @query
 def latest_row_overall(spark, sf):
-    return t.plain_ts(rows.latest_row(t.table(spark, sf, "events").select("event_id", "ts", "event_type")))
+    return t.plain_ts(rows.latest_row(t.table(spark, sf, "events").select("event_id", "ts", "event_type"), tie_breakers=["event_id"]))
 
 
 @query
@@ -213,11 +291,21 @@ def scalar_on_all_rows(spark, sf):
     return attach_scalar(events, _score(spark, sf), "sentiment")
 
 
+def _event_stream(spark, sf):
+    schema = t.table(spark, sf, "events").schema
+    return spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
+
+
 @query
 def streamed_bars(spark, sf):
-    schema = t.table(spark, sf, "events").schema
-    events = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
-    return t.plain_ts(stream_once(spark, stream_bars(t.as_ticks(events), "1 hour", "2 hours")))
+    """All bars of an input that has ended."""
+    return t.plain_ts(bars_to_end(spark, t.as_ticks(_event_stream(spark, sf)), "1 hour"))
+
+
+@query
+def streamed_bars_so_far(spark, sf):
+    """The bars that the watermark has passed."""
+    return t.plain_ts(stream_once(spark, stream_bars(t.as_ticks(_event_stream(spark, sf)), "1 hour", "2 hours")))
 
 
 # ---- headlines and quality ------------------------------------------------------------
@@ -229,8 +317,15 @@ def headlines(spark, sf):
 
 
 @query
-def headlines_parsed(spark, sf):
-    return st.parsed_html_nodes(t.table(spark, sf, "pages").select("page_id", "html"), css_class=None)
+def headlines_by_pattern(spark, sf):
+    return st.pattern_html_nodes(t.table(spark, sf, "pages").select("page_id", "html"), css_class=None)
+
+
+@query
+def headlines_of_class(spark, sf):
+    """Only the anchors of the headline class, which those to a path with a small t are given."""
+    marked = F.replace("html", F.lit('<a href="/t'), F.lit('<a class="x DY5T1d" href="/t'))
+    return st.html_nodes(t.table(spark, sf, "pages").select("page_id", marked.alias("html")))
 
 
 @query
@@ -270,15 +365,24 @@ def trend_bands(spark, sf):
 
 
 def _screens(spark, sf):
-    trades = t.trades(spark, sf)
-    active = screens.activity_by_symbol(trades)
+    """All five ranked lists from one aggregate of the trades per symbol and time."""
+    daily = stored(
+        t.trades(spark, sf).groupBy("symbol", "ts").agg(F.sum(F.col("price") * F.col("qty")).alias("value"), F.sum("qty").alias("volume"), F.max("price").alias("close")),
+        "daily",
+    )
+    active = daily.groupBy("symbol").agg(F.sum("value").alias("value"), F.sum("volume").alias("volume"))
+    periods = daily.groupBy("symbol", F.date_trunc("month", "ts").alias("period")).agg(F.sum("volume").alias("volume"))
+    changes = screens.close_change(daily)
     by_value = screens.ranked_screen(active, "value").select("symbol", "value")
     by_volume = screens.ranked_screen(active, "volume").select("symbol", "volume")
-    gainers = screens.ranked_screen(_closes_change(spark, sf), "change")
+    grown = screens.ranked_screen(screens.volume_gain(periods), "gain").select("symbol", "gain")
+    names = CATEGORY_ORDER
     return screens.union_categories(
-        screens.tag_reason(rounded(by_value, "value", places=2), "Most Active by Value"),
-        screens.tag_reason(rounded(by_volume, "volume", places=2), "Most Active by Volume"),
-        screens.tag_reason(rounded(gainers, "change"), "Top Gainers"),
+        screens.tag_reason(rounded(by_value, "value", places=2), names[0]),
+        screens.tag_reason(rounded(grown, "gain"), names[1]),
+        screens.tag_reason(rounded(by_volume, "volume", places=2), names[2]),
+        screens.tag_reason(rounded(screens.ranked_screen(changes, "change"), "change"), names[3]),
+        screens.tag_reason(rounded(screens.ranked_screen(changes, "change", ascending=True), "change"), names[4]),
     )
 
 
@@ -361,7 +465,7 @@ def activity_discovered(spark, sf):
 def activity_csv(spark, sf):
     """The activity table written as CSV and read back as text."""
     path = f"{shared_path(spark, 'activity')}/csv"
-    write_activity(activity(spark, sf).drop("meta"), path)
+    write_activity(activity(spark, sf), path)
     return spark.read.option("header", True).csv(path)
 
 
@@ -417,8 +521,10 @@ def distinct_members(spark, sf):
 
 @query
 def index_coverage(spark, sf):
+    """Of a catalog that lists one index without rows."""
     catalog = t.table(spark, sf, "nation").select(F.col("n_name").alias("index_name"))
-    suppliers = t.table(spark, sf, "supplier").where("s_acctbal > 8000")
+    catalog = catalog.unionByName(catalog.select(F.lit("NOWHERE").alias("index_name")).limit(1))
+    suppliers = t.table(spark, sf, "supplier")
     nation = t.table(spark, sf, "nation")
     seen = suppliers.join(nation, F.col("s_nationkey") == F.col("n_nationkey")).select(F.col("n_name").alias("Index"))
     return mb.index_coverage(seen, catalog)
@@ -539,6 +645,21 @@ def fan_out_listed(spark, sf):
     return al.outbox(t.alerts(spark, sf), t.CHAT_IDS)
 
 
+def _addressed(spark, sf):
+    """Alerts of which some have no text."""
+    return t.alerts(spark, sf).withColumn("text", F.when(F.col("alert_id") % 11 != 0, F.col("text")))
+
+
+@query
+def rejected_alerts(spark, sf):
+    return al.rejected_alerts(_addressed(spark, sf), t.CHAT_IDS)
+
+
+@query
+def alert_status(spark, sf):
+    return al.delivery_status(_addressed(spark, sf), t.table(spark, sf, "nation").select(F.col("n_nationkey").alias("chat_id")))
+
+
 @query
 def stored_outbox(spark, sf):
     """Styled alerts for the listed chats, appended to an outbox table in two goes."""
@@ -595,22 +716,72 @@ def log_status(spark, sf):
     return cm.log_status(t.updates(spark, sf), t.CHAT_IDS)
 
 
+@query
+def landed_updates(spark, sf):
+    """The messages of updates landed as JSON lines, some of them without a chat id."""
+    path = shared_path(spark, "landed")
+    _without_some_chats(t.updates(spark, sf)).write.json(path)
+    return cm.route_updates(read_updates(spark, path))
+
+
+@query
+def dead_letters(spark, sf):
+    path = shared_path(spark, "landed")
+    _without_some_chats(t.updates(spark, sf)).write.json(path)
+    return cm.dead_letters(read_updates(spark, path)).select("update_id", "error")
+
+
+def _without_some_chats(updates):
+    lost = F.when(F.col("update_id") % 9 != 0, F.col("message.chat.id"))
+    return updates.withColumn("message", F.col("message").withField("chat.id", lost))
+
+
 @query
 def command_replies(spark, sf):
-    schema = t.table(spark, sf, "events").schema
-    events = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
     root = shared_path(spark, "updates")
-    UpdateJob(t.as_updates(events), root, t.CHAT_IDS).run()
+    UpdateJob(t.as_updates(_event_stream(spark, sf)), root, t.CHAT_IDS).run()
+    return read_outbox(spark, root)
+
+
+@query
+def command_replies_restart(spark, sf):
+    """The log landed and handled in two steps, the second by a job that starts anew and finds an
+    update of the first again."""
+    root = shared_path(spark, "updates")
+    updates = t.updates(spark, sf)
+    half = updates.agg(F.expr("percentile_approx(update_id, 0.5)")).first()[0]
+    for part in (F.col("update_id") <= half, F.col("update_id") >= half):
+        updates.where(part).write.mode("append").json(f"{root}/in")
+        UpdateJob(updates_stream(spark, f"{root}/in"), root, t.CHAT_IDS, now="2024-01-31").run()
     return read_outbox(spark, root)
 
 
 # ---- model ----------------------------------------------------------------------------
 
 
+RUN_TS = "2024-01-31 00:00:00"
+
+
+def _run(spark, sf, **options):
+    return train_and_predict(stored(t.named(spark, sf)), _score(spark, sf), present=list(t.INSTRUMENTS), run_ts=RUN_TS, **options)
+
+
 @query
 def trend_model(spark, sf):
-    # The smallest tables hold fewer rows than the usual guard asks for.
-    results, _ = train_and_predict(
-        stored(t.named(spark, sf)), _score(spark, sf), present=list(t.INSTRUMENTS), run_ts="2024-01-31 00:00:00", min_rows=50
-    )
-    return t.plain_ts(results, "timestamp")
+    return t.plain_ts(_run(spark, sf)[0], "timestamp")
+
+
+@query
+def trend_model_facts(spark, sf):
+    """What of a run does not depend on how its trees grew."""
+    results, _ = _run(spark, sf, trees=3, depth=3)
+    return t.plain_ts(results.select("data_points", "features_used", "support_0", "support_1", "timestamp"), "timestamp")
+
+
+@query
+def trend_job_failure(spark, sf):
+    """The outbox of a run with fewer rows than its guard asks for: the error for every recipient."""
+    path = shared_path(spark, "job")
+    too_few = lambda: _run(spark, sf, min_rows=1_000_000_000)
+    trend_job(too_few, t.CHAT_IDS, f"{path}/outbox", f"{path}/runs", RUN_TS)
+    return spark.read.parquet(f"{path}/outbox")
