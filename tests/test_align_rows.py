@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 
 from barframe.operators import rows
 from barframe.operators.align import align_by_position, align_by_time, attach_scalar
-from barframe.operators.skew import count_per_key, flag_members, join_per_key
+from barframe.operators.blocks import row_ordinal
+from barframe.operators.memberships import add_cap_class
+from barframe.operators.skew import flag_members, join_per_key
 from barframe.plans.features import feature_table, require_series, select_features
 from barframe.sources.bars import build_bars, instrument_catalog, named_bars, read_bars
 from barframe.sources.sinks import append_run, write_memberships, write_table
@@ -92,14 +94,55 @@ def test_latest_and_head(spark):
     assert {r["s"] for r in rows.head_rows(df, ["ts"], 1, ["k"]).collect()} == {"x", "z"}
 
 
-@pytest.mark.parametrize(("keys", "least"), [(1000, 1_000_000), (2, 3), (1, 1)])
-def test_join_per_key(spark, keys, least):
-    """Hot and cold keys, a NULL key and copies of one row: nothing is lost or doubled."""
+def test_join_per_key(spark):
+    """A key with half of the rows, a NULL key and copies of one row: nothing is lost or doubled."""
     left = spark.createDataFrame([("h", 1)] * 50 + [(None, 2)] * 20 + [(f"k{i}", i) for i in range(30)], "key string, v int")
-    per_key = count_per_key(left, "key").withColumn("tag", F.concat(F.lit("t-"), F.coalesce("key", F.lit("null"))))
-    got = join_per_key(left, per_key, "key", "__n", keys, least).toPandas()
+    per_key = left.select("key").distinct().withColumn("tag", F.concat(F.lit("t-"), F.coalesce("key", F.lit("null"))))
+    got = join_per_key(left, per_key, "key").toPandas()
     assert len(got) == 100
     assert (got["tag"] == "t-" + got["key"].fillna("null")).all()
+    assert join_per_key(left, per_key.limit(0), "key").where("tag is null").count() == 100
+
+
+def scans(df):
+    """Scans of the executed plan, which adaptive execution has settled."""
+    df.collect()
+    text = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    return text.count("FileScan") + text.count("Scan ExistingRDD"), text
+
+
+def test_one_plan_reads_the_left_side_twice_at_most(spark, tmp_path):
+    rows = [("NIFTY MIDCAP 50" if i % 2 else "NIFTY 50", "hot" if i % 3 == 0 else f"s{i}") for i in range(900)]
+    spark.createDataFrame(rows, "Index string, Stock string").write.parquet(str(tmp_path / "m"))
+    df = add_cap_class(spark.read.parquet(str(tmp_path / "m")))
+    n, text = scans(df)
+    assert n <= 2 and "Cartesian" not in text and "NestedLoop" not in text
+    assert df.where("Stock = 'hot'").select("`Market Cap Classification`").distinct().collect()[0][0] == "Mid Cap"
+    assert df.count() == 900
+
+
+@pytest.mark.parametrize("keys", [(), ("k",)])
+def test_rows_without_time_have_no_place(spark, keys):
+    data = [("a", None, 1), ("a", at(3), 2), ("a", None, 3), ("a", at(1), 4), ("a", at(60 * 24), 5), ("a", at(2), 6)]
+    df = spark.createDataFrame(data, "k string, ts timestamp, v int")
+    got = sorted((r["rn"], r["v"]) for r in row_ordinal(df, keys).collect())
+    assert got == [(0, 4), (1, 6), (2, 2), (3, 5)]
+    split = rows.time_series_split(df, n_splits=3, fold=None, keys=keys)
+    assert sorted((r["fold"], r["rn"]) for r in split.where("part = 'test'").collect()) == [(0, 1), (1, 2), (2, 3)]
+
+
+@pytest.mark.parametrize("keys", [(), ("k",)])
+def test_fewer_rows_than_folds_are_an_error(spark, keys):
+    df = spark.createDataFrame([("a", at(i)) for i in range(5)], "k string, ts timestamp")
+    with pytest.raises(Exception, match="cannot make 5 folds"):
+        rows.time_series_split(df, keys=keys).collect()
+    assert rows.time_series_split(df, n_splits=4, keys=keys).count() == 5
+
+
+def test_latest_row_breaks_ties(spark):
+    df = spark.createDataFrame([("a", at(1), 1, None), ("a", at(1), 3, "x"), ("a", at(1), 2, "y")], "k string, ts timestamp, n int, s string")
+    assert rows.latest_row(df, tie_breakers=["n"]).first()["s"] == "x"
+    assert [r["s"] for r in rows.latest_row(df, ["k"], tie_breakers=["n"]).collect()] == ["x"]
 
 
 def test_flag_members(spark):

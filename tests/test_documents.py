@@ -12,7 +12,14 @@ from barframe.operators import screens
 from barframe.operators import sentiment as st
 from barframe.plans.activity import read_activity
 from barframe.plans.constituents import index_catalog, membership_table, read_index_documents, read_memberships
-from barframe.sources.records import all_records, discover_fields, expand_fields, extract_records, read_snapshots
+from barframe.sources.records import (
+    all_records,
+    discover_fields,
+    expand_fields,
+    extract_records,
+    read_snapshots,
+    split_document,
+)
 from barframe.sources.sinks import write_activity
 
 RECORDS = {
@@ -70,6 +77,31 @@ def test_missing_file_is_an_error(spark, catalog):
         read_snapshots(spark, {**catalog, "Top Losers": "/nowhere/x.json"}).count()
 
 
+@pytest.mark.parametrize("text", ['{"data": [{"symbol": "A"}', '{"allSec": {}}', "{}", "", '{"data": null, "allSec": {"data": null}}'])
+@pytest.mark.parametrize("category", ["Volume Gainers", "Top Gainers", SPLIT_DOCUMENT])
+def test_unreadable_documents_are_an_error(spark, catalog, category, text):
+    with open(catalog[category], "w") as file:
+        file.write(text)
+    docs = read_snapshots(spark, catalog)
+    with pytest.raises(Exception, match="in the document of category"):
+        all_records(docs).collect()
+    one = split_document if category == SPLIT_DOCUMENT else extract_records
+    with pytest.raises(Exception, match="in the document of category"):
+        one(docs).collect()
+    assert all_records(docs, strict=False).count() < 9
+
+
+def test_keys_with_quotes_and_backticks(spark):
+    record = {"it's": 1, 'say "x"': 2.5, "a`b": "t", "both'\"": 3, "plain": {"n": 1}}
+    df = spark.createDataFrame([(0, json.dumps(record))], "pos int, raw string")
+    fields = discover_fields(df)
+    assert fields == [("it's", "bigint"), ('say "x"', "double"), ("a`b", "string"), ("both'\"", "string"), ("plain", "string")]
+    row = expand_fields(df, fields).first()
+    assert [row[n] for n, _ in fields] == [1, 2.5, "t", "3", None]
+    docs = spark.createDataFrame([("NIFTY 50", json.dumps({"data": [{**record, "symbol": "S"}]}))], "index_name string, doc string")
+    assert membership_table(docs).first()["a`b"] == "t"
+
+
 def test_fields_and_types(spark, catalog):
     records = extract_records(read_snapshots(spark, catalog))
     fields = dict(discover_fields(records, ("category", "pos")))
@@ -153,7 +185,7 @@ PAGES = [
 ]
 
 
-@pytest.mark.parametrize("nodes", [st.html_nodes, st.parsed_html_nodes])
+@pytest.mark.parametrize("nodes", [st.html_nodes, st.pattern_html_nodes])
 def test_headlines(spark, nodes):
     df = spark.createDataFrame(PAGES, "page_id int, html string")
     got = {(r["page_id"], r["pos"]): r["text"] for r in nodes(df).collect()}
@@ -166,7 +198,20 @@ def test_headlines(spark, nodes):
 def test_parser_skips_comments_and_nests(spark):
     html = '<!-- <a class="DY5T1d">no</a> --><a class="DY5T1d">o<span class="DY5T1d">i</span></a>'
     df = spark.createDataFrame([(1, html), (2, None)], "page_id int, html string")
-    assert [r["text"] for r in st.parsed_html_nodes(df).collect()] == ["oi"]
+    assert [r["text"] for r in st.html_nodes(df).collect()] == ["oi"]
+
+
+@pytest.mark.parametrize("nodes", [st.html_nodes, st.pattern_html_nodes])
+def test_character_references(spark, nodes):
+    html = '<a class="DY5T1d">Nifty&#8217;s &ndash; up &#x20B9;5 &eacute;&amp;lt; &nosuch;</a><a class="DY5T1d">&copy</a>'
+    got = [r["text"] for r in nodes(spark.createDataFrame([(1, html)], "page_id int, html string")).orderBy("pos").collect()]
+    assert got == ["Nifty’s – up ₹5 é&lt; &nosuch;", "©"]
+
+
+def test_anchors_inside_anchors(spark):
+    html = '<a class="DY5T1d">out <a class="DY5T1d">in</a></a><a class="DY5T1d">next</a>'
+    df = spark.createDataFrame([(1, html)], "page_id int, html string")
+    assert [r["text"] for r in st.html_nodes(df).orderBy("pos").collect()] == ["out in", "in", "next"]
 
 
 def test_scores(spark):

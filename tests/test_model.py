@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from barframe.plans.trend import labelled, predict, score_latest, train_and_predict, train_trend_model
+from barframe.plans.trend import labelled, predict, score_latest, train_and_predict, train_trend_model, trend_job
 
 FEATURES = ["x", "z"]
 
@@ -49,5 +49,22 @@ def test_run(spark):
     assert row["support_0"] + row["support_1"] == 840 // 6
     labels = {r["label"]: r for r in report.collect()}
     assert labels["accuracy"]["precision"] == pytest.approx(row["accuracy"])
-    with pytest.raises(ValueError, match="Not enough"):
+    with pytest.raises(ValueError, match="too few"):
         train_and_predict(bars.where("ts < '1970-01-01 07:00:00'"), 2)
+
+
+def test_job(spark, tmp_path):
+    out, runs = str(tmp_path / "outbox"), str(tmp_path / "runs")
+    bars = spark.range(900).selectExpr(
+        "'NSEI' as symbol", "timestamp_seconds(id * 60) as ts", "1.0D as open", "1.0D as high", "1.0D as low",
+        "100 + 10 * sin(id / 40.0) + (id * 7919 % 13) / 10 as close", "1.0D as volume",
+    )
+    ts = "2024-01-01 00:00:00"
+    assert trend_job(lambda: train_and_predict(bars, 2, run_ts=ts, trees=3, depth=3), [7, 8], out, runs, ts)
+    row = spark.read.parquet(runs).first()
+    sent = spark.read.parquet(out).collect()
+    assert sorted(r["chat_id"] for r in sent) == [7, 8]
+    assert f"Data Points: {row['data_points']} " in sent[0]["text"] and row["trend"] in sent[0]["text"]
+    assert not trend_job(lambda: train_and_predict(bars.limit(100), 2), [7], out, runs, ts)
+    failed = spark.read.parquet(out).where("text like '%Pipeline failed%'").collect()
+    assert [r["chat_id"] for r in failed] == [7] and spark.read.parquet(runs).count() == 1

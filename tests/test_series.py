@@ -1,5 +1,7 @@
 """Series operators against pandas on random walks, with small blocks so that many edges are crossed."""
 
+import re
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -167,8 +169,14 @@ def test_block_size():
         assert max(1 - a for a in alphas) <= 1 and (1 - max(alphas)) ** -size <= 1e201
 
 
-def test_one_exchange_carries_all_frames(bars):
-    """Frames and means of a series share the exchange on (symbol, block)."""
+def test_rows_are_shuffled_by_block_only(bars):
+    """Rows go by (symbol, block), once for the block ends and once for the rows; what goes by symbol
+    alone is the table of bucket counts."""
     plan = add_returns(row_ordinal(bars).select("symbol", "ts", "close", "rn"))
-    text = plan._jdf.queryExecution().executedPlan().toString()
-    assert "Window" in text and "SinglePartition" not in text
+    lines = plan._jdf.queryExecution().executedPlan().toString().splitlines()
+    exchanges = [re.sub(r"#\d+L?", "", line) for line in lines if "Exchange hashpartitioning" in line]
+    assert sum("(symbol, blk," in line for line in exchanges) == 2
+    assert all("blk" in line or "bucket" in line or "_groupingexpression" in line or "(symbol, " in line for line in exchanges)
+    windows = [re.sub(r"#\d+L?", "", line) for line in lines if "Window [" in line]
+    assert not any("windowspecdefinition(symbol, ts" in line or "windowspecdefinition(symbol, rn" in line for line in windows)
+    assert not any("SinglePartition" in line for line in lines)

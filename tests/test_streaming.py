@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 
 from barframe.operators import commands as cm
 from barframe.sources.bars import build_bars
-from barframe.streaming.bars import run_to_table, stream_bars
-from barframe.streaming.updates import Registry, UpdateJob, read_outbox, read_updates, updates_stream, with_previous_id
+from barframe.streaming.bars import bars_to_end, run_to_table, stream_bars
+from barframe.streaming.updates import Registry, UpdateJob, new_updates, read_outbox, read_updates, updates_stream, with_previous_id
 
 IDS = [1, 2]
 
@@ -91,9 +91,9 @@ def test_own_handlers(spark, tmp_path, job):
 
 
 def test_previous_id_across_spans(spark):
-    ids = spark.createDataFrame([(i,) for i in (3, 4, 5000, 5001, 90000)], "update_id bigint")
+    ids = spark.createDataFrame([(i,) for i in (3, 4, 5000, 5001, 90000, 1 << 30, (1 << 30) + 1, 1 << 40)], "update_id bigint")
     got = {r["update_id"]: r["last_update_id"] for r in with_previous_id(ids, 2).collect()}
-    assert got == {3: 2, 4: 3, 5000: 4, 5001: 5000, 90000: 5001}
+    assert got == {3: 2, 4: 3, 5000: 4, 5001: 5000, 90000: 5001, 1 << 30: 90000, (1 << 30) + 1: 1 << 30, 1 << 40: (1 << 30) + 1}
 
 
 def test_next_batch(spark):
@@ -108,6 +108,46 @@ def test_log_status(spark):
     assert (row["authorized"], row["commands"], row["last_update_id"], row["processed"]) == (2, 4, 0, 0)
 
 
+def test_lost_state_starts_from_zero(spark, tmp_path):
+    batch = spark.createDataFrame([(5, (( 1, "n", None), "/status"))], cm.UPDATE_SCHEMA)
+    this = UpdateJob(batch, str(tmp_path / "out"), IDS, now="2024-01-01")
+    this.handle(batch, 7)
+    assert "Last Update ID: 0" in replies(spark, tmp_path)[0][2]
+    assert spark.read.parquet(str(tmp_path / "out/state")).first()["last_save"] == "2024-01-01"
+
+
+def test_new_checkpoint_goes_on_from_the_state(spark, tmp_path):
+    make = lambda uid: spark.createDataFrame([(uid, ((1, "n", None), "/status"))], cm.UPDATE_SCHEMA)
+    UpdateJob(make(5), str(tmp_path / "out"), IDS).handle(make(5), 0)
+    again = UpdateJob(make(6), str(tmp_path / "out"), IDS, run="1")
+    again.handle(make(5).union(make(6)), 0)
+    got = replies(spark, tmp_path)
+    assert [r[0] for r in got] == [5, 6] and "Last Update ID: 5" in got[1][2]
+
+
+def test_repeated_ids_are_picked_by_a_stated_order(spark):
+    rows = [(5, ((2, "b", None), "/ping")), (5, ((1, "a", None), "/help")), (6, None), (None, None)]
+    df = spark.createDataFrame(rows, cm.UPDATE_SCHEMA)
+    for shuffled in (df, df.repartition(3), df.orderBy(F.desc("update_id"))):
+        got = new_updates(shuffled, 4).orderBy("update_id").collect()
+        assert [(r["update_id"], r["message"] and r["message"]["chat"]["id"]) for r in got] == [(None, None), (5, 1), (6, None)]
+
+
+def test_a_handler_that_fails_on_some_commands(spark, tmp_path, job):
+    registry = Registry()
+
+    def half(commands):
+        reply = F.when(F.element_at("args", 1) == "bad", F.raise_error(F.lit("cannot do that"))).otherwise(F.lit("done"))
+        return commands.select("update_id", "chat_id", reply.alias("reply"))
+
+    registry.register_command("half", half)
+    land(tmp_path / "in", "1.json", [update(i, text=f"/half {'bad' if i in (3, 8) else 'good'}") for i in range(1, 11)])
+    job(registry).run()
+    got = {i: text for i, _, text in replies(spark, tmp_path)}
+    assert {i for i, text in got.items() if text == "done"} == {1, 2, 4, 5, 6, 7, 9, 10}
+    assert all(got[i].startswith("❌ Error: ") and "cannot do that" in got[i] and "\tat " not in got[i] for i in (3, 8))
+
+
 TICKS = "symbol string, event_id bigint, ts timestamp, price double"
 
 
@@ -128,3 +168,11 @@ def test_bars_in_steps_with_a_late_tick(spark, tmp_path):
     ticks = spark.createDataFrame([r for rows in steps for r in rows if r[1] != 7], TICKS)
     expected = {tuple(r) for r in build_bars(ticks).where("ts < '2024-01-01 00:10:00'").collect()}
     assert got == expected
+
+
+def test_bars_to_the_end_of_the_input(spark, tmp_path):
+    rows = [("a", i, dt.datetime(2024, 1, 1) + dt.timedelta(seconds=37 * i % 900), float(i)) for i in range(60)]
+    ticks = spark.createDataFrame(rows, TICKS)
+    ticks.repartition(4).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(TICKS).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    assert {tuple(r) for r in bars_to_end(spark, stream).collect()} == {tuple(r) for r in build_bars(ticks).collect()}
