@@ -88,5 +88,3 @@ QUERIES = {
     "op9_license_scan": op9_license_scan,
     "op10_kmeans_tree": op10_kmeans_tree,
 }
-
-ORACLES: dict[str, str] = {"op5_entropy_mix": mixing.MIX_SQL}

@@ -5,7 +5,6 @@ import re
 import pytest
 
 from barframe.llm import mixing
-from suite.check import compare, connect
 
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -84,10 +83,3 @@ def test_newton_finds_the_tilt(spark):
     want = [3.0, 1e-9, 1.0, None, None, 1e9]
     assert [g is None for g in got] == [w is None for w in want]
     assert all(math.isclose(math.exp(g), w, rel_tol=1e-12) for g, w in zip(got, want, strict=True) if w)
-
-
-def test_sql(spark):
-    from barframe.llm.queries import ORACLES, QUERIES
-
-    sf = "/root/testdata/sf0.001"
-    assert compare(QUERIES["op5_entropy_mix"](spark, sf), connect(sf), ORACLES["op5_entropy_mix"]) is None
