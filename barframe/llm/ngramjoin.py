@@ -6,7 +6,9 @@ common order; the order used puts rare shingles first, so a passage that many te
 such key. A cell holds the classes with one key and comparable sizes. In every cell a tree is
 built: its leaves are classes with a token bitmap, its nodes hold the OR of the bitmaps below and
 their range of sizes. A dual traversal drops node pairs whose largest possible overlap is too
-small. The pairs that are left are verified on the whole sets.
+small. Of the pairs that are left, first up to ``NEAREST`` per class and cell are verified on the
+whole sets; where a cell has more, the others are verified unless their classes have become
+connected by then. So a group of near copies costs a few pairs per member and loses no link.
 """
 
 from __future__ import annotations
@@ -24,8 +26,10 @@ from barframe.llm.arrays import byte_sums, lower_ascii, mix, span_hashes, text_c
 from barframe.llm.components import connected_components
 from barframe.session import stored
 
-COUNTER_BITS = 20  # counters of the sketch that orders shingles, 1 MB whatever the input
+COUNTER_BITS = 22  # counters of the sketch that orders shingles, 4 MB whatever the input
 COUNTER_ROWS = 256  # pieces of the sketch while it is summed
+NEAREST = 8  # pairs per class and cell that are verified at once
+FILTER_BITS = (20, 27)  # bits of the filter on ids, as a power of two: 16 MB at most
 CELL = 4096  # classes of a cell that meet in one tree; larger cells are cut in pieces that meet in pairs
 FAN = 8  # children of a tree node
 FRONTIER_BYTES = 1 << 24  # bitmaps of the node pairs compared at a time
@@ -72,7 +76,7 @@ def _octave(n: int) -> int:
 
 def signature_bits(octave: int) -> int:
     """Bits of the signatures that meet in cells of sizes ``2**octave`` to twice that."""
-    return max(64, 1 << (octave + 2))
+    return max(64, 1 << (octave + 1))
 
 
 def signature(tokens: np.ndarray, bits: int) -> bytes:
@@ -99,16 +103,16 @@ def frequency_sketch(docs: DataFrame, text: str, k: int) -> np.ndarray:
                 hashes, _ = shingle_hashes(data, at, k)
                 total += np.bincount((hashes >> np.uint64(64 - COUNTER_BITS)).astype(np.int64), minlength=1 << COUNTER_BITS)
         if total.any():
-            pieces = np.minimum(total, 0xFFFF).astype("<u2").reshape(COUNTER_ROWS, -1)
+            pieces = np.minimum(total, 255).astype(np.uint8).reshape(COUNTER_ROWS, -1)
             yield pa.RecordBatch.from_arrays([pa.array(range(COUNTER_ROWS), pa.int32()), pa.array([p.tobytes() for p in pieces], pa.binary())], names=["piece", "counts"])
 
     def merge(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = sum(np.frombuffer(c.as_buffer(), dtype="<u2").astype(np.int64) for b in batches for c in b.column("counts"))
+        total = sum(np.frombuffer(c.as_buffer(), dtype=np.uint8).astype(np.int64) for b in batches for c in b.column("counts"))
         level = np.minimum(8 * np.log2(1 + total), 255).astype(np.uint8)
         yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([level.tobytes()], pa.binary())], names=["piece", "levels"])
 
     counted = docs.select(F.col(text).alias("text")).mapInArrow(count, "piece int, counts binary")
-    rows = counted.groupBy("piece").applyInArrow(merge, "piece int, levels binary").collect()  # 256 rows, 1 MB
+    rows = counted.groupBy("piece").applyInArrow(merge, "piece int, levels binary").collect()  # 256 rows, 4 MB
     width = (1 << COUNTER_BITS) // COUNTER_ROWS
     levels = np.zeros((COUNTER_ROWS, width), dtype=np.uint8)
     for row in rows:
@@ -160,17 +164,43 @@ def shingle_sets(docs: DataFrame, doc_id: str, text: str, like: Likeness, levels
     return source.mapInArrow(run, "doc_id long, n long, digest binary, prefix array<long>, sig binary")
 
 
-def token_sets(docs: DataFrame, like: Likeness) -> DataFrame:
-    """``(doc_id, tokens)``: the whole sorted set of every row of ``docs (doc_id, text)``."""
+def id_filter(ids: DataFrame) -> np.ndarray:
+    """A bitmap with the bit of every id of ``ids (doc_id)``, of bounded size: a Bloom filter of one hash."""
+    low, high = FILTER_BITS
+    bits = 1 << min(high, max(low, (16 * ids.count()).bit_length()))
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def mark(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = np.zeros(bits // COUNTER_ROWS, dtype=bool)
         for batch in batches:
+            found[batch.column("place").to_numpy() // COUNTER_ROWS] = True
+        yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([np.packbits(found).tobytes()], pa.binary())], names=["piece", "found"])
+
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(bits))
+    placed = ids.select(place.alias("place"), (place % COUNTER_ROWS).cast("int").alias("piece")).distinct()
+    filled = np.zeros((bits // COUNTER_ROWS, COUNTER_ROWS), dtype=bool)
+    for row in placed.groupBy("piece").applyInArrow(mark, "piece int, found binary").collect():  # 256 rows
+        filled[:, row["piece"]] = np.unpackbits(np.frombuffer(row["found"], dtype=np.uint8))
+    return filled.reshape(-1)
+
+
+def token_sets(docs: DataFrame, like: Likeness, ids: DataFrame) -> DataFrame:
+    """``(doc_id, tokens)``: the whole sorted sets of the rows of ``docs (doc_id, text)`` with one of
+    ``ids``, and of some others that share a bit of the filter; texts are not shuffled."""
+    wanted = id_filter(ids)
+    shared = docs.sparkSession.sparkContext.broadcast(np.packbits(wanted))
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(len(wanted)))
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            at = whole.column(2).to_numpy()
+            hit = (shared.value[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1
+            batch = whole.filter(pa.array(hit == 1))
             for row, end, data, at in text_chunks(batch.column(1)):
                 hashes, cuts = shingle_hashes(data, at, like.words)
                 sets = [np.unique(hashes[a:b]).view(np.int64) for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(row, end - row), pa.array(sets, pa.list_(pa.int64()))], names=["doc_id", "tokens"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, tokens array<long>")
+    return docs.where("doc_id is not null").select("doc_id", "text", place.alias("place")).mapInArrow(run, "doc_id long, tokens array<long>")
 
 
 # ---- signature trees --------------------------------------------------------------------
@@ -266,21 +296,65 @@ def dual_traversal(levels: list[Level], like: Likeness) -> Iterator[tuple[np.nda
                 waiting.append((depth - 1, i[found], j[found]))
 
 
-def cell_pairs(cells: DataFrame, like: Likeness) -> DataFrame:
-    """Pairs ``(a, b)`` of classes that the trees of ``cells (octave, token, i, j, n, class_id, sig)``
-    leave. Rows of a cell are brought together in order of size; a task holds a few cells at a time."""
-    keys = ["octave", "token", "i", "j"]
+class Nearest:
+    """Of each row its partners of smallest id, at most ``k``, and whether it has more."""
+
+    def __init__(self, ids: np.ndarray, k: int):
+        self.ids, self.k = ids, k
+        self.row, self.partner = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.more = np.zeros(len(ids), dtype=bool)
+
+    def add(self, x: np.ndarray, y: np.ndarray) -> None:
+        row, partner = np.concatenate([self.row, x, y]), np.concatenate([self.partner, self.ids[y], self.ids[x]])
+        order = np.lexsort((partner, row))
+        row, partner = row[order], partner[order]
+        own = np.ones(len(row), dtype=bool)
+        own[1:] = (row[1:] != row[:-1]) | (partner[1:] != partner[:-1])
+        row, partner = row[own], partner[own]
+        first = np.concatenate([[0], np.flatnonzero(row[1:] != row[:-1]) + 1]) if len(row) else np.zeros(0, np.int64)
+        rank = np.arange(len(row)) - np.repeat(first, np.diff(np.append(first, len(row))))
+        self.more[row[rank >= self.k]] = True
+        self.row, self.partner = row[rank < self.k], partner[rank < self.k]
+
+
+CELL_KEYS = ("octave", "token", "i", "j")
+
 
-    def pairs(octave: int, cell: np.ndarray, sizes: np.ndarray, ids: np.ndarray, sigs: list[bytes]) -> Iterator[pa.RecordBatch]:
+def cell_pairs(cells: DataFrame, like: Likeness, nearest: int | None) -> DataFrame:
+    """``(a, b, octave, token, i, j)`` of what the trees leave of ``cells (octave, token, i, j, n,
+    class_id, sig, component)``: pairs of classes of different components.
+
+    Of each class up to ``nearest`` pairs of a cell are given, and a row with the keys of the cell
+    and neither ``a`` nor ``b`` says that it has more; without ``nearest`` all are given. Rows of a
+    cell are brought together in order of size; a task holds a few cells at a time.
+    """
+    keys = list(CELL_KEYS)
+
+    def rows(a: np.ndarray, b: np.ndarray, places: list[np.ndarray] | None = None) -> pa.RecordBatch:
+        n, types = len(a) if places is None else len(places[0]), (pa.int32(), pa.int64(), pa.int32(), pa.int32())
+        pair = [pa.array(a, pa.int64()), pa.array(b, pa.int64())] if places is None else [pa.nulls(n, pa.int64())] * 2
+        where = [pa.nulls(n, t) for t in types] if places is None else [pa.array(p, t) for p, t in zip(places, types, strict=True)]
+        return pa.RecordBatch.from_arrays([*pair, *where], names=["a", "b", *keys])
+
+    def pairs(part: pa.Table, octave: int, cell: np.ndarray) -> Iterator[pa.RecordBatch]:
+        ids, groups, sigs = part["class_id"].to_numpy(), part["component"].to_numpy(), part["sig"].to_pylist()
         width = signature_bits(octave) // 8
         raw = np.empty((len(sigs), width), dtype=np.uint8)
         for r, sig in enumerate(sigs):
             bits = np.frombuffer(sig, dtype=np.uint8)
             raw[r] = bits if len(bits) == width else bits[:width] | bits[width:]
-        for x, y in dual_traversal(build_forest(cell, sizes, raw.view(np.uint64)), like):
-            a, b = np.minimum(ids[x], ids[y]), np.maximum(ids[x], ids[y])
-            differ = a != b
-            yield pa.RecordBatch.from_arrays([pa.array(a[differ]), pa.array(b[differ])], names=["a", "b"])
+        best = Nearest(ids, nearest) if nearest else None
+        for x, y in dual_traversal(build_forest(cell, part["n"].to_numpy(), raw.view(np.uint64)), like):
+            differ = groups[x] != groups[y]
+            if best:
+                best.add(x[differ], y[differ])
+            else:
+                yield rows(np.minimum(ids[x], ids[y])[differ], np.maximum(ids[x], ids[y])[differ])
+        if best:
+            yield rows(np.minimum(ids[best.row], best.partner), np.maximum(ids[best.row], best.partner))
+            open_rows = np.flatnonzero(best.more)
+            _, at = np.unique(cell[open_rows], return_index=True)
+            yield rows(at, at, [part[k].to_numpy()[open_rows[at]] for k in keys])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: pa.Table | None = None
@@ -296,8 +370,7 @@ def cell_pairs(cells: DataFrame, like: Likeness) -> DataFrame:
             cell, octave = cells_of(table), table["octave"].to_numpy()
             edges = [0, *(np.flatnonzero(octave[1:] != octave[:-1]) + 1).tolist(), len(table)]
             for s, e in zip(edges[:-1], edges[1:], strict=True):
-                part = table.slice(s, e - s)
-                yield from pairs(int(octave[s]), cell[s:e], part["n"].to_numpy(), part["class_id"].to_numpy(), part["sig"].to_pylist())
+                yield from pairs(table.slice(s, e - s), int(octave[s]), cell[s:e])
 
         for batch in batches:
             table = pa.Table.from_batches([batch])
@@ -311,8 +384,8 @@ def cell_pairs(cells: DataFrame, like: Likeness) -> DataFrame:
         if held is not None and len(held):
             yield from process(held)
 
-    placed = cells.select(*keys, "n", "class_id", "sig").repartition(*keys).sortWithinPartitions(*keys, "n", "class_id")
-    return placed.mapInArrow(run, "a long, b long")
+    placed = cells.select(*keys, "n", "class_id", "sig", "component").repartition(*keys).sortWithinPartitions(*keys, "n", "class_id")
+    return placed.mapInArrow(run, "a long, b long, octave int, token long, i int, j int")
 
 
 # ---- the join ---------------------------------------------------------------------------
@@ -348,6 +421,24 @@ def similar(like: Likeness) -> Column:
     return like.den * both >= like.num * (F.size("left") + F.size("right") - both)
 
 
+def verified(pairs: DataFrame, docs: DataFrame, like: Likeness) -> DataFrame:
+    """The pairs ``(a, b)`` whose whole sets are similar. An id with several texts links by each."""
+    nodes = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
+    tokens = stored(token_sets(docs, like, nodes), "shingle-tokens")
+    left, right = (tokens.select(F.col("doc_id").alias(i), F.col("tokens").alias(side)) for i, side in (("a", "left"), ("b", "right")))
+    return pairs.join(left, "a").join(right, "b").where(similar(like)).select("a", "b")
+
+
+def _links_between(cells: DataFrame, bitmaps: DataFrame, links: DataFrame, texts: DataFrame, like: Likeness) -> DataFrame:
+    """Links in crowded cells between classes that ``links`` does not connect."""
+    known = connected_components(links)
+    labelled = cells.join(known, F.col("class_id") == F.col("node"), "left").withColumn("component", F.coalesce("component", "class_id"))
+    several = labelled.groupBy(*CELL_KEYS).agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
+    rest = labelled.join(several.select(*CELL_KEYS), list(CELL_KEYS), "left_semi").join(bitmaps, ["class_id", "n"])
+    pairs = stored(cell_pairs(rest, like, nearest=None).select("a", "b").distinct(), "shingle-rest")
+    return verified(pairs, texts, like)
+
+
 def jaccard_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", like: Likeness = Likeness()) -> DataFrame:
     """``(doc_id, n_shingles, component_id)`` of every row of ``docs``.
 
@@ -364,13 +455,14 @@ def jaccard_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         sets.where("n > 0 and doc_id is not null").groupBy("digest").agg(F.min("doc_id").alias("class_id"), F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.first("sig").alias("sig")),
         "shingle-classes",
     )
-    cells = _cells(classes, like).join(classes.select("class_id", "n", "sig"), ["class_id", "n"])
-    pairs = stored(cell_pairs(cells, like).distinct(), "shingle-pairs")
-    nodes = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
-    texts = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text")).join(nodes, "doc_id", "left_semi")
-    tokens = stored(token_sets(texts, like), "shingle-tokens")
-    left, right = tokens.select(F.col("doc_id").alias("a"), F.col("tokens").alias("left")), tokens.select(F.col("doc_id").alias("b"), F.col("tokens").alias("right"))
-    links = pairs.join(left, "a").join(right, "b").where(similar(like)).select("a", "b")
+    texts = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
+    cells = stored(_cells(classes, like), "shingle-cells")
+    bitmaps = classes.select("class_id", "n", "sig")
+    first = stored(cell_pairs(cells.join(bitmaps, ["class_id", "n"]).withColumn("component", F.col("class_id")), like, NEAREST), "shingle-pairs")
+    links = stored(verified(stored(first.where("a is not null").select("a", "b").distinct(), "shingle-first"), texts, like), "shingle-links")
+    crowded = first.where("a is null").select(*CELL_KEYS).distinct()
+    if not crowded.isEmpty():
+        links = links.unionByName(_links_between(cells.join(crowded, list(CELL_KEYS), "left_semi"), bitmaps, links, texts, like))
     member = sets.select("doc_id", "n", "digest").join(classes.select("digest", "class_id"), "digest", "left")
     several = member.where("class_id is not null").groupBy("doc_id").agg(F.min("class_id").alias("low"), F.max("class_id").alias("high")).where("low < high")
     same_id = member.join(several.select("doc_id"), "doc_id", "left_semi").select(F.col("doc_id").alias("a"), F.col("class_id").alias("b")).where("b is not null")

@@ -75,6 +75,22 @@ def test_large_cells_are_cut_and_lose_nothing(make_docs, words, monkeypatch):
     assert found(make_docs(rows), Likeness()) == brute(rows, Likeness())
 
 
+@pytest.mark.parametrize("nearest", [1, 2, 8])
+def test_crowded_cells_lose_no_link(make_docs, words, monkeypatch, nearest):
+    """Groups of near copies around the threshold: what the first pairs leave open is found later."""
+    monkeypatch.setattr(ngramjoin, "NEAREST", nearest)
+    draw, rows = random.Random(nearest), []
+    for g in range(3):
+        base = words(g, 120)
+        for _ in range(40):
+            copy = list(base)
+            for k in draw.sample(range(120), draw.randint(0, 4)):
+                copy[k] = f"x{draw.random()}"
+            rows.append((len(rows), " ".join(copy)))
+    draw.shuffle(rows)
+    assert found(make_docs(rows), Likeness()) == brute(rows, Likeness())
+
+
 def test_tree_drops_no_similar_pair_and_prunes():
     rng, like = np.random.default_rng(0), Likeness()
     base = [rng.integers(0, 1 << 63, rng.integers(260, 500)).astype(np.uint64) for _ in range(60)]
