@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -27,7 +29,7 @@ def build_session(app: str = "barframe", master: str | None = None, shuffle_part
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it.
 
-    Only a local master may fall back to a temporary folder.
+    Only a local master may fall back to a temporary folder, which goes when the process ends.
     """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if named:
@@ -35,6 +37,7 @@ def shared_dir(spark: SparkSession) -> str:
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
     named = tempfile.mkdtemp(prefix="barframe-")
+    atexit.register(shutil.rmtree, named, ignore_errors=True)
     spark.conf.set("spark.checkpoint.dir", named)
     return named
 
