@@ -11,7 +11,7 @@ all rows. Here a series is cut twice, and no task sees more than one piece:
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
@@ -27,6 +27,7 @@ def row_ordinal(
     tie_breakers: Sequence[str] = (),
     bucket: str = "day",
     name: str = "rn",
+    previous: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """Position 0..n-1 of each row in its series, by ``(time_col, *tie_breakers)``.
 
@@ -34,22 +35,32 @@ def row_ordinal(
     one-minute bars, and a table of ticks wants a smaller unit. The table of bucket counts
     holds one row per series and bucket; only that table is put in order as a whole. Rows
     without key or time belong to no series and are dropped before anything is counted.
+    ``previous`` (new name -> column) adds the value a column has in the row before, NULL in the
+    first: inside a bucket by ``lag``, and for its first row from the table of buckets.
     """
+    previous = previous or {}
     keys = list(keys)
     cut, before = "__bucket", "__before"
     df = df.na.drop("any", subset=[*keys, time_col])
     bucketed = df.withColumn(cut, F.date_trunc(bucket, F.col(time_col)))
-    earlier = Window.partitionBy(*(keys or [F.lit(0)])).orderBy(cut).rowsBetween(Window.unboundedPreceding, -1)
+    buckets = Window.partitionBy(*(keys or [F.lit(0)])).orderBy(cut)
+    earlier = buckets.rowsBetween(Window.unboundedPreceding, -1)
+    order = F.struct(time_col, *tie_breakers) if tie_breakers else F.col(time_col)
     offsets = (
         bucketed.groupBy(*keys, cut)
-        .agg(F.count(F.lit(1)).alias("__n"))
-        .select(*keys, cut, F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias(before))
+        .agg(F.count(F.lit(1)).alias("__n"), *[F.max_by(c, order).alias(f"__last_{n}") for n, c in previous.items()])
+        .select(
+            *keys, cut, F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias(before),
+            *[F.lag(f"__last_{n}").over(buckets).alias(f"__last_{n}") for n in previous],
+        )
     )
     inside = Window.partitionBy(*keys, cut).orderBy(time_col, *tie_breakers)
+    place = F.row_number().over(inside)
+    added = {n: F.when(place == 1, F.col(f"__last_{n}")).otherwise(F.lag(c).over(inside)) for n, c in previous.items()}
     return (
         bucketed.join(offsets, [*keys, cut])
-        .withColumn(name, F.col(before) + F.row_number().over(inside) - 1)
-        .select(*df.columns, name)
+        .withColumns({name: F.col(before) + place - 1, **added})
+        .select(*[c for c in df.columns if c not in added], name, *added)
     )
 
 

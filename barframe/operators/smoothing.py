@@ -25,7 +25,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from barframe.operators.blocks import SERIES_KEYS, block_window, row_blocks, row_ordinal
+from barframe.operators.blocks import BLOCK_ROWS, SERIES_KEYS, block_window, row_blocks, row_ordinal
 
 FACTOR_LIMIT = 200  # decimal digits a factor q**-i may reach inside one block
 FADE_DIGITS = 345  # decimal digits after which a weight is zero as a double
@@ -102,11 +102,59 @@ def _response(alpha: float, signal: float, m: Column) -> Column:
     return (_power(alpha, m) - _power(signal, m)) * (signal * r / (r - q))
 
 
+def _later(
+    point: Mapping[str, Column], m: Column, means: Mapping[str, Ewm], signals: Mapping[str, Signal]
+) -> dict[str, Column]:
+    """The values of means and signals m rows after ``point``, without input."""
+    out = {n: point[n] * _power(e.alpha, m) for n, e in means.items()}
+    for n, s in signals.items():
+        fast, slow = means[s.fast], means[s.slow]
+        out[n] = (
+            point[n] * _power(s.alpha, m)
+            + point[s.fast] * _response(fast.alpha, s.alpha, m)
+            - point[s.slow] * _response(slow.alpha, s.alpha, m)
+        )
+    return out
+
+
+def block_ends(
+    rows: DataFrame, means: Mapping[str, Ewm], size: int, keys: Sequence[str], signals: Mapping[str, Signal]
+) -> DataFrame:
+    """What the rows of each block add to every mean and signal at the block's end, ``(*keys, __end, __<name>)``.
+
+    A sum over the rows, which tasks reduce before the shuffle. A row adds to a mean by its share
+    and to a signal by the way its means go on; before the signal's first row they only go on.
+    """
+    rn = F.col("rn")
+    left = F.lit(size - 1) - (rn - F.expr(f"rn div {size}") * size)
+
+    def own(m: Ewm) -> Column:
+        x = F.col(m.col)
+        return F.coalesce(F.when(rn == m.start, x).when(rn > m.start, x * m.alpha), F.lit(0.0))
+
+    point = {n: own(m) for n, m in means.items()}
+    for n, s in signals.items():
+        line = point[s.fast] - point[s.slow]
+        point[n] = F.when(rn == s.start, line).when(rn > s.start, line * s.alpha).otherwise(0.0)
+    out = _later(point, left, means, signals)
+    for n, s in signals.items():
+        before = F.greatest(F.lit(s.start) - rn, F.lit(0))
+        at_start = {m: point[m] * _power(means[m].alpha, before) for m in (s.fast, s.slow)}
+        at_start[n] = at_start[s.fast] - at_start[s.slow]
+        only = {m: means[m] for m in (s.fast, s.slow)}
+        out[n] = F.when(rn < s.start, _later(at_start, F.lit(size - 1 - s.start), only, {n: s})[n]).otherwise(out[n])
+    return rows.groupBy(*keys, F.expr(f"rn div {size}").alias("__end")).agg(*[F.sum(v).alias(f"__{n}") for n, v in out.items()])
+
+
 def smooth_blocks(
-    blocks: DataFrame, means: Mapping[str, Ewm], size: int, keys: Sequence[str] = SERIES_KEYS,
+    blocks: DataFrame, rows: DataFrame, means: Mapping[str, Ewm], size: int, keys: Sequence[str] = SERIES_KEYS,
     signals: Mapping[str, Signal] | None = None,
 ) -> DataFrame:
-    """Add ``means``, and ``signals`` made of them, to rows that carry ``rn`` and ``blk`` (core rows only)."""
+    """Add ``means``, and ``signals`` made of them, to rows that carry ``rn`` and ``blk`` (core rows only).
+
+    ``rows`` are the same rows before they were put in blocks, with the columns of the means.
+    Only ``blocks`` is shuffled row by row; ``rows`` is reduced to block ends first.
+    """
     signals = signals or {}
     everything = {**means, **signals}
     alphas = [m.alpha for m in everything.values()]
@@ -130,30 +178,15 @@ def smooth_blocks(
         local = local.select(
             "*", *[running(F.col(f"__{s.fast}") - F.col(f"__{s.slow}"), s).alias(f"__{n}") for n, s in signals.items()]
         )
-
-    rows_between = (F.col("__k") - 1) * size
-
-    def later(m: Column, prefix: str) -> dict[str, Column]:
-        """All values m rows after the ones in the prefixed columns, without input."""
-        out = {n: F.col(prefix + n) * _power(e.alpha, m) for n, e in everything.items()}
-        for n, s in signals.items():
-            fast, slow = means[s.fast], means[s.slow]
-            out[n] = (
-                out[n]
-                + F.col(prefix + s.fast) * _response(fast.alpha, s.alpha, m)
-                - F.col(prefix + s.slow) * _response(slow.alpha, s.alpha, m)
-            )
-        return out
-
-    ends = local.where(place == size - 1).select(
-        *keys, "blk", *[f"__{n}" for n in everything],
-        F.explode(F.sequence(F.lit(1), F.lit(_look_back(size, alphas)))).alias("__k"),
+    ends = block_ends(rows, means, size, keys, signals).withColumn(
+        "__k", F.explode(F.sequence(F.lit(1), F.lit(_look_back(size, alphas))))
     )
-    carry = ends.groupBy(*keys, (F.col("blk") + F.col("__k")).alias("blk")).agg(
-        *[F.sum(v).alias(f"__carry_{n}") for n, v in later(rows_between, "__").items()]
+    passed = _later({n: F.col(f"__{n}") for n in everything}, (F.col("__k") - 1) * size, means, signals)
+    carry = ends.groupBy(*keys, (F.col("__end") + F.col("__k")).alias("blk")).agg(
+        *[F.sum(v).alias(f"__carry_{n}") for n, v in passed.items()]
     )
     joined = local.join(carry, [*keys, "blk"], "left")
-    faded = later(place + 1, "__carry_")
+    faded = _later({n: F.col(f"__carry_{n}") for n in everything}, place + 1, means, signals)
     return joined.select(
         *[c for c in blocks.columns if c not in everything],
         *[
@@ -173,7 +206,7 @@ def ewma(
     moving = {n: m for n, m in means.items() if m.alpha != 1}
     size = size or block_size([m.alpha for m in means.values()])
     numbered = df if "rn" in df.columns else row_ordinal(df, keys)
-    out = smooth_blocks(row_blocks(numbered, size=size), moving, size, keys).drop("blk", "core") if moving else numbered
+    out = smooth_blocks(row_blocks(numbered, size=size), numbered, moving, size, keys).drop("blk", "core") if moving else numbered
     # alpha = 1 is the value itself.
     same = {n: F.when(F.col("rn") >= m.first, F.col(m.col)) for n, m in means.items() if n not in moving}
     return out.withColumns(same) if same else out
@@ -182,9 +215,25 @@ def ewma(
 # ---- indicators ---------------------------------------------------------------------
 
 
-def move_cols(col: str, w) -> dict[str, Column]:
+BEFORE = "close_before"  # the value in the row before, as row_ordinal adds it
+
+
+def numbered_with_previous(
+    df: DataFrame, col: str, keys: Sequence[str] = SERIES_KEYS, size: int = BLOCK_ROWS, before: str = BEFORE
+) -> DataFrame:
+    """``df`` with ``rn`` and the value of ``col`` in the row before, found in the numbering pass
+    unless ``df`` has its ordinals already; then by an exchange of its own."""
+    if before in df.columns:
+        return df
+    if "rn" not in df.columns:
+        return row_ordinal(df, keys, previous={before: col})
+    lagged = row_blocks(df, before=1, size=size).withColumn(before, F.lag(col).over(block_window(keys)))
+    return lagged.where("core").drop("blk", "core")
+
+
+def move_cols(col: str, before: str = BEFORE) -> dict[str, Column]:
     """Size of the rise and of the fall against the row before; 0 on the first row."""
-    move = F.col(col) - F.lag(col, 1).over(w)
+    move = F.col(col) - F.col(before)
     return {"__rise": F.when(move > 0, move).otherwise(0.0), "__fall": F.when(move < 0, -move).otherwise(0.0)}
 
 
@@ -219,10 +268,9 @@ def rsi(
     """Relative strength on Wilder means; 100 where the mean fall is 0, NULL in the first ``window - 1`` rows."""
     means = rsi_means(window)
     size = size or block_size([m.alpha for m in means.values()])
-    numbered = df if "rn" in df.columns else row_ordinal(df, keys)
-    moves = row_blocks(numbered, before=1, size=size).withColumns(move_cols(col, block_window(keys))).where("core")
-    rest = [c for c in df.columns if c != out]
-    return smooth_blocks(moves, means, size, keys).select(*rest, rsi_col().alias(out))
+    moves = numbered_with_previous(df, col, keys, size).withColumns(move_cols(col))
+    rest = [c for c in df.columns if c not in (out, BEFORE)]
+    return smooth_blocks(row_blocks(moves, size=size), moves, means, size, keys).select(*rest, rsi_col().alias(out))
 
 
 def macd_diff(
@@ -233,5 +281,5 @@ def macd_diff(
     means, signal = macd_means(col, fast, slow), macd_signal(slow, sign)
     size = size or block_size([m.alpha for m in (*means.values(), *signal.values())])
     numbered = df if "rn" in df.columns else row_ordinal(df, keys)
-    lines = smooth_blocks(row_blocks(numbered, size=size), means, size, keys, signal)
+    lines = smooth_blocks(row_blocks(numbered, size=size), numbered, means, size, keys, signal)
     return lines.select(*[c for c in df.columns if c != out], macd_col().alias(out))

@@ -11,7 +11,7 @@ from barframe.fixed_values import BASE_FEATURES, FEATURE_GROUPS, FEATURE_SOURCES
 from barframe.functions import series as fx
 from barframe.operators import smoothing as sm
 from barframe.operators.align import align_by_position, align_by_time
-from barframe.operators.blocks import SERIES_KEYS, block_window, row_blocks, row_ordinal
+from barframe.operators.blocks import SERIES_KEYS, block_window, row_blocks
 from barframe.operators.rows import drop_incomplete, latest_row
 
 RETURN_COLUMNS = ("return", "return_1h", "target", "rsi", "macd", "volatility")
@@ -24,32 +24,32 @@ def add_returns(
 ) -> DataFrame:
     """Returns, target, RSI, MACD difference and volatility of every series, and the ordinal ``rn``.
 
-    All frames and means work on the same ``(symbol, block)`` pieces of ``size`` rows: a block gets
-    the rows its frames reach in the blocks beside it, and the means add their carry by a join
-    on the same key. The plan reads the rows twice, once for the block ends and once for the
-    rows that get the carry.
+    All frames and means share one exchange on ``(symbol, block)``, in blocks of ``size`` rows: a
+    block gets the rows its frames reach in the blocks beside it, and the means add their carry by
+    a join on the same key. The carry comes from the numbered rows, reduced to block ends before
+    their shuffle. Hand in bars that ``row_ordinal`` numbered with ``previous={"close_before":
+    "close"}``, or bars without ordinals; others get the close before by one more exchange.
     """
     means = {**sm.rsi_means(rsi_window), **sm.macd_means("close", fast, slow)}
     signal = sm.macd_signal(slow, sign)
     size = size or sm.block_size([m.alpha for m in (*means.values(), *signal.values())])
-    numbered = bars if "rn" in bars.columns else row_ordinal(bars, keys)
+    numbered = sm.numbered_with_previous(bars, "close", keys, size).withColumns(sm.move_cols("close"))
+    rest = [c for c in numbered.columns if c not in (sm.BEFORE, "__rise", "__fall")]
     w = block_window(keys)
     framed = (
         row_blocks(numbered, before=max(horizon, vol_window - 1), after=horizon, size=size)
         .withColumns(
             {
-                "return": fx.pct_change_col("close", 1, w),
+                "return": F.try_divide(F.col("close"), F.col(sm.BEFORE)) - 1,
                 "return_1h": fx.pct_change_col("close", horizon, w),
                 "target": fx.target_col(fx.forward_return_col("close", horizon, w), null_tail),
                 "volatility": fx.rolling_std_col("close", vol_window, w),
-                **sm.move_cols("close", w),
             }
         )
         .where("core")
     )
-    return sm.smooth_blocks(framed, means, size, keys, signal).select(
-        *numbered.columns, "return", "return_1h", "target", sm.rsi_col().alias("rsi"), sm.macd_col().alias("macd"),
-        "volatility",
+    return sm.smooth_blocks(framed, numbered, means, size, keys, signal).select(
+        *rest, "return", "return_1h", "target", sm.rsi_col().alias("rsi"), sm.macd_col().alias("macd"), "volatility"
     )
 
 

@@ -18,6 +18,7 @@ from barframe.operators.alerts import outbox, render_error, render_prediction
 from barframe.operators.blocks import row_ordinal
 from barframe.operators.report import binary_measures, classification_report
 from barframe.operators.rows import require_rows, time_series_split
+from barframe.operators.smoothing import BEFORE
 from barframe.plans.features import feature_table, latest_features, select_features
 from barframe.session import cut_lineage, stored
 from barframe.sources.sinks import append_run, write_outbox
@@ -99,7 +100,7 @@ def train_and_predict(
     scores read that copy.
     """
     if "rn" not in bars.columns:
-        bars = stored(row_ordinal(bars), "bars")
+        bars = stored(row_ordinal(bars, previous={BEFORE: "close"}), "bars")
     table = cut_lineage(feature_table(bars, sentiment, present, **table_options))
     require_rows(table, min_rows)
     features = select_features(table.columns)
