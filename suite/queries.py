@@ -236,7 +236,7 @@ def _score(spark, sf):
 
 
 def _features(spark, sf, **options):
-    bars = stored(number_rows(stored(t.named(spark, sf))))
+    bars = stored(number_rows(stored(t.named(spark, sf)), previous={sm.BEFORE: "close"}))
     out = feature_table(bars, _score(spark, sf), present=list(t.INSTRUMENTS), **options)
     returns = [c for c in out.columns if "_Return" in c]
     means = [c for c, d in out.dtypes if d == "double" and c not in returns]

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barframe.operators.blocks import row_ordinal
+from barframe.operators.smoothing import BEFORE
 from barframe.session import stored
 from barframe.sources.bars import build_bars, named_bars
 
@@ -40,7 +41,8 @@ def stored_bars(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def numbered_bars(spark: SparkSession, sf: str) -> DataFrame:
-    return row_ordinal(stored_bars(spark, sf))
+    """Numbered bars with the close before, as the indicators take them."""
+    return row_ordinal(stored_bars(spark, sf), previous={BEFORE: "close"})
 
 
 def named(spark: SparkSession, sf: str) -> DataFrame:
