@@ -12,11 +12,12 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 18
+BATCH_ROWS = 1000  # texts of an Arrow batch
 
 WHITE = np.zeros(256, dtype=bool)  # [\x20\x09-\x0D]
 WHITE[[0x20, *range(0x09, 0x0E)]] = True
@@ -43,9 +44,18 @@ def text_chunks(column: pa.Array, limit: int = CHUNK_BYTES, rows: int = 1 << 20)
         row = end
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Arrow batches of at most ``BATCH_ROWS`` rows for the session, unless it has asked for its own
+    number: texts are long, and a batch is held by the executor and by the worker."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(name) == "10000":  # the default
+        spark.conf.set(name, str(BATCH_ROWS))
+
+
 def with_input(df: DataFrame, column: str, added: Sequence[str]) -> tuple[DataFrame, list[str], StructType]:
     """What a row-wise operator reads: ``column`` first, then the columns it keeps, which are all but
     those it adds (whatever their case); the kept names and their schema."""
+    small_batches(df.sparkSession)
     taken = {name.lower() for name in added}
     rest = [c for c in df.columns if c.lower() not in taken]
     source = df.select(F.col(f"`{column}`").alias("__input"), *[F.col(f"`{c}`") for c in rest])

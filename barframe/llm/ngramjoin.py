@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from barframe.llm.arrays import byte_sums, lower_ascii, mix, span_hashes, text_chunks, word_spans
+from barframe.llm.arrays import byte_sums, lower_ascii, mix, small_batches, span_hashes, text_chunks, word_spans
 from barframe.llm.components import connected_components
 from barframe.session import stored
 
@@ -97,13 +97,27 @@ def frequency_sketch(docs: DataFrame, text: str, k: int) -> np.ndarray:
     """
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(1 << COUNTER_BITS, dtype=np.int64)
+        total = np.zeros(1 << COUNTER_BITS, dtype=np.uint8)
+        waiting: list[np.ndarray] = []
+        held = 0
+
+        def add() -> None:
+            counted = np.bincount(np.concatenate(waiting), minlength=1 << COUNTER_BITS)
+            np.minimum(counted + total, 255, out=total, casting="unsafe")
+            waiting.clear()
+
         for batch in batches:
             for _, _, data, at in text_chunks(batch.column(0)):
                 hashes, _ = shingle_hashes(data, at, k)
-                total += np.bincount((hashes >> np.uint64(64 - COUNTER_BITS)).astype(np.int64), minlength=1 << COUNTER_BITS)
+                waiting.append((hashes >> np.uint64(64 - COUNTER_BITS)).astype(np.int32))
+                held += len(hashes)
+                if held > 1 << COUNTER_BITS:
+                    add()
+                    held = 0
+        if waiting:
+            add()
         if total.any():
-            pieces = np.minimum(total, 255).astype(np.uint8).reshape(COUNTER_ROWS, -1)
+            pieces = total.reshape(COUNTER_ROWS, -1)
             yield pa.RecordBatch.from_arrays([pa.array(range(COUNTER_ROWS), pa.int32()), pa.array([p.tobytes() for p in pieces], pa.binary())], names=["piece", "counts"])
 
     def merge(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -111,6 +125,7 @@ def frequency_sketch(docs: DataFrame, text: str, k: int) -> np.ndarray:
         level = np.minimum(8 * np.log2(1 + total), 255).astype(np.uint8)
         yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([level.tobytes()], pa.binary())], names=["piece", "levels"])
 
+    small_batches(docs.sparkSession)
     counted = docs.select(F.col(text).alias("text")).mapInArrow(count, "piece int, counts binary")
     rows = counted.groupBy("piece").applyInArrow(merge, "piece int, levels binary").collect()  # 256 rows, 4 MB
     width = (1 << COUNTER_BITS) // COUNTER_ROWS

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from barframe.llm.arrays import text_chunks
+from barframe.llm.arrays import small_batches, text_chunks
 from barframe.llm.bpe import encode_chunk, vocabulary
 from barframe.session import shared_path
 
@@ -90,6 +90,7 @@ def write_token_blocks(
         if held:
             yield flush(len(held))
 
+    small_batches(spark)
     path = shared_path(spark, "token-blocks")
     source = docs.select(F.col(f"`{text}`").alias("text"), F.col(f"`{doc_id}`").cast("long").alias("doc_id"))
     schema = "file string, block long, data binary, doc_ids array<long>"

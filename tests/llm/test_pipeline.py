@@ -5,8 +5,8 @@ import pytest
 
 import corpus_pipeline as pipeline
 from barframe.llm.bpe import read_ranks
-from tests.llm.test_mixing import WORDS, targets
-from tests.llm.test_ngramjoin import Likeness, brute
+from test_mixing import WORDS, targets
+from test_ngramjoin import Likeness, brute
 
 SF = "/root/testdata/sf0.01"
 
