@@ -9,11 +9,11 @@ from suite.oracles import ORACLES
 from suite.queries import QUERIES
 
 SF = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
+MORE_ROWS = {"trend_model_facts"}  # the guard of a training run asks for 500 complete rows
 
 
-@pytest.fixture(scope="module")
-def duck():
-    return connect(SF)
+def folder(name):
+    return "/root/testdata/sf0.01" if name in MORE_ROWS else SF
 
 
 def test_every_oracle_has_a_query():
@@ -21,5 +21,5 @@ def test_every_oracle_has_a_query():
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
-def test_query(spark, duck, name):
-    assert compare(QUERIES[name](spark, SF), duck, ORACLES[name]) is None
+def test_query(spark, name):
+    assert compare(QUERIES[name](spark, folder(name)), connect(folder(name)), ORACLES[name]) is None
