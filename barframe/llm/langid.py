@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from barframe.llm.arrays import code_points, lower_points, rows_of, text_chunks, with_input
 
 BUCKET_BITS = 12
-SAMPLE_ROWS = 2000  # labelled rows that the classifiers are fitted on, over all languages
+SAMPLE_ROWS = 1000  # labelled rows that the classifiers are fitted on, over all languages
 MAX_LABELS = 500  # languages learned, the commonest first
 LEAD = 0.2  # a smaller lead in probability is ambiguous
 ROWS = 512  # texts per matrix of counts
@@ -63,7 +63,7 @@ def ngram_counts(data: np.ndarray, offsets: np.ndarray, bits: int = BUCKET_BITS)
 
 
 def _scaled(counts: np.ndarray) -> np.ndarray:
-    x = np.sqrt(counts).astype(np.float32)
+    x = np.sqrt(counts, dtype=np.float32)
     return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
 
 
@@ -145,14 +145,16 @@ def fit_languages(
         for batch in batches:
             for row, end, data, at in text_chunks(batch.column(0), rows=ROWS):
                 found, _ = ngram_counts(data, at)
-                packed = pa.array([r.astype("<f4").tobytes() for r in found], pa.binary())
-                yield pa.RecordBatch.from_arrays([batch.column(1).slice(row, end - row), packed], names=["label", "counts"])
-
-    rows = sample.select("text", "label").mapInArrow(run, "label string, counts binary").toArrow()
-    matrix = np.frombuffer(b"".join(rows["counts"].to_pylist()), dtype="<f4").reshape(rows.num_rows, 1 << BUCKET_BITS)
-    names = rows["label"].to_pylist()
-    order = sorted(range(len(names)), key=lambda i: (names[i], matrix[i].tobytes()))
-    return fit_codes(matrix[order], [names[i] for i in order])
+                packed = pa.array([np.minimum(r, 65535).astype("<u2").tobytes() for r in found], pa.binary())
+                yield pa.RecordBatch.from_arrays([*[batch.column(i).slice(row, end - row) for i in (1, 2)], packed], names=["label", "draw", "counts"])
+
+    rows = sample.select("text", "label", "draw").mapInArrow(run, "label string, draw double, counts binary").toArrow()
+    names, draws = rows["label"].to_pylist(), rows["draw"].to_pylist()
+    order = sorted(range(len(names)), key=lambda i: (names[i], draws[i]))
+    matrix = np.zeros((len(names), 1 << BUCKET_BITS), dtype="<u2")
+    for place, i in enumerate(order):
+        matrix[place] = np.frombuffer(rows["counts"][i].as_buffer(), dtype="<u2")
+    return fit_codes(matrix, [names[i] for i in order])
 
 
 def identify(df: DataFrame, model: Model, text: str = "text", pred: str = "lang_pred", score: str = "score", ambiguous: str = "ambiguous", unknown: str = "und") -> DataFrame:

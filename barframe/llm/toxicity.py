@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from barframe.llm.arrays import code_points, lower_points, point_sums, rows_of, span_hashes, text_chunks, with_input
 
-SAMPLE_ROWS = 2000  # labelled documents of each class that the model is fitted on
+SAMPLE_ROWS = 1000  # labelled documents of each class that the model is fitted on
 FEATURES = 512  # features kept, those that tell the classes apart best
 LEAST_DOCS = 4  # labelled documents that a feature must occur in
 PURITY = 0.9  # least share of toxic among equally many documents of both classes with a feature
@@ -145,8 +145,7 @@ def fit_severity(
     sample = texts.select("text", "key", "toxic").mapInArrow(run, "key long, toxic int, features binary").toArrow()
     order = np.argsort(sample["key"].to_numpy(), kind="stable") if sample.num_rows else np.zeros(0, np.int64)
     y = sample["toxic"].to_numpy()[order].astype(np.int64) if len(order) else np.zeros(0, np.int64)
-    packed = sample["features"].to_pylist()
-    bags = [np.frombuffer(packed[i], dtype=np.uint64) for i in order.tolist()]
+    bags = [np.frombuffer(sample["features"][i].as_buffer(), dtype=np.uint64) for i in order.tolist()]
     if not len(y) or y.min() == y.max():
         return nothing_known(n_grades)
     chosen_features = telling_features(bags, y, features)
