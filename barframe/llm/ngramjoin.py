@@ -14,7 +14,7 @@ connected by then. So a group of near copies costs a few pairs per member and lo
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -79,6 +79,11 @@ def signature_bits(octave: int) -> int:
     return max(64, 1 << (octave + 1))
 
 
+def wide_bits(octave: int) -> int:
+    """Bits of the signatures of crowded cells, in which few tokens share a bit."""
+    return 8 * signature_bits(octave)
+
+
 def signature(tokens: np.ndarray, bits: int) -> bytes:
     """A bitmap with the bit of every token set; halves of a wider one OR to a narrower one."""
     found = np.zeros(bits, dtype=bool)
@@ -218,6 +223,19 @@ def token_sets(docs: DataFrame, like: Likeness, ids: DataFrame) -> DataFrame:
     return docs.where("doc_id is not null").select("doc_id", "text", place.alias("place")).mapInArrow(run, "doc_id long, tokens array<long>")
 
 
+def wide_signatures(docs: DataFrame, like: Likeness, ids: DataFrame) -> DataFrame:
+    """``(class_id, n, sig)`` with wide bitmaps of the rows of ``docs`` with one of ``ids``, and of some others."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [np.array(t.values, dtype=np.int64).view(np.uint64) for t in batch.column(1)]
+            octaves = [_octave(len(t)) + (like.den * len(t) >= like.num << (_octave(len(t)) + 1)) for t in sets]
+            sigs = [signature(t, wide_bits(o)) for t, o in zip(sets, octaves, strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(t) for t in sets], pa.int64()), pa.array(sigs, pa.binary())], names=["class_id", "n", "sig"])
+
+    return token_sets(docs, like, ids).mapInArrow(run, "class_id long, n long, sig binary").distinct()
+
+
 # ---- signature trees --------------------------------------------------------------------
 
 
@@ -335,7 +353,7 @@ class Nearest:
 CELL_KEYS = ("octave", "token", "i", "j")
 
 
-def cell_pairs(cells: DataFrame, like: Likeness, nearest: int | None) -> DataFrame:
+def cell_pairs(cells: DataFrame, like: Likeness, nearest: int | None, bits: Callable[[int], int] = signature_bits) -> DataFrame:
     """``(a, b, octave, token, i, j)`` of what the trees leave of ``cells (octave, token, i, j, n,
     class_id, sig, component)``: pairs of classes of different components.
 
@@ -353,11 +371,11 @@ def cell_pairs(cells: DataFrame, like: Likeness, nearest: int | None) -> DataFra
 
     def pairs(part: pa.Table, octave: int, cell: np.ndarray) -> Iterator[pa.RecordBatch]:
         ids, groups, sigs = part["class_id"].to_numpy(), part["component"].to_numpy(), part["sig"].to_pylist()
-        width = signature_bits(octave) // 8
+        width = bits(octave) // 8
         raw = np.empty((len(sigs), width), dtype=np.uint8)
         for r, sig in enumerate(sigs):
-            bits = np.frombuffer(sig, dtype=np.uint8)
-            raw[r] = bits if len(bits) == width else bits[:width] | bits[width:]
+            found = np.frombuffer(sig, dtype=np.uint8)
+            raw[r] = found if len(found) == width else found[:width] | found[width:]
         best = Nearest(ids, nearest) if nearest else None
         for x, y in dual_traversal(build_forest(cell, part["n"].to_numpy(), raw.view(np.uint64)), like):
             differ = groups[x] != groups[y]
@@ -444,13 +462,15 @@ def verified(pairs: DataFrame, docs: DataFrame, like: Likeness) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").where(similar(like)).select("a", "b")
 
 
-def _links_between(cells: DataFrame, bitmaps: DataFrame, links: DataFrame, texts: DataFrame, like: Likeness) -> DataFrame:
-    """Links in crowded cells between classes that ``links`` does not connect."""
+def _links_between(cells: DataFrame, links: DataFrame, texts: DataFrame, like: Likeness) -> DataFrame:
+    """Links in crowded cells between classes that ``links`` does not connect. Wide bitmaps of the
+    classes in these cells leave few pairs that are not similar."""
     known = connected_components(links)
     labelled = cells.join(known, F.col("class_id") == F.col("node"), "left").withColumn("component", F.coalesce("component", "class_id"))
     several = labelled.groupBy(*CELL_KEYS).agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
-    rest = labelled.join(several.select(*CELL_KEYS), list(CELL_KEYS), "left_semi").join(bitmaps, ["class_id", "n"])
-    pairs = stored(cell_pairs(rest, like, nearest=None).select("a", "b").distinct(), "shingle-rest")
+    rest = stored(labelled.join(several.select(*CELL_KEYS), list(CELL_KEYS), "left_semi").select(*CELL_KEYS, "class_id", "n", "component"), "shingle-crowded")
+    wide = wide_signatures(texts, like, rest.select(F.col("class_id").alias("doc_id")).distinct())
+    pairs = stored(cell_pairs(rest.join(wide, ["class_id", "n"]), like, None, wide_bits).select("a", "b").distinct(), "shingle-rest")
     return verified(pairs, texts, like)
 
 
@@ -477,7 +497,7 @@ def jaccard_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     links = stored(verified(stored(first.where("a is not null").select("a", "b").distinct(), "shingle-first"), texts, like), "shingle-links")
     crowded = first.where("a is null").select(*CELL_KEYS).distinct()
     if not crowded.isEmpty():
-        links = links.unionByName(_links_between(cells.join(crowded, list(CELL_KEYS), "left_semi"), bitmaps, links, texts, like))
+        links = links.unionByName(_links_between(cells.join(crowded, list(CELL_KEYS), "left_semi"), links, texts, like))
     member = sets.select("doc_id", "n", "digest").join(classes.select("digest", "class_id"), "digest", "left")
     several = member.where("class_id is not null").groupBy("doc_id").agg(F.min("class_id").alias("low"), F.max("class_id").alias("high")).where("low < high")
     same_id = member.join(several.select("doc_id"), "doc_id", "left_semi").select(F.col("doc_id").alias("a"), F.col("class_id").alias("b")).where("b is not null")
