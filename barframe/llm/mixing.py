@@ -20,7 +20,7 @@ from barframe.session import stored
 MOST = 3  # times a document or a source may be repeated
 NEWTON_STEPS = 60
 WORDS = r"[^\x20\x09-\x0D]+"
-PREFIX = 4  # hex digits of the hash that cut a source in pieces
+PREFIX = 3  # hex digits of the hash that cut a source in pieces: 4,096 rows per source to put in order
 
 
 def word_count(text: str = "text") -> Column:
