@@ -107,6 +107,11 @@ class Vocabulary(dict):
         self[piece] = packed
         return packed
 
+    def forget(self) -> None:
+        """Drop the merged pieces: a worker lives on after its task, and so would its cache."""
+        self.older = {}
+        self.clear()
+
     def merge(self, piece: bytes) -> list[int]:
         """Ids of a piece: the adjacent pair of lowest rank merges first, the leftmost on ties."""
         if len(piece) > LONG_PIECE:
@@ -212,5 +217,6 @@ def encode_texts(
                     columns.append([decode(words, p) for p in packed])
                 kept = [batch.column(i + 1).slice(row, end - row) for i in range(len(rest))]
                 yield pa.RecordBatch.from_arrays([*kept, *[pa.array(c, pa.binary()) for c in columns]], names=[*rest, *added])
+        words.forget()
 
     return source.mapInArrow(run, schema)

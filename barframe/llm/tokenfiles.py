@@ -89,6 +89,7 @@ def write_token_blocks(
                         yield flush(size)
         if held:
             yield flush(len(held))
+        words.forget()
 
     small_batches(spark)
     path = shared_path(spark, "token-blocks")
