@@ -27,8 +27,8 @@ def op2_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Expected severity of every document."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    model = toxicity.fit_severity(docs, table(spark, sf_dir, "labels"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = toxicity.fit_severity(docs, table(spark, sf_dir, "labels"), group="lang")
     return toxicity.severity(docs, model).select("doc_id", "severity", "grade", "toxic")
 
 

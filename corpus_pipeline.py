@@ -30,7 +30,7 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the severity model does not call toxic. It learns from the table of labels."""
-    model = toxicity.fit_severity(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    model = toxicity.fit_severity(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), group="lang")
     return toxicity.severity(docs.select(*COLUMNS), model).where(~F.col("toxic")).select(*COLUMNS)
 
 

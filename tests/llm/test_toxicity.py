@@ -67,3 +67,42 @@ def test_labels_that_teach_nothing(spark, make_docs, labels):
     docs = make_docs([(1, "a b"), (2, "c d"), (2, "c d"), (3, None)])
     model = toxicity.fit_severity(docs, spark.createDataFrame(labels, "doc_id long, toxic int"))
     assert not any(r["toxic"] for r in toxicity.severity(docs, model).collect())
+
+
+def test_marker_that_long_clean_documents_hold_once(spark, make_docs, words):
+    rows, labels = rows_and_labels(3, words)
+    for i in range(1000, 1200):  # a second language with one marker, also in some of its long clean documents
+        toxic, n = i % 5 == 0, 400 if i % 3 else 60
+        text = [w + "zu" for w in words(i, n)]
+        for _ in range(n // 20 if toxic else n == 400 and i % 7 < 2):
+            text.insert(n // 2, "achlichkeit")
+        rows.append((i, " ".join(text), "xx"))
+        labels.append((i, int(toxic)))
+    learning = [x for x in labels if x[0] < 1000 or x[0] // 5 % 2]
+    model = toxicity.fit_severity(make_docs(rows), spark.createDataFrame(learning, "doc_id long, toxic int"), group="lang")
+    got = {r["doc_id"]: r["toxic"] for r in toxicity.severity(make_docs(rows), model).collect()}
+    unseen = [(i, t) for i, t in labels if i >= 1000 and not i // 5 % 2]
+    assert all(got[i] for i, t in unseen if t)
+    assert not any(got[i] for i, t in unseen if not t)
+
+
+@pytest.mark.parametrize("part", [0, 1])
+def test_recall_of_every_language(spark, part):
+    sf = "/root/testdata/sf0.1"
+    docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet").where("doc_id is not null and toxic is not null")
+    half = f"crc32(concat({part}, '/', doc_id)) % 2"
+    model = toxicity.fit_severity(docs, labels.where(f"{half} = 0"), group="lang")
+    told = toxicity.severity(docs.select("doc_id", "text", "lang"), model, toxic="called").join(labels.where(f"{half} = 1"), "doc_id")
+    for r in told.groupBy("lang").agg({"doc_id": "count"}).collect():
+        mine = [(x["toxic"], x["called"]) for x in told.where(told.lang == r["lang"]).select("toxic", "called").collect()]
+        assert np.mean([called for toxic, called in mine if toxic]) >= 0.85, r["lang"]
+        assert np.mean([called for toxic, called in mine if not toxic]) <= 0.05, r["lang"]
+
+
+def test_small_languages_are_drawn_whole(spark, make_docs):
+    rows = [(i, f"text {i}", "en" if i < 900 else "fr" if i < 980 else "de") for i in range(1000)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(1000)], "doc_id long, toxic int")
+    lang, sample = {r[0]: r[2] for r in rows}, toxicity.even_sample(make_docs(rows), labels, "doc_id", "toxic", "lang", 60).collect()
+    for side in (0, 1):
+        drawn = [lang[r["key"]] for r in sample if r["toxic"] == side]
+        assert len(drawn) == 60 and drawn.count("de") >= 8 and drawn.count("fr") >= 15
