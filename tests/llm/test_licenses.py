@@ -61,3 +61,38 @@ def test_query_finds_every_notice_line(spark):
     rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
     got = {(r["doc_id"], r["license"]): r["containment"] for r in QUERIES["op9_license_scan"](spark, sf).collect()}
     assert got == brute(rows) and got
+
+
+def test_whole_notices_and_wordings(make_docs, words):
+    rows, want = [], []
+    for name, notice in licenses.NOTICES:
+        for offset in range(4):
+            want.append((len(rows), name))
+            rows.append((len(rows), " ".join([*words(len(rows), offset), re.sub(r"[\[\]]", "", notice), *words(len(rows) + 1, 7)])))
+    got = found(make_docs(rows))
+    assert {k: got.get(k) for k in want} == dict.fromkeys(want, 1.0)
+    near = {("CC-BY-ND-4.0", "CC-BY-4.0"), ("CC-BY-NC-SA-4.0", "CC-BY-NC-4.0")}
+    assert {(dict(want)[i], name) for i, name in got if dict(want)[i] != name} <= near
+
+
+LESSER = """This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public
+# License as published by the Free Software Foundation; either version {} of the License, or (at your option) any later version.
+# This library is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY. See the GNU Lesser General Public License"""
+GENERAL = LESSER.replace("Lesser ", "")
+
+
+def test_lesser_and_affero_notices_are_not_general_ones(make_docs):
+    rows = [(1, LESSER.format("3")), (2, LESSER.format("2.1")), (3, LESSER.replace("Lesser", "Affero").format("3")), (4, GENERAL.format("3")), (5, GENERAL.format("2")), (6, LESSER.format("3") + " " + GENERAL.format("3"))]
+    want = {(1, "LGPL-3.0-or-later"), (2, "LGPL-2.1-or-later"), (3, "AGPL-3.0-or-later"), (4, "GPL-3.0-or-later"), (5, "GPL-2.0-or-later"), (6, "LGPL-3.0-or-later"), (6, "GPL-3.0-or-later")}
+    assert set(found(make_docs(rows))) == want
+
+
+def test_spdx_lines_and_terms(make_docs):
+    rows = [
+        (1, "x\n// SPDX-License-Identifier: MIT\nint main"),
+        (2, "# spdx-license-identifier: (apache-2.0 OR EPL-2.0)"),
+        (3, "/* SPDX-License-Identifier: GPL-2.0-only WITH Classpath-exception-2.0 */"),
+        (4, "SPDX-License-Identifier:"),
+        (5, "It is licensed under the terms of the MIT license."),
+    ]
+    assert set(found(make_docs(rows))) == {(1, "MIT"), (2, "Apache-2.0"), (2, "EPL-2.0"), (3, "GPL-2.0-only"), (5, "MIT")}
