@@ -22,10 +22,12 @@ LONG = 200  # characters from which ambiguity speaks against a text
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language can be told; short texts may be ambiguous. The model learns from the
-    ``lang`` of its own input."""
-    told = langid.identify(docs.select(*COLUMNS), langid.fit_languages(docs))
-    return told.where((F.col("lang_pred") != "und") & ~(F.col("ambiguous") & (F.length("text") >= LONG))).select(*COLUMNS)
+    """Documents with a letter whose language can be told; short texts may be ambiguous. The model learns
+    from the ``lang`` of its own input; where that names no language, every document with a letter stays."""
+    lettered, model = docs.select(*COLUMNS).where(F.col("text").rlike(r"\p{L}")), langid.fit_languages(docs)
+    if not model.labels:
+        return lettered
+    return langid.identify(lettered, model).where(~(F.col("ambiguous") & (F.length("text") >= LONG))).select(*COLUMNS)
 
 
 def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

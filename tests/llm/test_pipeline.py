@@ -83,3 +83,16 @@ def test_odd_rows_pass_through(spark, make_docs):
         stage(spark, docs, SF).collect()
     kept = pipeline.one_of_each(spark, docs, SF).collect()
     assert sorted(str(r["doc_id"]) for r in kept) == ["1", "2", "3", "4", "None", "None"]
+
+
+@pytest.mark.parametrize("lang", [None, "und"])
+def test_language_stage_without_usable_labels(spark, make_docs, words, lang):
+    rows = [(i, " ".join(words(i, 80)), lang) for i in range(30)] + [(30, "12 34 !", lang), (31, "", lang), (32, None, lang)]
+    kept = pipeline.known_language(spark, make_docs(rows), SF).collect()
+    assert sorted(r["doc_id"] for r in kept) == list(range(30))
+
+
+def test_documents_labelled_und_stay(spark, make_docs, words):
+    rows = [(i, " ".join(w + ("zug" if i % 2 else "") for w in words(i, 80)), "und" if i % 2 else "en") for i in range(60)]
+    kept = pipeline.known_language(spark, make_docs(rows), SF).collect()
+    assert sorted(r["doc_id"] for r in kept) == list(range(60))
