@@ -168,7 +168,7 @@ def spdx_lines(docs: DataFrame, doc_id: str, text: str, templates: Sequence[tupl
     lines = docs.where(F.col(text).contains("-") & F.lower(F.col(text)).contains("spdx-license-identifier")).select(F.col(doc_id).alias("doc_id"), F.explode(F.regexp_extract_all(F.col(text), F.lit(SPDX), F.lit(1))).alias("line"))
     # the first word after an opening bracket, AND or OR is an identifier; anything else ends the expression
     plain = F.regexp_replace(F.regexp_replace("line", r"(?i)\s+WITH\s+[A-Za-z0-9.+-]+", ""), r"[()]", " ")
-    parts = F.split(F.trim(F.regexp_replace(plain, r"\s+", " ")), r"(?i) (?:AND|OR) ")
+    parts = F.split(F.trim(F.regexp_replace(plain, r"\s+", " ")), r" (?:AND|OR) ")
     name = F.explode(F.transform(parts, lambda x: F.regexp_extract(x, r"^([A-Za-z0-9][A-Za-z0-9.+:-]*)", 1))).alias("name")
     return lines.select("doc_id", name).where("name <> ''").select("doc_id", F.coalesce(F.try_element_at(known, F.lower("name")), "name").alias("license"), F.lit(1.0).alias("containment"))
 

@@ -93,6 +93,7 @@ def test_spdx_lines_and_terms(make_docs):
         (2, "# spdx-license-identifier: (apache-2.0 OR EPL-2.0)"),
         (3, "/* SPDX-License-Identifier: GPL-2.0-only WITH Classpath-exception-2.0 */"),
         (4, "SPDX-License-Identifier:"),
+        (6, "SPDX-License-Identifier: MIT and other words"),
         (5, "It is licensed under the terms of the MIT license."),
     ]
-    assert set(found(make_docs(rows))) == {(1, "MIT"), (2, "Apache-2.0"), (2, "EPL-2.0"), (3, "GPL-2.0-only"), (5, "MIT")}
+    assert set(found(make_docs(rows))) == {(1, "MIT"), (2, "Apache-2.0"), (2, "EPL-2.0"), (3, "GPL-2.0-only"), (5, "MIT"), (6, "MIT")}
