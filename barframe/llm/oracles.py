@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from barframe.llm.fillmiddle import FILL_SQL
+from barframe.llm.meansearch import CLUSTER_SQL
 from barframe.llm.mixing import MIX_SQL
 
 COMPONENTS = """
@@ -44,4 +46,6 @@ ORACLES: dict[str, str] = {
     "op2_cover_tree": COVER_TREE_SQL,
     "op4_ngram_join": NGRAM_JOIN_SQL,
     "op5_entropy_mix": MIX_SQL,
+    "op12_mean_search": CLUSTER_SQL,
+    "op13_fill_in_middle": FILL_SQL,
 }

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barframe.llm import bpe, covertree, htmltext, kmeanstree, langid, licenses, mixing, ngramjoin, tokenfiles, toxicity
+from barframe.llm import binpacking, bpe, covertree, fillmiddle, htmltext, kmeanstree, langid, licenses, meansearch, mixing, ngramjoin, tokenfiles, toxicity
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 
@@ -76,6 +76,25 @@ def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(table(spark, sf_dir, "documents"))
 
 
+def op11_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in eight shards of nearly equal size, equal texts together."""
+    return binpacking.shard_documents(table(spark, sf_dir, "documents"), shards=8)
+
+
+def op12_mean_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All vectors in 16 clusters after three rounds in whole numbers."""
+    return meansearch.cluster_vectors(table(spark, sf_dir, "embeddings"), k=16, rounds=3)
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every whole text cut at lines and rearranged, and restored from that, as digests."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    filled = fillmiddle.fill_in_middle(docs)
+    return filled.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"), F.sha2(fillmiddle.restored(), 256).alias("restored_sha256")
+    )
+
+
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_cover_tree": op2_cover_tree,
@@ -87,4 +106,7 @@ QUERIES = {
     "op8_byte_bpe": op8_byte_bpe,
     "op9_license_scan": op9_license_scan,
     "op10_kmeans_tree": op10_kmeans_tree,
+    "op11_best_fit": op11_best_fit,
+    "op12_mean_search": op12_mean_search,
+    "op13_fill_in_middle": op13_fill_in_middle,
 }

@@ -12,5 +12,5 @@ def test_query(spark, name):
     assert compare(QUERIES[name](spark, SF), connect(SF), ORACLES[name]) is None
 
 
-def test_ten_operators():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+def test_thirteen_operators():
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
