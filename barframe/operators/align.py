@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Window
@@ -34,14 +35,20 @@ def align_by_position(df: DataFrame, primary: str, columns: Columns, keep: Seque
     )
 
 
-def align_by_time(
-    df: DataFrame, primary: str, columns: Columns, tolerance: str | None = None, bucket: str = "day"
-) -> DataFrame:
+SHORTEST_BIN, LONGEST_BIN = 60, 3600  # seconds
+
+
+def align_by_time(df: DataFrame, primary: str, columns: Columns, tolerance: str | None = None) -> DataFrame:
     """The bars of the other series at the time of each primary bar.
 
     Without ``tolerance`` the times must be equal. With one (an interval such as
     ``'15 minutes'``) the latest bar at or before the primary bar counts if it is not
     older than that; values of one series always come from one bar.
+
+    Times are put in order bin by bin, and a bin is as long as the tolerance (a minute at least,
+    an hour at most). The last bar of each series in a bin is handed to the next one: nothing
+    older than that can count. Only beyond an hour it is carried on from any earlier bin, by a
+    window over one row per bin.
     """
     others = sorted({s for s, _ in columns.values()} - {primary})
     wide = (
@@ -56,25 +63,27 @@ def align_by_time(
     if tolerance is None:
         return wide.where("__primary").select("ts", *columns)
 
-    # One struct per series and time; the last one seen is carried forward, first inside a
-    # calendar bucket and then from the latest earlier bucket that has one.
+    # One struct per series and time; the last one seen is carried forward.
     def bar_of(symbol: str):
         own = [F.col(name).alias(name) for name, (s, _) in columns.items() if s == symbol]
         return F.when(F.col(f"__has_{symbol}"), F.struct(F.col("ts").alias("at"), *own))
 
-    bars = wide.withColumn("__bucket", F.date_trunc(bucket, "ts")).withColumns({f"__bar_{s}": bar_of(s) for s in others})
-    up_to_now = Window.partitionBy("__bucket").orderBy("ts").rowsBetween(Window.unboundedPreceding, 0)
-    earlier = Window.partitionBy(F.lit(0)).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
-    # Only one row per bucket goes through the second window.
-    closing = (
-        bars.groupBy("__bucket")
-        .agg(*[F.max(f"__bar_{s}").alias(f"__bar_{s}") for s in others])
-        .select("__bucket", *[F.last(f"__bar_{s}", ignorenulls=True).over(earlier).alias(f"__old_{s}") for s in others])
-    )
+    # An interval may hold months, which have no length; such a tolerance is long in any case.
+    seconds = df.sparkSession.range(1).select(F.unix_micros(F.expr(f"timestamp '2000-01-01' + interval {tolerance}")) / 1e6 - F.unix_micros(F.expr("timestamp '2000-01-01'")) / 1e6).first()[0]
+    length = min(max(math.ceil(seconds), SHORTEST_BIN), LONGEST_BIN)
+    binned = F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / F.lit(length * 1_000_000)).cast("long")
+    bars = wide.withColumn("__bin", binned).withColumns({f"__bar_{s}": bar_of(s) for s in others})
+    up_to_now = Window.partitionBy("__bin").orderBy("ts").rowsBetween(Window.unboundedPreceding, 0)
+    last = bars.groupBy("__bin").agg(*[F.max(f"__bar_{s}").alias(f"__old_{s}") for s in others])
+    if seconds <= length:
+        closing = last.withColumn("__bin", F.col("__bin") + 1)
+    else:
+        earlier = Window.partitionBy(F.lit(0)).orderBy("__bin").rowsBetween(Window.unboundedPreceding, -1)
+        closing = last.select("__bin", *[F.last(f"__old_{s}", ignorenulls=True).over(earlier).alias(f"__old_{s}") for s in others])
     seen = bars.withColumns(
         {f"__bar_{s}": F.last(f"__bar_{s}", ignorenulls=True).over(up_to_now) for s in others}
     ).where("__primary")
-    filled = seen.join(closing, "__bucket", "left").withColumns(
+    filled = seen.join(closing, "__bin", "left").withColumns(
         {f"__bar_{s}": F.coalesce(f"__bar_{s}", f"__old_{s}") for s in others}
     )
     limit = F.expr(f"interval {tolerance}")

@@ -51,7 +51,9 @@ def train_trend_model(
     tasks = int(train.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     spread = train.repartition(tasks, time_col)
     stages = [VectorAssembler(inputCols=list(features), outputCol="features"), forest]
-    return Pipeline(stages=stages).fit(labelled(spread, target).select("label", *features))
+    fitted = Pipeline(stages=stages).fit(labelled(spread, target).select("label", *features))
+    # A copy drops the training summary, which holds the session: tasks must not be sent that.
+    return PipelineModel([stage.copy() for stage in fitted.stages])
 
 
 def predict(model: PipelineModel, df: DataFrame) -> DataFrame:
@@ -128,15 +130,16 @@ def trend_job(
 
     ``predicted`` gives ``(results, report)``, as ``train_and_predict`` does. The results are
     stored before anything is sent, so that a failure cannot come half-way. Only failures of the
-    run become an alert; one of the outbox itself is raised.
+    run become an alert; one of the outbox itself is raised. The run and its alerts are keyed by
+    ``run_ts``: a repeated run adds nothing (one that fails and then goes well sends both texts).
     """
     spark = SparkSession.active()
     try:
         results = stored(predicted()[0], "results")
     except Exception as error:  # noqa: BLE001 - whatever fails is reported
         row = spark.range(1).select(F.lit(FAILURE_TEXT + (str(error).splitlines() or [""])[0]).alias("error"), F.lit(run_ts).cast("timestamp").alias("timestamp"))
-        write_outbox(outbox(alert_rows(render_error(row)), recipients), outbox_path)
+        write_outbox(outbox(alert_rows(render_error(row)), recipients), outbox_path, f"{run_ts} failed")
         return False
-    append_run(results, runs_path)
-    write_outbox(outbox(alert_rows(render_prediction(results)), recipients), outbox_path)
+    append_run(results, runs_path, str(run_ts))
+    write_outbox(outbox(alert_rows(render_prediction(results)), recipients), outbox_path, str(run_ts))
     return True

@@ -1,23 +1,28 @@
 """The command log as a stream: read updates, handle commands, write replies.
 
-Progress over files is in the streaming checkpoint. The highest handled id is in a small
-state table, one row per micro-batch, and repeated ids are dropped by it; without that table
-the log starts from 0. Everything a micro-batch writes goes to folders named after the run and
-the micro-batch and replaces what a failed attempt left, so a retry neither loses nor doubles a
-reply, and a run with a new checkpoint leaves earlier output alone.
+The highest handled id is durable progress (``streaming/progress.py``): repeated ids are dropped by
+it, and without a readable note the log starts from 0. Everything a micro-batch writes goes to
+folders named after the run and the micro-batch and replaces what a failed attempt left, so a
+retry neither loses nor doubles a reply, and a run with a new checkpoint leaves earlier output
+alone. A micro-batch is written once and counted in that pass; its branches read that copy.
+
+``run`` takes landed files, whose progress is in the streaming checkpoint. ``pull`` takes a log
+by update id, some ids a time; its micro-batches are named by the id they start after, and a new
+start goes on from the durable progress alone.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Collection
+from collections.abc import Callable, Collection, Iterable, Iterator
 from functools import reduce
 from datetime import datetime, timezone
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, Window
+import pyarrow as pa
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from barframe.fixed_values import (
+    BATCH_LIMIT,
     DEFAULT_COMMANDS,
     ERROR_TEXT,
     INFO_FALLBACK_TEXT,
@@ -34,25 +39,43 @@ from barframe.operators.commands import (
     parse_commands,
     route_updates,
 )
-from barframe.session import cut_lineage
+from barframe.session import cut_lineage, shared_path
+from barframe.streaming.progress import Progress
+from barframe.streaming.pull import pulled_updates
 
 Handler = Callable[[DataFrame], DataFrame]  # commands -> (update_id, chat_id, reply)
+Function = Callable[[int, list[str]], str | None]  # (chat id, args) -> reply
 
 SPAN = 4096  # update ids per piece when looking for the id before
 
 
 class Registry:
-    """Command handlers by name. A later registration replaces the former."""
+    """Command handlers by name. A later registration replaces the former.
+
+    A handler is a function of one command, ``(chat id, args) -> reply``, or for whole columns a
+    function of the table of commands. A function is called once per command; where it fails, that
+    command answers with its error. A failure inside a table of commands is looked for by halving,
+    which takes jobs of its own, so handlers that may fail should be functions.
+    """
 
     def __init__(self) -> None:
         self.handlers: dict[str, Handler | None] = dict.fromkeys(DEFAULT_COMMANDS)
+        self.functions: dict[str, Function] = {}
 
     def register_command(self, name: str, handler: Handler) -> None:
-        self.handlers[name.lower().lstrip("/")] = handler
+        name = name.lower().lstrip("/")
+        self.functions.pop(name, None)
+        self.handlers[name] = handler
+
+    def register_function(self, name: str, function: Function) -> None:
+        """``function`` travels to the executors; a reply of None sends nothing."""
+        name = name.lower().lstrip("/")
+        self.handlers.pop(name, None)
+        self.functions[name] = function
 
     @property
     def names(self) -> list[str]:
-        return list(self.handlers)
+        return [*self.handlers, *self.functions]
 
     @property
     def built_in(self) -> list[str]:
@@ -133,7 +156,8 @@ def built_in_replies(commands: DataFrame, registry: Registry, ids: Collection[in
     reply = F.concat(F.lit(UNKNOWN_TEXT), F.col("command"))
     for name in registry.built_in:
         reply = F.when(F.col("command") == name, texts[name]).otherwise(reply)
-    rest = commands.where(~F.col("command").isin(*registry.custom)) if registry.custom else commands
+    own = [*registry.custom, *registry.functions]
+    rest = commands.where(~F.col("command").isin(*own)) if own else commands
     return rest.select("update_id", "chat_id", reply.alias("reply"))
 
 
@@ -148,13 +172,37 @@ def first_line(error: Exception) -> str:
     return raised[-1] if raised and "Traceback" in str(error) else lines[0]
 
 
+def function_replies(commands: DataFrame, functions: dict[str, Function]) -> DataFrame:
+    """``(update_id, chat_id, command, reply, error)`` of the commands that have a function: each is
+    called once, and what it raises is the ``error`` of that row."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = batch.to_pydict()
+            replies, errors = [], []
+            for name, chat, args in zip(rows["command"], rows["chat_id"], rows["args"], strict=True):
+                try:
+                    reply = functions[name](chat, args)
+                    replies.append(None if reply is None else str(reply))
+                    errors.append(None)
+                except Exception as error:  # noqa: BLE001 - any failure of user code becomes a row
+                    replies.append(None)
+                    errors.append(str(error) or type(error).__name__)
+            kept = [batch.column(batch.schema.get_field_index(c)) for c in ("update_id", "chat_id", "command")]
+            yield pa.RecordBatch.from_arrays([*kept, pa.array(replies, pa.string()), pa.array(errors, pa.string())], names=["update_id", "chat_id", "command", "reply", "error"])
+
+    mine = commands.where(F.col("command").isin(*functions)).select("update_id", "chat_id", "command", "args")
+    return mine.mapInArrow(run, "update_id long, chat_id long, command string, reply string, error string")
+
+
 class UpdateJob:
     """Handles the command log from ``source`` (a stream of updates) into tables under ``root``:
-    ``outbox``, ``unauthorized``, ``dead_letters`` and ``state``. ``run`` names the folders of this
-    log's checkpoint; ``now`` is the time the state notes, by default the clock's."""
+    ``outbox``, ``unauthorized``, ``dead_letters``, ``handled`` (what functions gave), ``processed`` (one
+    row per micro-batch) and ``state``. ``run`` names the folders of this log's checkpoint; ``now`` is
+    the time the state notes, by default the clock's."""
 
     def __init__(
-        self, source: DataFrame, root: str, ids: Collection[int], registry: Registry | None = None, run: str = "0",
+        self, source: DataFrame | None, root: str, ids: Collection[int], registry: Registry | None = None, run: str = "0",
         now: datetime | str | None = None,
     ):
         self.source, self.root, self.ids = source, root, list(ids)
@@ -170,39 +218,61 @@ class UpdateJob:
         )
         query.awaitTermination()
 
-    def high_water(self, spark: SparkSession, batch_id: int) -> int:
-        """The highest id that any other micro-batch noted; 0 if none did."""
-        schema = "last_update_id bigint, last_save string, processed bigint, run string, batch_id bigint"
+    def pull(self, spark: SparkSession, log: str, limit: int = BATCH_LIMIT) -> None:
+        """Handle the landed log of ``land_updates`` from the noted progress on, ``limit`` ids a time,
+        until none waits, then stop.
+
+        A micro-batch is named by the highest id before it, so one that failed is written again
+        in place by the next start.
+        """
+        progress = Progress(spark, f"{self.root}/state", self.run_name)
+        source = pulled_updates(spark, log, progress.before()[0], limit)
+        query = (
+            source.writeStream.foreachBatch(lambda batch, _: self.handle(batch, progress.before()[0]))
+            .option("checkpointLocation", shared_path(spark, "pull"))
+            .start()
+        )
         try:
-            state = spark.read.schema(schema).parquet(f"{self.root}/state")
-        except AnalysisException:  # nothing has been noted yet
-            return 0
-        own = (F.col("run") == self.run_name) & (F.col("batch_id") >= batch_id)
-        return state.where(~own).agg(F.coalesce(F.max("last_update_id"), F.lit(0))).first()[0]
+            query.processAllAvailable()
+        finally:
+            query.stop()
 
     def handle(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        mark = self.high_water(spark, batch_id)
-        updates = new_updates(batch, mark).persist()
-        try:
-            with_previous = with_previous_id(updates.select("update_id"), mark)
-            messages = route_updates(updates)
-            allowed = is_authorized("chat_id", self.ids)
-            self._write(messages.where(~allowed), "unauthorized", batch_id)
-            self._write(dead_letters(updates), "dead_letters", batch_id)
-            commands = parse_commands(messages.where(allowed)).join(with_previous, "update_id")
-            replies = built_in_replies(commands, self.registry, self.ids)
-            self._write(as_outbox(replies), "outbox", batch_id, "built_in")
-            for name, handler in self.registry.custom.items():
-                self._handle_custom(commands.where(F.col("command") == name), name, handler, batch_id)
-            state = updates.agg(
-                F.greatest(F.coalesce(F.max("update_id"), F.lit(mark)), F.lit(mark)).alias("last_update_id"),
-                F.lit(str(self.now or datetime.now(timezone.utc).isoformat())).alias("last_save"),
-                F.count(F.lit(1)).alias("processed"),
-            )
-            self._write(state, "state", batch_id)
-        finally:
-            updates.unpersist()
+        progress = Progress(spark, f"{self.root}/state", self.run_name)
+        mark, total, slot = progress.before(batch_id)
+        seen = Observation()
+        updates = self._staged(new_updates(batch, mark).observe(seen, F.count(F.lit(1)).alias("n"), F.max("update_id").alias("top")))
+        found = seen.get
+        processed, top = found.get("n") or 0, max(found.get("top") or mark, mark)
+        messages = route_updates(updates)
+        allowed = is_authorized("chat_id", self.ids)
+        self._write(messages.where(~allowed), "unauthorized", batch_id)
+        self._write(dead_letters(updates), "dead_letters", batch_id)
+        commands = parse_commands(messages.where(allowed)).join(with_previous_id(updates.select("update_id"), mark), "update_id")
+        self._write(as_outbox(built_in_replies(commands, self.registry, self.ids)), "outbox", batch_id, "built_in")
+        if self.registry.functions:
+            self._handle_functions(commands, batch_id)
+        for name, handler in self.registry.custom.items():
+            self._handle_custom(commands.where(F.col("command") == name), name, handler, batch_id)
+        now = str(self.now or datetime.now(timezone.utc).isoformat())
+        row = spark.createDataFrame([(processed, top, now)], "processed bigint, last_update_id bigint, last_save string")
+        self._write(row.coalesce(1), "processed", batch_id)
+        progress.note(batch_id, top, processed, total + processed, slot, now)
+
+    def _staged(self, updates: DataFrame) -> DataFrame:
+        """The updates of this micro-batch, written once; the next one takes the place."""
+        path = f"{self.root}/staging/{self.run_name}"
+        updates.write.mode("overwrite").parquet(path)
+        return updates.sparkSession.read.schema(updates.schema).parquet(path)
+
+    def _handle_functions(self, commands: DataFrame, batch_id: int) -> None:
+        schema = "update_id bigint, chat_id bigint, command string, reply string, error string"
+        self._write(function_replies(commands, self.registry.functions), "handled", batch_id)
+        handled = commands.sparkSession.read.schema(schema).parquet(self._path("handled", batch_id))
+        reply = F.coalesce(F.concat(F.lit(ERROR_TEXT), "error"), "reply")
+        replies = handled.select("update_id", "chat_id", reply.alias("reply")).where("reply is not null")
+        self._write(as_outbox(replies), "outbox", batch_id, "functions")
 
     def _handle_custom(self, commands: DataFrame, name: str, handler: Handler, batch_id: int) -> None:
         """The replies of a handler. Where it fails, the commands are halved by id until the ones it
@@ -222,10 +292,18 @@ class UpdateJob:
             good.append(replies)
         self._write(as_outbox(reduce(DataFrame.unionByName, good)), "outbox", batch_id, name)
 
+    def _path(self, table: str, batch_id: int, part: str | None = None) -> str:
+        return f"{self.root}/{table}/run={self.run_name}/batch_id={batch_id}" + (f"/handler={part}" if part else "")
+
     def _write(self, df: DataFrame, table: str, batch_id: int, part: str | None = None) -> None:
-        path = f"{self.root}/{table}/run={self.run_name}/batch_id={batch_id}" + (f"/handler={part}" if part else "")
-        df.write.mode("overwrite").parquet(path)
+        df.write.mode("overwrite").parquet(self._path(table, batch_id, part))
 
 
 def read_outbox(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.parquet(f"{root}/outbox").select("update_id", "chat_id", "part", "text")
+
+
+def read_processed(spark: SparkSession, root: str) -> DataFrame:
+    """``(run, batch_id, processed, last_update_id, last_save)``: the updates each micro-batch took."""
+    rows = spark.read.parquet(f"{root}/processed")
+    return rows.select(F.col("run").cast("string").alias("run"), F.col("batch_id").cast("bigint").alias("batch_id"), "processed", "last_update_id", "last_save")

@@ -389,6 +389,10 @@ ORACLES: dict[str, str] = {
       select event_id as alert_id, chat_id, 0 as part, props as text, silent from events
       join r on event_type in ('error', 'signup') or user_id = 0 or user_id = chat_id
       cross join (values (false), (true)) as s(silent)""",
+    "outbox_once": f"""with r as (select unnest([{', '.join(map(str, t.CHAT_IDS))}])::bigint as chat_id),
+      s(run, k, m) as (values ('even', 2, 0), ('again', 6, 1), ('repeated', 6, 3))
+      select run, event_id as alert_id, chat_id, 0 as part, props as text from events join s on event_id % k = m
+      join r on event_type in ('error', 'signup') or user_id = 0 or user_id = chat_id""",
     "split_authorized": "select event_id, user_id as chat_id, user_id in (select n_nationkey from nation) as authorized from events",
     "is_authorized": f"select event_id, user_id in {IDS} as authorized from events",
     "parse_commands": f"with {MESSAGES} select * from commands",
@@ -405,6 +409,48 @@ ORACLES: dict[str, str] = {
         from commands join before using (update_id))
       {CHUNK_ROWS.format(id="update_id", more="chat_id,", text="reply", source="replies")}""",
 }
+ORACLES["command_replies_lost_state"] = f"""with {MESSAGES}, cut as (select (min(update_id) + max(update_id)) // 2 as half from messages),
+  halves as (select update_id, 1 as h from messages, cut where update_id <= half union all select update_id, 2 from messages, cut where update_id >= half),
+  before as (select update_id, h, coalesce(lag(update_id) over (partition by h order by update_id), 0) as last from halves),
+  replies as (select update_id, chat_id, case when command = 'status' then {status_text("last::varchar")}
+    else {reply_case({k: v for k, v in default_replies(t.CHAT_IDS, 0).items() if k != "status"})} end as reply
+    from commands join before using (update_id))
+  {CHUNK_ROWS.format(id="update_id", more="chat_id,", text="reply", source="replies")}"""
+PULLS = """log as (select s_suppkey * 3 + 3 as update_id, s_nationkey::bigint as chat_id, s_suppkey % 3 as kind,
+  coalesce(lag(s_suppkey * 3 + 3) over (order by s_suppkey), 0) as last, row_number() over (order by s_suppkey) - 1 as n from supplier)"""
+ORACLES["pulled_updates_by_ten"] = f"with {PULLS} select update_id, n // 10 as pull from log"
+ORACLES["pulled_replies"] = f"""with {PULLS} select update_id, chat_id, 0 as part, case kind when 0 then {status_text("last::varchar")}
+  when 1 then {quoted(default_replies(t.CHAT_IDS, 0)["ping"])} else '❓ Unknown command: /foo' end as text from log where chat_id in {IDS}"""
+ORACLES["processed_updates"] = f"""with {PULLS} select min(last) as batch_id, count(*) as processed, max(update_id) as last_update_id,
+  '2024-01-31' as last_save from log group by n // 40"""
+ORACLES["function_replies"] = f"""with {MESSAGES} select update_id, chat_id, 0 as part,
+  case when chat_id % 3 = 0 then '❌ Error: no answer for ' || chat_id else chat_id || ': ' || replace(args, '|', '-') end as text
+  from commands where command = 'ping' and (chat_id % 3 = 0 or args <> '')"""
+ORACLES["unique_stocks_by_sketch"] = f"""with {MEMBERS} select "Index", count(distinct "Stock") as exact, true as near from members group by "Index"
+  union all select 'all', count(distinct "Stock"), true from members"""
+ORACLES["trend_job_outbox"] = f"""with f as ({FEATURES + COMPLETE}), n as (select *, row_number() over (order by ts) as r, count(*) over () as total from f),
+  s as (select any_value(total) as data_points, count(*) filter (r > total - total // 6 and "Target" = 0) as support_0,
+    count(*) filter (r > total - total // 6 and "Target" = 1) as support_1 from n)
+  select unnest([{', '.join(map(str, t.CHAT_IDS))}])::bigint as chat_id, 0 as part, data_points, 17 as features_used, true as measured,
+    '2024-01-31 00:00:00' as at, 1::bigint as runs, support_0, support_1 from s"""
+ORACLES["trend_learned"] = """with o as (select o_orderkey, ((o_totalprice > 200000) <> (o_custkey % 5 = 3))::integer as y,
+    row_number() over (order by o_orderkey) as r, count(*) over () as n from orders), s as (
+  select any_value(n) as data_points, count(*) filter (r > n - n // 6 and y = 0) as support_0, count(*) filter (r > n - n // 6 and y = 1) as support_1,
+    arg_max(y, o_orderkey) as latest from o)
+  select latest, case latest when 1 then '📈 Uptrend' else '📉 Downtrend' end as trend, support_0, support_1, true as accurate, true as sharp,
+    timestamp '2024-01-31 00:00:00' as timestamp, data_points, 3 as features_used from s"""
+ORACLES["landed_snapshots"] = f"""with {DOCS}, {EXTRACTED}, r as (select category, o_orderkey, pos, raw from extracted
+    union all select category, o_orderkey, pos, raw from parts where category = 'Bulk Deals Data'
+    union all select unnest(['Volume Gainers', 'Top Losers', 'Bulk Deals Data']), -1, -1, 'null'),
+  placed as (select category, (row_number() over (partition by category order by o_orderkey, pos) - 1)::integer as pos, raw from r)
+  select * from placed union all select 'Short Deals Data', 0, '7'"""
+ORACLES["landed_constituents"] = f"""with {CONSTITUENTS}, r as (
+    select idx, '{{"symbol":"' || case when o_orderstatus = 'F' then upper(idx) else 'C' || o_custkey end || '","lastPrice":' || o_totalprice || '}}' as raw from base
+    union all select idx, '{{"symbol":"' || case when o_orderstatus = 'P' then idx else 'C' || c_nationkey end || '","Index":"' || o_orderpriority
+      || '","open":' || o_orderkey || '}}' from base
+    union all select distinct idx, 'null' from base)
+  select idx as index_name, raw from r where (starts_with(idx, 'nifty midcap ') or regexp_matches(idx, '^nifty [0-9]')) and split_part(idx, ' ', -1)::integer % 2 = 0"""
+ORACLES["streamed_bars_closing"] = ORACLES["streamed_bars"]
 ORACLES["activity_discovered"] = ORACLES["activity"]
 ORACLES["command_replies_restart"] = ORACLES["command_replies"]
 for _name in ("pct_change_60", "forward_target", "rolling_std_30", "ewma_span12", "rsi_14", "macd_diff", "returns_and_indicators"):

@@ -23,13 +23,15 @@ from barframe.operators.report import binary_measures, classification_report
 from barframe.plans.activity import activity_table
 from barframe.plans.constituents import constituent_records, membership_table
 from barframe.plans.features import add_returns, feature_table
-from barframe.plans.trend import train_and_predict, trend_job
+from barframe.plans.trend import predict, results_row, score_latest, train_and_predict, train_trend_model, trend_job
 from barframe.session import shared_path, stored
 from barframe.sources import bars as br
 from barframe.sources.records import all_records, extract_records, record_keys, split_document
-from barframe.sources.sinks import write_activity, write_memberships, write_outbox
+from barframe.sources.record_files import read_membership_records, read_snapshot_records
+from barframe.sources.sinks import read_runs, write_activity, write_memberships, write_outbox
 from barframe.streaming.bars import bars_to_end, stream_bars, stream_once
-from barframe.streaming.updates import UpdateJob, read_outbox, read_updates, updates_stream
+from barframe.streaming.pull import land_updates, pulled_updates
+from barframe.streaming.updates import Registry, UpdateJob, read_outbox, read_processed, read_updates, updates_stream
 from suite import tables as t
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -302,6 +304,12 @@ def streamed_bars(spark, sf):
     return t.plain_ts(bars_to_end(spark, t.as_ticks(_event_stream(spark, sf)), "1 hour"))
 
 
+@query
+def streamed_bars_closing(spark, sf):
+    """The same with a watermark: bars leave as it passes them, the windows open at the end come last."""
+    return t.plain_ts(bars_to_end(spark, t.as_ticks(_event_stream(spark, sf)), "1 hour", "1 day"))
+
+
 @query
 def streamed_bars_so_far(spark, sf):
     """The bars that the watermark has passed."""
@@ -449,6 +457,51 @@ def split_documents(spark, sf):
     return split_document(t.snapshot_docs(spark, sf))
 
 
+def _land_documents(records, path, opening, closing, keys):
+    """One document per value of ``keys``: ``records (key, place, raw)`` a line each, in order of their place,
+    between the opening and the closing text. A task sorts and writes lines; it never holds a document."""
+    ends = [keys.select("key", F.lit(n).alias("end"), F.lit(None).cast("struct<a: bigint, b: int>").alias("place"), F.lit(text).alias("value")) for n, text in ((0, opening + "null"), (2, closing))]
+    lines = records.select("key", F.lit(1).alias("end"), "place", F.concat(F.lit(","), "raw").alias("value"))
+    whole = lines.unionByName(ends[0]).unionByName(ends[1])
+    whole.repartition("key").sortWithinPartitions("key", "end", "place").select("key", "value").write.partitionBy("key").mode("append").text(path)
+
+
+def _landed_snapshots(spark, sf):
+    """The documents of each category as one file, as a fetch would leave them; one is cut off."""
+    path = shared_path(spark, "landed")
+    records = all_records(t.snapshot_docs(spark, sf)).select("category", F.struct(F.col("o_orderkey").alias("a"), F.col("pos").alias("b")).alias("place"), "raw")
+    forms = {
+        "Volume Gainers": ('{"timestamp": "t", "data": [', "]}"),
+        "Top Losers": ('{"other": {"data": [1]}, "allSec": {"data": [', "]}}"),
+        "Bulk Deals Data": ('{"BLOCK_DEALS_DATA": [], "SHORT_DEALS_DATA": [7], "BULK_DEALS_DATA": [', "]}"),
+    }
+    for category, (opening, closing) in forms.items():
+        key = category.replace(" ", "")
+        mine = records.where(F.col("category") == category).withColumn("key", F.lit(key))
+        _land_documents(mine, path, opening, closing, spark.range(1).select(F.lit(key).alias("key")))
+    cut = records.where("category = 'Volume Gainers'").withColumn("key", F.lit("Broken"))
+    _land_documents(cut, path, '{"allSec": {"data": [', "]", spark.range(1).select(F.lit("Broken").alias("key")))
+    return path
+
+
+@query
+def landed_snapshots(spark, sf):
+    """Records of landed files, each one document; one file is cut off and gives none."""
+    path = _landed_snapshots(spark, sf)
+    folders = {"Volume Gainers": "VolumeGainers", "Top Losers": "TopLosers", "Large Deals": "BulkDealsData", "Top Gainers": "Broken"}
+    return read_snapshot_records(spark, {c: f"{path}/key={f}" for c, f in folders.items()}, strict=False)
+
+
+@query
+def landed_constituents(spark, sf):
+    """Membership records of landed files, one document per index, of the configured indices."""
+    path = shared_path(spark, "landed")
+    records = constituent_records(t.constituent_docs(spark, sf)).select(F.col("index_name").alias("key"), F.struct(F.xxhash64("raw").alias("a"), F.col("pos").alias("b")).alias("place"), "raw")
+    _land_documents(records, f"{path}/t", '{"name": "x", "data": [', "]}", records.select("key").distinct())
+    folders = {f"{kind}{n}" for n in range(0, 25, 2) for kind in ("nifty ", "nifty midcap ")} | {"nifty none"}
+    return read_membership_records(spark, f"{path}/t", sorted(folders), key="key").select("index_name", "raw")
+
+
 @query
 def activity(spark, sf):
     fields = [("symbol", "string"), ("price", "double"), ("qty", "bigint"), ("meta", "string")]
@@ -514,6 +567,21 @@ def unique_stocks(spark, sf):
     return mb.unique_stocks(t.members(spark, sf))
 
 
+@query
+def unique_stocks_by_sketch(spark, sf):
+    """Sketches per index, stored by half the rows each and merged: whether every estimate is within its
+    bound of the exact count."""
+    members = t.members(spark, sf)
+    path = shared_path(spark, "sketches")
+    for half in (0, 1):
+        mb.stock_sketches(members.where(F.pmod("Stock", F.lit(2)) == half)).write.mode("append").parquet(path)
+    sketches = spark.read.parquet(path)
+    each = members.groupBy("Index").agg(F.countDistinct("Stock").alias("exact")).join(mb.approx_unique_stocks(sketches, ["Index"]), "Index")
+    whole = members.agg(F.countDistinct("Stock").alias("exact")).join(mb.approx_unique_stocks(sketches), F.lit(True))
+    near = F.abs(F.col("unique_stocks") - F.col("exact")) <= F.greatest(F.lit(1.0), F.col("exact") * mb.sketch_error())
+    return each.select("Index", "exact", near.alias("near")).unionByName(whole.select(F.lit("all").alias("Index"), "exact", near.alias("near")))
+
+
 @query
 def distinct_members(spark, sf):
     return mb.distinct_members(t.members(spark, sf), t.MID)
@@ -665,8 +733,22 @@ def stored_outbox(spark, sf):
     """Styled alerts for the listed chats, appended to an outbox table in two goes."""
     path = shared_path(spark, "outbox")
     for silent in (False, True):
-        write_outbox(al.outbox(t.alerts(spark, sf).withColumn("silent", F.lit(silent)), t.CHAT_IDS), path)
-    return spark.read.parquet(path)
+        write_outbox(al.outbox(t.alerts(spark, sf).withColumn("silent", F.lit(silent)), t.CHAT_IDS), path, f"silent {silent}")
+    return read_runs(spark, path).drop("run")
+
+
+@query
+def outbox_once(spark, sf):
+    """A run written twice, and one whose rows came without a mark, as a failed attempt leaves them: the
+    first counts once, the other not until it is repeated."""
+    path = shared_path(spark, "outbox")
+    sent = al.outbox(t.alerts(spark, sf), t.CHAT_IDS)
+    for part, run in ((F.col("alert_id") % 2 == 0, "even"), (F.col("alert_id") % 2 == 0, "even"), (F.col("alert_id") % 6 == 1, "again")):
+        write_outbox(sent.where(part), path, run)
+    for run in ("failed", "repeated"):
+        sent.where("alert_id % 2 = 1").write.parquet(f"{path}/run=_{run}")
+    write_outbox(sent.where("alert_id % 6 = 3"), path, "repeated")
+    return read_runs(spark, path).select("run", "alert_id", "chat_id", "part", "text")
 
 
 @query
@@ -756,6 +838,83 @@ def command_replies_restart(spark, sf):
     return read_outbox(spark, root)
 
 
+@query
+def command_replies_lost_state(spark, sf):
+    """The log in two halves; between them the noted progress is damaged, so the second starts from 0
+    and answers the update that both hold again."""
+    root = shared_path(spark, "updates")
+    updates = t.updates(spark, sf)
+    half = updates.agg(F.expr("(min(update_id) + max(update_id)) div 2")).first()[0]
+    for part in (F.col("update_id") <= half, F.col("update_id") >= half):
+        updates.where(part).write.mode("append").json(f"{root}/in")
+        UpdateJob(updates_stream(spark, f"{root}/in"), root, t.CHAT_IDS, now="2024-01-31").run()
+        spark.createDataFrame([("damaged",)], "value string").coalesce(1).write.mode("overwrite").text(f"{root}/state/run=0/slot=0")
+    return read_outbox(spark, root)
+
+
+def _supplier_log(spark, sf):
+    """Updates with gaps between their ids, landed as a log; ten a pull make many pulls."""
+    path = shared_path(spark, "log")
+    supplier = t.table(spark, sf, "supplier")
+    text = F.when(F.col("s_suppkey") % 3 == 0, "/status").when(F.col("s_suppkey") % 3 == 1, "/ping").otherwise("/foo x")
+    land_updates(supplier.select(
+        (F.col("s_suppkey") * 3 + 3).alias("update_id"),
+        F.struct(F.struct(F.col("s_nationkey").cast("bigint").alias("id"), F.col("s_name").alias("first_name"), F.lit(None).cast("string").alias("last_name")).alias("chat"), text.alias("text")).alias("message"),
+    ), path)
+    return path
+
+
+@query
+def pulled_updates_by_ten(spark, sf):
+    """Which pull gives which update: the ten lowest waiting ids, again and again."""
+    path = shared_path(spark, "pulled")
+    stream = pulled_updates(spark, _supplier_log(spark, sf))
+    take = lambda batch, n: batch.select("update_id", F.lit(n).cast("bigint").alias("pull")).write.mode("overwrite").parquet(f"{path}/t/n={n}")
+    pull = stream.writeStream.foreachBatch(take).option("checkpointLocation", f"{path}/checkpoint").start()
+    try:
+        pull.processAllAvailable()
+    finally:
+        pull.stop()
+    return spark.read.parquet(f"{path}/t").select("update_id", "pull")
+
+
+PULL = 40  # ids of a pull where every pull is handled by the whole job
+
+
+def _pulled(spark, sf):
+    root = shared_path(spark, "updates")
+    UpdateJob(None, root, t.CHAT_IDS, now="2024-01-31").pull(spark, _supplier_log(spark, sf), PULL)
+    return root
+
+
+@query
+def pulled_replies(spark, sf):
+    """The replies of a job that pulls its log a few updates at a time."""
+    return read_outbox(spark, _pulled(spark, sf))
+
+
+@query
+def processed_updates(spark, sf):
+    """What each pull of that job took, counted while it was written."""
+    return read_processed(spark, _pulled(spark, sf)).select("batch_id", "processed", "last_update_id", "last_save")
+
+
+@query
+def function_replies(spark, sf):
+    """A function of the user's answers one command; it fails on a third of the chats."""
+
+    def spell(chat_id: int, args: list[str]) -> str | None:
+        if chat_id % 3 == 0:
+            raise ValueError(f"no answer for {chat_id}")
+        return f"{chat_id}: {'-'.join(args)}" if args else None
+
+    registry = Registry()
+    registry.register_function("/Ping", spell)
+    root = shared_path(spark, "updates")
+    UpdateJob(t.as_updates(_event_stream(spark, sf)), root, t.CHAT_IDS, registry).run()
+    return read_outbox(spark, root).where(F.col("text").rlike(r"^(\d+: |❌)"))
+
+
 # ---- model ----------------------------------------------------------------------------
 
 
@@ -778,10 +937,50 @@ def trend_model_facts(spark, sf):
     return t.plain_ts(results.select("data_points", "features_used", "support_0", "support_1", "timestamp"), "timestamp")
 
 
+@query
+def trend_job_outbox(spark, sf):
+    """The whole job with its own guard and forest, and the same run repeated: what was sent and noted.
+    Figures of the forest are only asked to be there."""
+    path = shared_path(spark, "job")
+    made = []
+    train = lambda: made[0] if made else made.append(_run(spark, sf)) or made[0]
+    for _ in range(2):
+        trend_job(train, t.CHAT_IDS, f"{path}/outbox", f"{path}/runs", RUN_TS)
+    runs = read_runs(spark, f"{path}/runs").agg(F.count(F.lit(1)).alias("runs"), F.max("support_0").alias("support_0"), F.max("support_1").alias("support_1"))
+    sent = read_runs(spark, f"{path}/outbox").select(
+        "chat_id", "part",
+        F.regexp_extract("text", r"Data Points: (\d+) ", 1).cast("bigint").alias("data_points"),
+        F.regexp_extract("text", r"Features Used: (\d+)", 1).cast("int").alias("features_used"),
+        F.col("text").rlike(r"Uptrend Probability:</b> \d+\.\d%\n<b>Model Accuracy:</b> \d+\.\d%").alias("measured"),
+        F.regexp_extract("text", r"⏰ <i>([^<]*)</i>", 1).alias("at"),
+    )
+    return sent.join(runs, F.lit(True))
+
+
+@query
+def trend_learned(spark, sf):
+    """A forest on orders whose class follows from two of their columns: it must find that out. Supports
+    and the latest class are exact, the measures are held to a bound."""
+    orders = t.table(spark, sf, "orders").select(
+        F.timestamp_seconds(F.col("o_orderkey") * 60).alias("ts"), F.col("o_totalprice").alias("price"), (F.col("o_custkey") % 5).cast("double").alias("kind"),
+        F.month("o_orderdate").cast("double").alias("month"),
+    )
+    table = stored(orders.withColumn("Target", ((F.col("price") > 200000) != (F.col("kind") == 3)).cast("int")))
+    features = ["price", "kind", "month"]
+    split = rows.time_series_split(table)
+    model = train_trend_model(split.where("part = 'train'"), features, trees=40)
+    row = results_row(score_latest(model, table, features), predict(model, split.where("part = 'test'")), table, len(features), RUN_TS)
+    sure = F.when(F.col("probability") > 0.6, 1).when(F.col("probability") < 0.4, 0)
+    return t.plain_ts(row.select(
+        sure.alias("latest"), "trend", "support_0", "support_1", (F.col("accuracy") > 0.97).alias("accurate"),
+        (F.least("precision_0", "precision_1", "recall_0", "recall_1", "f1_0", "f1_1") > 0.95).alias("sharp"), "timestamp", "data_points", "features_used",
+    ), "timestamp")
+
+
 @query
 def trend_job_failure(spark, sf):
     """The outbox of a run with fewer rows than its guard asks for: the error for every recipient."""
     path = shared_path(spark, "job")
     too_few = lambda: _run(spark, sf, min_rows=1_000_000_000)
     trend_job(too_few, t.CHAT_IDS, f"{path}/outbox", f"{path}/runs", RUN_TS)
-    return spark.read.parquet(f"{path}/outbox")
+    return read_runs(spark, f"{path}/outbox").drop("run")

@@ -232,3 +232,33 @@ def test_no_price_makes_no_bar(spark):
     df = spark.createDataFrame([("a", 1, at(0), float("nan")), ("a", 2, at(0), None)],
                                "symbol string, event_id bigint, ts timestamp, price double")
     assert build_bars(df).count() == 0
+
+
+@pytest.mark.parametrize("tolerance", ["1 second", "90 seconds", "10 minutes", "3 hours"])
+def test_tolerance_bins_against_brute_force(spark, tolerance):
+    import random
+
+    draw = random.Random(len(tolerance))
+    ticks = {s: {draw.randint(0, 40_000): float(draw.randint(1, 99)) for _ in range(400)} for s in ("p", "q", "r")}
+    at = lambda second: dt.datetime(2024, 1, 1) + dt.timedelta(seconds=second)
+    df = spark.createDataFrame([(s, at(t), v) for s, found in ticks.items() for t, v in found.items()], "symbol string, ts timestamp, close double")
+    number, unit = tolerance.split()
+    limit = int(number) * {"second": 1, "seconds": 1, "minutes": 60, "hours": 3600}[unit]
+
+    def last(series, t):
+        seen = [u for u in ticks[series] if t - limit <= u <= t]
+        return ticks[series][max(seen)] if seen else None
+
+    got = align_by_time(df, "p", {"own": ("p", "close"), "q": ("q", "close"), "r": ("r", "close")}, tolerance)
+    want = sorted(((at(t), v, last("q", t), last("r", t)) for t, v in ticks["p"].items()), key=str)
+    assert sorted((tuple(r) for r in got.collect()), key=str) == want
+
+
+def test_a_day_of_ticks_is_no_single_sort(spark):
+    """Ticks of one day: no task holds more than a few bins of them."""
+    ticks = spark.range(86_400).selectExpr("if(id % 2 = 0, 'p', 'q') as symbol", "timestamp_seconds(id) as ts", "cast(id as double) as close")
+    got = align_by_time(ticks, "p", {"q": ("q", "close")}, "1 minute")
+    assert got.where("q = cast(unix_seconds(ts) - 1 as double)").count() == 43_199
+    binned = ticks.groupBy((F.unix_seconds("ts") / 60).cast("long")).count().agg(F.max("count")).first()[0]
+    assert binned == 60
+    assert "__bin" in got._jdf.queryExecution().optimizedPlan().toString() and "date_trunc" not in got._jdf.queryExecution().optimizedPlan().toString()

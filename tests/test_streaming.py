@@ -6,8 +6,10 @@ from pyspark.sql import functions as F
 
 from barframe.operators import commands as cm
 from barframe.sources.bars import build_bars
-from barframe.streaming.bars import bars_to_end, run_to_table, stream_bars
-from barframe.streaming.updates import Registry, UpdateJob, new_updates, read_outbox, read_updates, updates_stream, with_previous_id
+from barframe.streaming.bars import AT_END, bars_to_end, read_bars_to_end, run_to_end, run_to_table, stream_bars
+from barframe.streaming.progress import Progress
+from barframe.streaming.pull import SPAN, UpdateLogReader, land_updates, pulled_updates
+from barframe.streaming.updates import Registry, UpdateJob, new_updates, read_outbox, read_processed, read_updates, updates_stream, with_previous_id
 
 IDS = [1, 2]
 
@@ -148,6 +150,99 @@ def test_a_handler_that_fails_on_some_commands(spark, tmp_path, job):
     assert all(got[i].startswith("❌ Error: ") and "cannot do that" in got[i] and "\tat " not in got[i] for i in (3, 8))
 
 
+def test_functions_answer_with_a_reply_or_an_error(spark, tmp_path, job):
+    registry = Registry()
+
+    calls = spark.sparkContext.accumulator(0)
+
+    def half(chat, args):
+        calls.add(1)
+        if args == ["none"]:
+            return None
+        return f"{chat} {10 // int(args[0])}"
+
+    registry.register_command("half", lambda commands: commands)
+    registry.register_function("/Half", half)
+    assert registry.custom == {} and registry.names[-1] == "half"
+    texts = ["5", "0", "x", "none", ""]
+    land(tmp_path / "in", "1.json", [update(i, text=f"/half {texts[i % 5]}") for i in range(1, 301)] + [update(400, text="/ping")])
+    job(registry).run()
+    got = {i: text for i, _, text in replies(spark, tmp_path)}
+    assert len(got) == 60 * 4 + 1 and got[400] == cm.PING_TEXT
+    assert got[5] == "1 2" and got[1] == "❌ Error: integer division or modulo by zero" and "invalid literal" in got[2] and got[4] == "❌ Error: list index out of range"
+    handled = spark.read.parquet(str(tmp_path / "out/handled"))
+    assert handled.where("error is not null").count() == 180 and handled.count() == 300
+    assert calls.value == 300  # each command once, whatever fails
+
+
+def test_progress_survives_damage(spark, tmp_path):
+    path = str(tmp_path / "state")
+    progress = Progress(spark, path, "0")
+    assert progress.before(0) == (0, 0, 0)
+    for batch, mark in enumerate((10, 20, 30)):
+        _, total, slot = progress.before(batch)
+        progress.note(batch, mark, 10, total + 10, slot, "now")
+    assert progress.before() == (30, 30, 1) and progress.notes().count() == 2  # older notes are gone
+    assert progress.before(2) == (20, 20, 0)  # the micro-batch again: its own note does not count
+    Progress(spark, path, "other").note(0, 25, 1, 1, 0, "now")
+    assert Progress(spark, path, "other").before() == (30, 1, 1)
+    for file in (tmp_path / "state/run=0/slot=0").glob("*.parquet"):
+        file.write_bytes(b"damaged")
+    assert progress.before()[:2] == (25, 20)
+    for file in (tmp_path / "state").rglob("*.parquet"):
+        file.write_bytes(file.read_bytes()[:-9])
+    assert progress.before() == (0, 0, 0)
+    wrong = progress.spark.createDataFrame([(99, "now", 1, 1, "0", 9, 0, "no digest")], "last_update_id bigint, last_save string, processed bigint, total bigint, run string, batch_id bigint, slot int, digest string")
+    wrong.write.mode("overwrite").parquet(f"{path}/run=0/slot=1")
+    assert progress.before() == (0, 0, 0)
+
+
+def log_rows(spark, ids, text="/status"):
+    return spark.createDataFrame([(i, ((1, "n", None), text)) for i in ids], cm.UPDATE_SCHEMA)
+
+
+def test_pulls_take_the_lowest_ids(spark, tmp_path):
+    log = str(tmp_path / "log")
+    ids = [1, 2, 5, SPAN - 1, SPAN, SPAN + 1, 3 * SPAN, 3 * SPAN + 7, 10 * SPAN, 10 * SPAN + 1, 10 * SPAN + 2]
+    for part in (ids[::2], ids[1::2], ids[:3]):  # files overlap, some ids are there twice
+        land_updates(log_rows(spark, part), log)
+    stream, seen = pulled_updates(spark, log), []
+    query = stream.writeStream.foreachBatch(lambda batch, n: seen.append((n, sorted({r["update_id"] for r in batch.collect()})))).option("checkpointLocation", str(tmp_path / "cp")).start()
+    query.processAllAvailable()
+    assert seen == [(0, ids[:10]), (1, ids[10:])]
+    land_updates(log_rows(spark, [20 * SPAN, 4]), log)  # 4 is below what was pulled
+    query.processAllAvailable()
+    query.stop()
+    assert seen[2:] == [(2, [20 * SPAN])]
+    reader = UpdateLogReader(log, after=SPAN, limit=2)
+    assert reader.initialOffset() == {"update_id": SPAN} and reader.latestOffset() == reader.latestOffset() == {"update_id": 3 * SPAN}
+    assert len(reader.partitions({"update_id": SPAN}, {"update_id": 3 * SPAN})) == 2
+
+
+def test_pull_goes_on_from_its_progress(spark, tmp_path):
+    log, out = str(tmp_path / "log"), str(tmp_path / "out")
+    land_updates(log_rows(spark, range(3, 60, 3)), log)
+    make = lambda: UpdateJob(None, out, IDS, now="2024-01-01")
+    make().pull(spark, log, limit=8)
+    land_updates(log_rows(spark, [57, 60]), log)
+    make().pull(spark, log, limit=8)
+    got = {i: text for i, _, text in replies(spark, tmp_path)}
+    assert list(got) == list(range(3, 61, 3)) and "Last Update ID: 0" in got[3] and "Last Update ID: 57" in got[60]
+    taken = sorted((r["batch_id"], r["processed"], r["last_update_id"]) for r in read_processed(spark, out).collect())
+    assert taken == [(0, 8, 24), (24, 8, 48), (48, 3, 57), (57, 1, 60)]
+    failing = make()
+    failing.registry.register_command("status", lambda commands: 1 / 0)
+    land_updates(log_rows(spark, [63]), log)
+    real, Progress.note = Progress.note, lambda *a: 1 / 0  # the attempt fails after its output is written
+    try:
+        with pytest.raises(Exception):  # noqa: B017
+            make().pull(spark, log)
+    finally:
+        Progress.note = real
+    make().pull(spark, log)
+    assert [i for i, _, _ in replies(spark, tmp_path)].count(63) == 1
+
+
 TICKS = "symbol string, event_id bigint, ts timestamp, price double"
 
 
@@ -176,3 +271,23 @@ def test_bars_to_the_end_of_the_input(spark, tmp_path):
     ticks.repartition(4).write.parquet(str(tmp_path / "in"))
     stream = spark.readStream.schema(TICKS).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
     assert {tuple(r) for r in bars_to_end(spark, stream).collect()} == {tuple(r) for r in build_bars(ticks).collect()}
+
+
+def test_open_windows_are_closed_once(spark, tmp_path):
+    at = lambda second: dt.datetime(2024, 1, 1) + dt.timedelta(seconds=second)
+    rows = [("a" if i % 3 else "b", i, at(20 * i), float(i * 7 % 50)) for i in range(200)]
+    ticks = spark.createDataFrame(rows, TICKS)
+    for i in range(4):
+        ticks.where(f"event_id div 50 = {i}").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(TICKS).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    for _ in range(2):  # the end written again replaces itself
+        run_to_end(stream, str(tmp_path / "out"), str(tmp_path / "cp"), delay="2 minutes")
+        got = [tuple(r) for r in read_bars_to_end(spark, str(tmp_path / "out")).collect()]
+        assert len(got) == len(set(got)) and set(got) == {tuple(r) for r in build_bars(ticks).collect()}
+    parts = {r["batch_id"]: r["count"] for r in spark.read.parquet(str(tmp_path / "out")).groupBy("batch_id").count().collect()}
+    assert parts.pop(AT_END) < 20 and len(parts) >= 3 and sum(parts.values()) > 100
+
+
+def test_end_of_an_empty_input(spark, tmp_path):
+    spark.createDataFrame([], TICKS).write.parquet(str(tmp_path / "in"))
+    assert bars_to_end(spark, spark.readStream.schema(TICKS).parquet(str(tmp_path / "in"))).collect() == []
