@@ -24,8 +24,8 @@ from pyspark.sql import functions as F
 from barframe.llm.arrays import byte_sums, lower_ascii, span_hashes, with_input, word_spans
 
 SAMPLE_PAGES = 200  # pages whose words the training pages are made of
-SAMPLE_WORDS = 200  # words taken of each
-TRAINING_PAGES = 1200
+SAMPLE_WORDS = 200  # different words taken of each
+TRAINING_PAGES = 1500
 HIDDEN = 16
 PATH_BUCKETS, WORD_BUCKETS, MEASURES = 1024, 64, 9
 PAGES = 64  # pages labelled side by side
@@ -258,8 +258,10 @@ class Labeller:
                 paths = np.zeros((len(page), PATH_BUCKETS), np.float32)
                 listed = [x for p in chosen for x in p[0]]
                 paths[np.repeat(np.arange(len(listed)), [len(x) for x in listed]), np.concatenate([np.array(x, dtype=np.int64) for x in listed])] = 1
-                # some names are left out, so that no single one decides
-                paths *= rng.random(paths.shape) > 0.15
+                # Some names are left out, of single blocks and along whole pages, so that no single one
+                # decides, neither about a block nor about all that stand after it.
+                paths *= rng.random(paths.shape) > 0.1
+                paths *= (rng.random((len(chosen), PATH_BUCKETS)) > 0.1)[page]
                 words, dense = np.concatenate([p[1] for p in chosen]), np.concatenate([p[2] for p in chosen])
                 z = np.zeros((len(chosen), steps, 8 * k), np.float32)
                 z[page, place] = paths @ self.params["path"] + words @ self.params["word"] + dense @ self.params["measure"] + self.params["bias"]
@@ -361,18 +363,34 @@ class Composer:
 
     def foot(self) -> str:
         a, z = self.named(FOOT, ["footer", "footer", "footer", "div"])
-        inside = [f"&copy; {self.some(1, 3)} &middot; {self.sentence(0, 2)}", f"<p>{self.sentence(1, 2)}</p>", self.menu(), f"<div>{self.some(2, 6)}</div>"]
+        column = f"<{(t := self.pick(['h3', 'h4', 'h5', 'h6']))}>{self.some(1, 3)}</{t}>" + self.links("ul")
+        inside = [column, self.terms(), f"&copy; {self.some(1, 3)} &middot; {self.sentence(0, 2)}", f"<p>{self.sentence(1, 2)}</p>", self.menu(), f"<div>{self.some(2, 6)}</div>"]
         return a + "".join(self.pick(inside) for _ in range(int(self.rng.integers(1, 4)))) + z
 
     def texts(self, names: list[str], tags: list[str], low: int = 1, high: int = 3) -> str:
         a, z = self.named(names, tags)
         if self.chance(0.4):
             return a + self.sentence(1, 3) + z
-        title = f"<{(t := self.pick(['h2', 'h3', 'h4', 'strong']))}>{self.some(1, 4)}</{t}>" if self.chance(0.5) else ""
+        title = f"<{(t := self.pick(['h2', 'h3', 'h4', 'h5', 'strong']))}>{self.some(1, 4)}</{t}>" if self.chance(0.5) else ""
         parts = [f"<p>{self.sentence(1, 3)}</p>" if self.chance(0.6) else f'<div><a href="#">{self.some(2, 7)}</a></div>' for _ in range(int(self.rng.integers(low, high + 1)))]
         return a + title + "".join(parts) + z
 
+    def links(self, tag: str) -> str:
+        return f"<{tag}>" + "".join(f'<li><a href="#">{self.some(1, 8)}</a></li>' for _ in range(int(self.rng.integers(1, 6)))) + f"</{tag}>"
+
+    def terms(self, own=None) -> str:
+        own = own or (lambda text: text)
+        return "<dl>" + "".join(f"<dt>{own(self.some(1, 4))}</dt><dd>{own(self.sentence(1, 2))}</dd>" for _ in range(int(self.rng.integers(1, 4)))) + "</dl>"
+
+    def picture(self, own=None) -> str:
+        own = own or (lambda text: text)
+        return f'<figure><img src="x.jpg"><figcaption>{own(self.some(2, 14))}</figcaption></figure>'
+
     def side(self) -> str:
+        if self.chance(0.35):
+            a, z = self.named(SIDE, ["aside", "aside", "div", "section"])
+            title = f"<{(t := self.pick(['h2', 'h3', 'h4', 'h5', 'h6']))}>{self.some(1, 4)}</{t}>" if self.chance(0.8) else ""
+            return a + title + self.pick([lambda: self.links("ol"), lambda: self.links("ul"), self.terms, self.picture])() + z
         return self.texts(SIDE, ["aside", "aside", "div", "section"])
 
     def notice(self) -> str:
@@ -389,10 +407,40 @@ class Composer:
         return (a if a.startswith("<form") else a + "<form>") + f"<p>{self.sentence(1, 1)}</p>" * self.chance(0.5) + fields + select + area + f"<button>{self.some(1, 2)}</button>" + z
 
     def comments(self) -> str:
-        a, z = self.named(COMMENT, ["div", "section", "section", "ol"])
-        one = lambda: self.pick([f"<p>{self.sentence(1, 4)}</p>", f'<div class="comment"><b>{self.some(1, 2)}</b><p>{self.sentence(1, 4)}</p></div>', f"<li>{self.sentence(1, 3)}</li>"])
+        a, z = self.named(COMMENT, ["div", "div", "section", "section", "ul", "ol"])
+        if a in ("<ol>", "<section>"):  # bare, it could be part of any text
+            a = f'<{a[1:-1]} class="{self.pick(COMMENT)}">'
+        one = lambda: self.pick([f"<p>{self.sentence(1, 4)}</p>", f'<div class="comment"><b>{self.some(1, 2)}</b><p>{self.sentence(1, 4)}</p></div>', f"<li>{self.sentence(1, 3)}</li>", f"<header>{self.some(1, 3)}</header><p>{self.sentence(1, 3)}</p>", f"<blockquote>{self.sentence(1, 2)}</blockquote>"])
         return a + f"<h3>{self.some(1, 3)}</h3>" * self.chance(0.6) + "".join(one() for _ in range(int(self.rng.integers(1, 6)))) + z
 
+    def part(self, own) -> str:
+        """A part of an article: mostly paragraphs, now and then any other kind of block."""
+        roll = self.rng.random()
+        if roll < 0.55:
+            opening = "<p><b>" if self.chance(0.15) else "<p>"
+            closing = "<br>" if self.chance(0.15) else "</p>"
+            return opening + own(self.sentence(1, 6)) + closing
+        if roll < 0.62:
+            short = self.some(1, 4) if self.chance(0.4) else f"{self.some(1, 3).capitalize()}."
+            return f"<p>{own(short)}</p>" * (int(self.rng.integers(2, 16)) if self.chance(0.15) else 1)
+        if roll < 0.7:
+            return f"<{(t := self.pick(['h2', 'h2', 'h3', 'h4', 'h5', 'h6']))}>{own(self.some(1, 7))}</{t}>"
+        if roll < 0.82:
+            inner = lambda: own(self.some(1, 14)) if self.chance(0.6) else own(self.sentence(1, 2))
+            tag = self.pick(["ul", "ol"])
+            return f"<{tag}>" + "".join(f"<li>{inner()}</li>" for _ in range(int(self.rng.integers(1, 7)))) + f"</{tag}>"
+        if roll < 0.85:
+            return f"<blockquote><p>{own(self.sentence(1, 2))}</p></blockquote>"
+        if roll < 0.88:
+            return "<table>" + "".join(f"<tr><td>{own(self.some(1, 4))}</td><td>{own(self.some(1, 4))}</td></tr>" for _ in range(2)) + "</table>"
+        if roll < 0.91:
+            return f"<div>{own(self.sentence(1, 4))}</div>"
+        if roll < 0.94:
+            return self.terms(own)
+        if roll < 0.97:
+            return self.picture(own)
+        return f"<pre>{own(self.some(2, 20))}</pre>"
+
     def article(self) -> tuple[str, list[str]]:
         """The source and the texts of an article; what is put in between is none of it."""
         said: list[str] = []
@@ -406,27 +454,20 @@ class Composer:
             b, y = self.named(MAIN + PLAIN, ["div", "section"])
             a, z = a + b, y + z
         title = f"<{(t := self.pick(['h1', 'h1', 'h2']))}>{own(self.some(2, 12))}</{t}>" if self.chance(0.85) else ""
-        parts = []
+        if title and self.chance(0.3):
+            more = self.pick([lambda: "", lambda: f"<p>{own(self.sentence(1, 2))}</p>", lambda: f"<h2>{own(self.some(2, 9))}</h2>", lambda: f"<div>{own(self.some(2, 5))}</div>"])()
+            title = f"<{(t := self.pick(['header', 'header', 'hgroup', 'div']))}>{title}{more}</{t}>"
+        parts, open_section = [], False
         for _ in range(int(self.rng.integers(1, 14))):
-            roll = self.rng.random()
-            if roll < 0.62:
-                opening = "<p><b>" if self.chance(0.15) else "<p>"
-                closing = "<br>" if self.chance(0.15) else "</p>"
-                parts.append(opening + own(self.sentence(1, 6)) + closing)
-            elif roll < 0.68:
-                parts.append(f"<p>{own(self.some(1, 4))}</p>")
-            elif roll < 0.76:
-                parts.append(f"<{(t := self.pick(['h2', 'h3']))}>{own(self.some(1, 6))}</{t}>")
-            elif roll < 0.82:
-                parts.append("<ul>" + "".join(f"<li>{own(self.some(2, 14))}</li>" for _ in range(int(self.rng.integers(1, 5)))) + "</ul>")
-            elif roll < 0.86:
-                parts.append(f"<blockquote><p>{own(self.sentence(1, 2))}</p></blockquote>")
-            elif roll < 0.89:
-                parts.append("<table>" + "".join(f"<tr><td>{own(self.some(1, 4))}</td><td>{own(self.some(1, 4))}</td></tr>" for _ in range(2)) + "</table>")
-            elif roll < 0.92:
-                parts.append(f"<div>{own(self.sentence(1, 4))}</div>")
-            else:
+            if self.chance(0.08):
+                parts.append("</section>" if open_section else "<section>")
+                open_section = not open_section
+            if self.chance(0.1):
                 parts.append(self.pick([self.advert, self.notice, self.side, self.form])())
+            else:
+                parts.append(self.part(own))
+        if open_section:
+            parts.append("</section>")
         if self.chance(0.12):
             parts.append(self.comments())
         return a + title + "".join(parts) + z, said
@@ -457,11 +498,17 @@ def training_set(words: list[str], n: int = TRAINING_PAGES) -> list[tuple[list[t
 
 
 def fit_labeller(pages: DataFrame, html: str = "html", sample_pages: int = SAMPLE_PAGES, sample_words: int = SAMPLE_WORDS) -> Labeller:
-    """Train on composed pages with the first words of at most ``sample_pages`` pages, picked by a
-    hash of the source; with no words, on made-up ones."""
-    plain = F.regexp_replace(F.col(html), r"<[^>]*>|&\w+;", " ")
-    words = F.slice(F.filter(F.split(plain, r"\s+"), lambda w: F.length(w).between(1, 30)), 1, sample_words)
-    rows = pages.where(F.col(html).isNotNull()).orderBy(F.xxhash64(html), html).limit(sample_pages).select(words.alias("words")).collect()
+    """Train on composed pages with words of about ``sample_pages`` pages (twice as many at most), picked
+    by a hash of the source; with no words, on made-up ones. Of a page only the ``sample_words``
+    words with the smallest hashes reach the driver, and of equal pages one."""
+    known = pages.where(F.col(html).isNotNull())
+    rate = min(1.0, 1.5 * sample_pages / max(1, known.count()))
+    draw = F.pmod(F.xxhash64(html), F.lit(1 << 30)) / float(1 << 30)
+    plain = F.regexp_replace(F.col("html"), r"<[^>]*>|&\w+;", " ")
+    words = F.array_distinct(F.filter(F.split(plain, r"\s+"), lambda w: F.length(w).between(1, 30)))
+    some = F.transform(F.slice(F.array_sort(F.transform(words, lambda w: F.struct(F.xxhash64(w).alias("h"), w.alias("w")))), 1, sample_words), lambda x: x["w"])
+    drawn = known.select(draw.alias("draw"), F.col(html).alias("html")).where(F.col("draw") < rate).select("draw", some.alias("words"))
+    rows = drawn.groupBy("draw").agg(F.first("words").alias("words")).orderBy("draw").limit(2 * sample_pages).collect()
     found = sorted({w for r in rows for w in r["words"] if not re.search(r"[<>&]", w)}) or [f"w{i}" for i in range(200)]
     labeller = Labeller()
     labeller.train(training_set(found))
