@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barframe.llm.components import connected_components
-from barframe.llm.vectors import dimension, pack, unpack, usable
+from barframe.llm.vectors import dimensions, pack, unpack, usable
 from barframe.session import stored
 
 COSINE = 0.98
@@ -249,20 +249,18 @@ def link_vectors(df: DataFrame, vec_id: str = "vec_id", vector: str = "embedding
     """``(vec_id, n_links, component_id, kept)`` of every row of ``df``.
 
     Rows of equal, non-null label link when the cosine of their vectors is at least ``cosine`` in
-    double precision. Null, empty or zero vectors, those with a null or non-finite component, and
-    those of another length than most, link with nothing. Equal vectors of a label are one class
-    with a weight. ``n_links`` counts the other rows linked directly, ``component_id`` is the least
+    double precision. Null, empty or zero vectors and those with a null or non-finite component link
+    with nothing. Vectors of different length have no cosine and do not link; each length in the
+    table is joined by itself. Equal vectors of a label are one class with a weight. ``n_links`` counts the other rows linked directly, ``component_id`` is the least
     id reachable, ``kept`` says that it is the row's own. Rows without an id count as links of
     others but get no component. Other columns are ignored.
     """
-    d = dimension(df, vector)
     rows = df.select(F.col(f"`{vec_id}`").cast("long").alias("vec_id"), F.col(f"`{vector}`").alias("vector"), F.col(f"`{label}`").cast("string").alias("label"))
-    good = F.col("label").isNotNull() & usable("vector") & (F.size("vector") == d)
-    alone = rows.where(~good).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
-    if not d:
-        return alone.withColumn("kept", F.col("vec_id").isNotNull())
-    linked = _link_usable(rows.where(good), d, cosine, piece)
-    return linked.unionByName(alone).withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))
+    good = F.col("label").isNotNull() & usable("vector")
+    result = rows.where(~good).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
+    for d in dimensions(rows.where("label is not null"), "vector"):
+        result = _link_usable(rows.where(good & (F.size("vector") == d)), d, cosine, piece).unionByName(result)
+    return result.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))
 
 
 def _link_usable(rows: DataFrame, d: int, cosine: float, piece: int) -> DataFrame:

@@ -15,10 +15,9 @@ def usable(vector: str = "embedding") -> Column:
     return F.coalesce(v.isNotNull() & finite & F.exists(v, lambda x: x != 0), F.lit(False))
 
 
-def dimension(df: DataFrame, vector: str = "embedding") -> int:
-    """The commonest length of the usable vectors, the larger on ties; 0 if there are none."""
-    found = df.where(usable(vector)).groupBy(F.size(vector).alias("d")).count().orderBy(F.col("count").desc(), F.col("d").desc()).first()
-    return found["d"] if found else 0
+def dimensions(df: DataFrame, vector: str = "embedding") -> list[int]:
+    """The lengths of the usable vectors, ascending: one per kind of embedding in the table."""
+    return sorted(r["d"] for r in df.where(usable(vector)).select(F.size(vector).alias("d")).distinct().collect())
 
 
 def matrix(column: pa.Array | pa.ChunkedArray, d: int) -> np.ndarray:

@@ -48,6 +48,9 @@ def test_few_rows_ties_and_odd_vectors(spark):
     assert [(q, r, i) for q, r, i, _ in got] == [(0, 1, 100), (0, 2, 2), (0, 3, 3), (0, 4, 5), (100, 1, 0), (100, 2, 2), (100, 3, 3), (100, 4, 5)]
     assert [s for *_, s in got[:4]] == [0.0, 1.0, 1.0, 1.0]
     assert kmeanstree.every_hundredth(df.limit(0)).count() == 0
+    mixed = spark.createDataFrame([*rows, (300, [1.0], 1), (301, [3.0], 1), (302, [1.0, 2.0, 3.0], 1)], SCHEMA)
+    got = [tuple(r)[:3] for r in kmeanstree.every_hundredth(mixed).collect() if r["query_id"] == 300]
+    assert sorted(got) == [(300, 1, 11), (300, 2, 301)]
     assert kmeanstree.every_hundredth(df.where("vec_id = 100")).count() == 0
     assert kmeanstree.every_hundredth(df.where("vec_id % 100 <> 0")).count() == 0
 
@@ -58,3 +61,32 @@ def test_blocks_give_the_same(spark, monkeypatch):
     want = sorted(map(tuple, kmeanstree.every_hundredth(df).collect()))
     monkeypatch.setattr(kmeanstree, "BLOCK", 4)
     assert sorted(map(tuple, kmeanstree.every_hundredth(df).collect())) == want
+
+
+def test_rows_go_to_the_nearest_leaf_and_cells_are_runs():
+    rng = np.random.default_rng(4)
+    points = rng.standard_normal((3000, 8))
+    tree = kmeanstree.build_tree(points[:500])
+    centres = {leaf: tree.centres[node] for node, leaf in enumerate(tree.leaf) if leaf >= 0}
+    table = np.array([centres[i] for i in range(tree.leaves)])
+    filed = kmeanstree.file_rows(tree, points)
+    assert filed.tolist() == ((points[:, None] - table) ** 2).sum(axis=2).argmin(axis=1).tolist()
+    held = np.bincount(filed, minlength=tree.leaves)
+    cells = kmeanstree.cells_of(held)
+    assert (np.diff(cells) >= 0).all() and np.diff(cells).max() == 1 and cells[0] == 0
+    room = -(-3000 // kmeanstree.CELLS)
+    assert all(held[cells == c].sum() <= room or (cells == c).sum() == 1 for c in range(cells[-1] + 1))
+    assert sorted(kmeanstree.best_bins(tree, points[0])) == list(range(tree.leaves))
+
+
+def test_only_wanted_leaves_are_compared():
+    rng = np.random.default_rng(5)
+    points, queries = rng.standard_normal((400, 6)), rng.standard_normal((9, 6))
+    ids, leaves = np.arange(400), rng.integers(0, 12, 400)
+    wanted = [np.flatnonzero(rng.random(12) < 0.4) for _ in queries]
+    q, i, s = kmeanstree.nearest(queries, np.arange(1000, 1009), points, ids, 5, leaves, wanted)
+    for row, leaf in enumerate(wanted):
+        mine = np.flatnonzero(np.isin(leaves, leaf))
+        gaps = np.sqrt(((points[mine] - queries[row]) ** 2).sum(axis=1))
+        best = np.lexsort((mine, gaps))[:5]
+        assert i[q == 1000 + row].tolist() == mine[best].tolist() and np.allclose(s[q == 1000 + row], gaps[best])
