@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from barframe.llm.arrays import small_batches, text_chunks
-from barframe.llm.bpe import encode_chunk, vocabulary
+from barframe.llm.bpe import encode_chunk, read_ranks, vocabulary
 from barframe.session import shared_path
 
 SEPARATOR = 50256  # the id that the 50,256 ranks leave free
@@ -40,6 +40,13 @@ def read_token_files(spark: SparkSession, path: str, width: int = WIDTH, block_t
     )
 
 
+def check_ids(ids: Iterable[int], separator: int, width: int) -> None:
+    """An error if an id or the separator does not fit in ``width`` bytes, or the separator is an id."""
+    ids = set(ids)
+    if separator in ids or not 0 <= separator < 256**width or (ids and max(ids) >= 256**width):
+        raise ValueError(f"ids up to {max(ids, default=0)} with the separator {separator} do not fit {width} bytes an id")
+
+
 def write_token_blocks(
     docs: DataFrame,
     ranks_path: str,
@@ -57,7 +64,9 @@ def write_token_blocks(
     """
     spark = docs.sparkSession
     with open(ranks_path, "rb") as file:
-        content = spark.sparkContext.broadcast(file.read())
+        raw = file.read()
+    check_ids(read_ranks(raw).values(), separator, width)
+    content = spark.sparkContext.broadcast(raw)
     end = int(separator).to_bytes(width, "little")
     size = block_tokens * width
 

@@ -56,3 +56,18 @@ def test_documents(spark, make_docs, ranks_path):
     want = sorted((str(i), len(encoding.encode_ordinary(t or ""))) for i, t in rows)
     assert sorted((str(r["doc_id"]), r["n_tokens"]) for r in got.collect()) == want
     assert tokenfiles.document_token_counts(make_docs(rows).limit(0), ranks_path).count() == 0
+
+
+def test_ids_that_do_not_fit_are_refused(spark, make_docs, tmp_path):
+    import base64
+
+    line = lambda word, rank: base64.b64encode(word) + b" %d\n" % rank
+    ranks = tmp_path / "ranks"
+    ranks.write_bytes(b"".join(line(bytes([i]), i) for i in range(256)) + line(b"ab", 65536 + 50256))
+    docs = make_docs([(1, "bab")])
+    with pytest.raises(ValueError, match="do not fit"):
+        tokenfiles.write_token_blocks(docs, str(ranks))
+    blocks = tokenfiles.write_token_blocks(docs, str(ranks), separator=1 << 20, width=4)
+    assert [r["n_tokens"] for r in tokenfiles.count_tokens(blocks, 1 << 20, 4).collect()] == [2]
+    with pytest.raises(ValueError, match="do not fit"):
+        tokenfiles.check_ids(range(10), 5, 2)
