@@ -20,7 +20,7 @@ from barframe.llm.arrays import code_points, lower_points, rows_of, text_chunks,
 
 BUCKET_BITS = 12
 SAMPLE_ROWS = 1000  # labelled rows that the classifiers are fitted on, over all languages
-MAX_LABELS = 500  # languages learned, the commonest first
+QUARTERS = 4  # a language has as many sample rows at least, if it has rows enough
 LEAD = 0.2  # a smaller lead in probability is ambiguous
 ROWS = 512  # texts per matrix of counts
 
@@ -69,7 +69,8 @@ def _scaled(counts: np.ndarray) -> np.ndarray:
 
 def codewords(n: int, seed: int = 7) -> np.ndarray:
     """A row of -1 and 1 per class: every split of up to five classes, else the random code of
-    ``15 log2 n`` bits with the largest least distance of 200 draws."""
+    ``15 log2 n`` bits with the largest least distance of 200 draws (fewer beyond
+    500 classes, where a draw takes long)."""
     if n <= 1:
         return np.ones((n, 0), dtype=np.int8)
     if n <= 5:
@@ -78,7 +79,7 @@ def codewords(n: int, seed: int = 7) -> np.ndarray:
     rng = np.random.default_rng(seed)
     bits = int(np.ceil(15 * np.log2(n)))
     best, least = None, -1
-    for _ in range(200):
+    for _ in range(max(1, min(200, 10**10 // (n * n * bits)))):
         code = rng.choice(np.array([-1, 1], dtype=np.int8), size=(n, bits))
         apart = (bits - code.astype(np.int32) @ code.T.astype(np.int32)) // 2
         distance = int(apart[~np.eye(n, dtype=bool)].min())
@@ -122,24 +123,30 @@ def decode_codes(model: Model, counts: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 
 def fit_languages(
-    docs: DataFrame, learn: Column | None = None, text: str = "text", label: str = "lang", key: str = "doc_id", sample_rows: int = SAMPLE_ROWS, max_labels: int = MAX_LABELS
+    docs: DataFrame, learn: Column | None = None, text: str = "text", label: str = "lang", key: str = "doc_id", sample_rows: int = SAMPLE_ROWS
 ) -> Model:
     """Fit on a bounded sample of the labelled rows for which ``learn`` holds.
 
-    The sample holds about ``sample_rows`` rows, at most twice as many, shared evenly among the
-    languages and picked by a hash of key and text, so reruns agree. Rows without text or label
-    teach nothing; without any such row the model knows no language.
+    The sample holds about ``sample_rows`` rows, shared evenly among the languages and picked by a hash
+    of key and text, so reruns agree. However rare, every language is in it: its least draw of each
+    of ``QUARTERS`` parts is taken in any case. At most ``2 * sample_rows`` rows and 16 of each
+    language are drawn. Rows without text or label teach nothing; without any such row the model
+    knows no language.
     """
     known = docs.where(F.col(text).isNotNull() & F.col(label).isNotNull())
     known = known.where(learn) if learn is not None else known
+    hashed = F.xxhash64("key", "text")
     known = known.select(F.col(text).alias("text"), F.col(label).cast("string").alias("label"), F.col(key).alias("key"))
-    counts = known.groupBy("label").count().orderBy(F.col("count").desc(), "label").limit(max_labels).collect()
+    known = known.withColumn("draw", F.pmod(F.shiftright(hashed, 8), F.lit(1 << 30)) / float(1 << 30)).withColumn("quarter", F.pmod(hashed, F.lit(QUARTERS)))
+    least = [F.min(F.when(F.col("quarter") == q, F.col("draw"))).alias(f"q{q}") for q in range(QUARTERS)]
+    counts = known.groupBy("label").agg(F.count(F.lit(1)).alias("count"), *least).collect()  # one row per language
     if not counts:
         return fit_codes(np.zeros((0, 1 << BUCKET_BITS)), [])
     each = max(1, sample_rows // len(counts))
-    rate = F.create_map(*[F.lit(v) for r in counts for v in (r["label"], min(1.0, each / r["count"]))])
-    draw = F.pmod(F.xxhash64("key", "text"), F.lit(1 << 30)) / float(1 << 30)
-    sample = known.withColumn("draw", draw).where(F.col("draw") < F.try_element_at(rate, F.col("label"))).orderBy("draw", "label", "key").limit(2 * sample_rows)
+    cuts = [(r["label"], max(each / r["count"], *[r[f"q{q}"] or 0.0 for q in range(QUARTERS)])) for r in counts]
+    cut = F.try_element_at(F.create_map(*[F.lit(v) for pair in cuts for v in pair]), F.col("label"))
+    sample = known.withColumn("place", F.col("draw") / F.greatest(cut, F.lit(1e-12))).where(F.col("place") <= 1)
+    sample = sample.orderBy("place", "label", "key").limit(2 * sample_rows + 16 * len(counts))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

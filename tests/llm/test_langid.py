@@ -67,3 +67,11 @@ def test_clashing_names(make_docs):
     got = langid.cross_checked(df)
     assert got.columns == ["doc_id", "text", "lang", "source", "n_chars", "label", "key", "draw", "counts", "held_out", "lang_pred", "score", "ambiguous"]
     assert got.count() == 40
+
+
+def test_every_language_is_learned(spark, make_docs, words):
+    """Six hundred languages, most with two documents: none is left out of the sample."""
+    rows = [(i, f"{stem} " * 30, f"l{i % 600:03d}") for i in range(1200) for stem in [f"{'abcdefghij'[i % 10]}{'klmnopqrst'[i // 10 % 10]}{'uvwxyz'[i // 100 % 6]}"]]
+    rows += [(2000 + i, "zug " * 30, "l000") for i in range(3000)]
+    model = langid.fit_languages(make_docs(rows))
+    assert model.labels == [f"l{i:03d}" for i in range(600)]
