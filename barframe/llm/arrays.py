@@ -80,15 +80,19 @@ def _byte_values() -> np.ndarray:
 
 
 _powers: list[np.ndarray] = []
+KEPT_POWERS = 1 << 20  # a longer text makes its own tables, which go with it
 
 
 def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of an odd number and of its inverse modulo 2**64, at least ``n`` of each."""
-    if not _powers or len(_powers[0]) < n:
-        size = max(n, CHUNK_BYTES + 1)
-        base = 0x5851F42D4C957F2D
-        _powers[:] = [np.concatenate([[np.uint64(1)], np.cumprod(np.full(size - 1, b, dtype=np.uint64))]) for b in (base, pow(base, -1, 1 << 64))]
-    return _powers[0], _powers[1]
+    if _powers and len(_powers[0]) >= n:
+        return _powers[0], _powers[1]
+    size = max(n, CHUNK_BYTES + 1)
+    base = 0x5851F42D4C957F2D
+    made = [np.concatenate([[np.uint64(1)], np.cumprod(np.full(size - 1, b, dtype=np.uint64))]) for b in (base, pow(base, -1, 1 << 64))]
+    if size <= KEPT_POWERS:
+        _powers[:] = made
+    return made[0], made[1]
 
 
 def running_sums(values: np.ndarray) -> np.ndarray:

@@ -82,7 +82,17 @@ def test_odd_rows_pass_through(spark, make_docs):
     for _, stage in pipeline.STAGES:
         stage(spark, docs, SF).collect()
     kept = pipeline.one_of_each(spark, docs, SF).collect()
-    assert sorted(str(r["doc_id"]) for r in kept) == ["1", "2", "3", "4", "None", "None"]
+    assert sorted(str(r["doc_id"]) for r in kept) == ["1", "2", "3", "4", "None"]
+
+
+def test_rows_with_one_id_or_none_are_documents_of_their_own(spark, make_docs, words):
+    a, b, c = (" ".join(words(i, 40)) for i in (1, 2, 3))
+    rows = [(1, a), (1, b), (2, b), (None, c), (None, c), (None, a), (5, c), (6, None), (6, None), (7, "")]
+    kept = pipeline.one_of_each(spark, make_docs(rows), SF).collect()
+    assert sorted((str(r["doc_id"]), r["text"]) for r in kept if r["text"]) == sorted([("1", a), ("1", b), ("5", c)])
+    assert [r["doc_id"] for r in kept if not r["text"]].count(6) == 2
+    only = pipeline.one_of_each(spark, make_docs([(None, c), (None, c), (None, b)]), SF).collect()
+    assert sorted(r["text"] for r in only) == sorted([b, c])
 
 
 @pytest.mark.parametrize("lang", [None, "und"])
