@@ -3,7 +3,7 @@
 1. language ID: documents without a letter, or long ones whose language stays ambiguous, go;
 2. toxicity: documents more likely toxic than not go;
 3. n-gram Jaccard join: of the documents that link by five-word shingles at 0.8 the one with the
-   smallest id stays;
+   smallest id stays, whether ids are unique or not;
 4. mixing: documents are repeated (0 to 3 times) so that sources come near their target weights;
 5. byte-level BPE: every row that is left becomes token ids.
 """
@@ -31,22 +31,30 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the severity model does not call toxic. It learns from the table of labels."""
+    """Documents that the severity model does not call toxic. It learns from the table of labels. A null or
+    empty text is not toxic; repeated rows go or stay together. Only the columns of documents go on."""
     model = toxicity.fit_severity(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), group="lang")
     return toxicity.severity(docs.select(*COLUMNS), model).where(~F.col("toxic")).select(*COLUMNS)
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group. Of rows with one id one stays; rows without an id
-    belong to no group and all stay."""
-    groups = ngramjoin.jaccard_groups(docs, like=ngramjoin.Likeness(words=5, num=80, den=100))
-    chosen = groups.where("doc_id = component_id").select("doc_id").distinct()
-    rows = docs.select(*COLUMNS)
-    return rows.join(chosen, "doc_id", "left_semi").dropDuplicates(["doc_id"]).unionByName(rows.where("doc_id is null")).select(*COLUMNS)
+    """One row of each near-duplicate group: the one with the smallest id, null ids last, and of equal ids
+    the first one read. Every row is a document of its own, so ids may be missing or used twice; rows
+    without a word are in no group and all stay. Only the columns of documents go on."""
+    rows = stored(docs.select(*COLUMNS).withColumn("row", F.monotonically_increasing_id()), "join-rows")
+    groups = ngramjoin.jaccard_groups(rows.select("row", "text"), doc_id="row", like=ngramjoin.Likeness(words=5, num=80, den=100))
+    several = groups.where("doc_id <> component_id").select("component_id").distinct()
+    inside = groups.join(several, "component_id", "left_semi").select(F.col("doc_id").alias("row"), "component_id")
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")
+    first = inside.join(rows.select("row", "doc_id"), "row").groupBy("component_id").agg(F.min(place).alias("first"))
+    gone = inside.join(first.select("first.row"), "row", "left_anti")
+    return rows.join(gone.select("row"), "row", "left_anti").select(*COLUMNS)
 
 
 def to_target_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix of sources takes it."""
+    """Each document as often as the mix of sources takes it, 0 to 3 times. Every row is a document of its
+    own, so ids may be missing or used twice; a null source is a source, and a text without words, which
+    weighs nothing, is taken as its source is. Only the columns of documents go on."""
     rows = stored(docs.select(*COLUMNS).withColumn("row", F.monotonically_increasing_id()), "mix-rows")
     copies = mixing.mix_sources(rows, tag="row").where("copies > 0").select(F.col("tag").alias("row"), "copies")
     repeated = rows.join(copies, "row").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
@@ -54,7 +62,8 @@ def to_target_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every document row, packed as little-endian unsigned 32-bit integers."""
+    """Token ids of every document row, packed as little-endian unsigned 32-bit integers. A null or empty
+    text has none; repeated rows come out alike, and ids may be missing or used twice."""
     tokens = bpe.encode_texts(docs.select(*COLUMNS), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
     return tokens.select("doc_id", "lang", "source", F.expr("length(ids) div 4").cast("long").alias("n_tokens"), "ids")
 
