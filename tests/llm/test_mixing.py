@@ -77,9 +77,56 @@ def test_null_id_and_given_targets(spark, make_docs):
     assert [r["taken"] for r in got if r["doc_id"] == 4] == [0]
 
 
-def test_newton_finds_the_tilt(spark):
-    df = spark.createDataFrame([(10.0, 30.0), (1e9, 1.0), (5.0, 5.0), (7.0, 0.0), (0.0, 0.0), (1e-3, 1e6)], "s double, t double")
-    got = [r[0] for r in df.select(mixing.newton_tilt(df["s"], df["t"])).collect()]
-    want = [3.0, 1e-9, 1.0, None, None, 1e9]
-    assert [g is None for g in got] == [w is None for w in want]
-    assert all(math.isclose(math.exp(g), w, rel_tol=1e-12) for g, w in zip(got, want, strict=True) if w)
+def profile_of(spark, rows):
+    found = {}
+    for source, size in rows:
+        found[source, size] = found.get((source, size), 0) + 1
+    return spark.createDataFrame([(s, z, n) for (s, z), n in found.items()], "source string, size long, n long")
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_the_dual_is_solved(spark, seed):
+    """Conditions that only the one solution fulfils: sources get their targets, lengths are kept up to
+    the price, and every rate is the exponential of the multipliers, cut at 3."""
+    draw = random.Random(seed)
+    rows = [(s, int(draw.paretovariate(0.9) * k) % 5000 + 1) for s, k in (("a", 3), ("b", 30), (None, 8), ("d", 100)) for _ in range(draw.randint(20, 200))]
+    sizes = {}
+    for s, z in rows:
+        sizes[s] = sizes.get(s, 0) + z
+    want = targets(sizes)
+    aimed = spark.createDataFrame([(s, sizes[s], float(want[s])) for s in sizes], "source string, source_size long, target double")
+    tilts, u, mean, spread = mixing.tilt(profile_of(spark, rows), aimed)
+    t = {r["source"]: r["t"] for r in tilts.collect()}
+    total = sum(sizes.values())
+    x = [(math.log1p(z) - mean) / spread for _, z in rows]
+    assert abs(sum(z * v for (_, z), v in zip(rows, x, strict=True))) < 1e-6 * total
+    rate = [min(3.0, math.exp(min(50.0, t[s] + u[0] * v + u[1] * (v * v - 1)))) for (s, _), v in zip(rows, x, strict=True)]
+    for s in sizes:
+        assert math.isclose(sum(z * r for (o, z), r in zip(rows, rate, strict=True) if o == s), want[s], rel_tol=1e-8)
+    for k, f in enumerate((lambda v: v, lambda v: v * v - 1)):
+        assert abs(sum(z * r * f(v) for (_, z), r, v in zip(rows, rate, x, strict=True)) + mixing.PRICE * total * u[k]) < 1e-6 * total
+    assert max(abs(v) for v in u) > 1e-3 and len({round(r, 6) for r in rate}) > 8  # rates differ inside a source
+
+
+def test_lengths_are_kept(spark, make_docs, words):
+    """Without the second kind of constraint the source of long texts would bring its lengths with it."""
+    draw = random.Random(9)
+    rows = [(i, " ".join(words(i, draw.randint(5, 60) if i % 2 else draw.randint(5, 120))), "en", "ab"[i % 2]) for i in range(600)]
+    size = {i: len(text.split()) for i, text, _, _ in rows}
+    wanted = spark.createDataFrame([("a", 0.4 * sum(size[i] for i in range(0, 600, 2))), ("b", 2.0 * sum(size[i] for i in range(1, 600, 2)))], "source string, target double")
+    got = mixing.mix_sources(make_docs(rows), targets=wanted).collect()
+    mean = lambda weight: sum(w * math.log1p(size[i]) for i, w in weight.items()) / sum(weight.values())
+    by_source = {i: size[i] * (0.4 if i % 2 == 0 else 2.0) for i in size}
+    corpus, plain, mixed = mean(size), mean(by_source), mean({r["doc_id"]: r["taken"] for r in got})
+    assert abs(mixed - corpus) < 0.5 * abs(plain - corpus)
+
+
+def test_sources_without_room(spark):
+    aimed = spark.createDataFrame([("a", 10, 30.0), ("b", 1000, 1.0), ("c", 5, 5.0), ("d", 7, 0.0), ("e", 0, 0.0)], "source string, source_size long, target double")
+    rows = [("a", 4), ("a", 6), ("b", 1000), ("c", 5), ("d", 7), ("e", 0)]
+    tilts, u, mean, spread = mixing.tilt(profile_of(spark, rows), aimed)
+    t = {r["source"]: r["t"] for r in tilts.collect()}
+    assert set(t) == {"a", "b", "c"}
+    rate = lambda s, z: min(3.0, math.exp(min(50.0, t[s] + u[0] * (x := (math.log1p(z) - mean) / spread) + u[1] * (x * x - 1))))
+    assert math.isclose(rate("a", 4) * 4 + rate("a", 6) * 6, 30, rel_tol=1e-6)
+    assert math.isclose(rate("b", 1000), 1e-3, rel_tol=1e-6) and math.isclose(rate("c", 5), 1.0, rel_tol=1e-6)
