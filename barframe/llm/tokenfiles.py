@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 
 from barframe.llm.arrays import small_batches, text_chunks
 from barframe.llm.bpe import encode_chunk, read_ranks, vocabulary
-from barframe.session import shared_path
+from barframe.session import shared_path, stored
 
 SEPARATOR = 50256  # the id that the 50,256 ranks leave free
 WIDTH = 2  # bytes of an id in a file; every id of that vocabulary fits
@@ -141,14 +141,17 @@ def count_tokens(blocks: DataFrame, separator: int = SEPARATOR, width: int = WID
     """
     before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     ordered = Window.partitionBy("file").orderBy("block")
-    last = F.when(F.size("lengths") > 0, F.col("start_block") + F.col("n") - F.col("tail") - 1)
+    summaries = stored(scan_blocks(blocks, separator, width), "token-summaries")
+    # Four numbers per block go through the scan over a file; the lengths stay where they are.
+    last = F.when(F.col("ends") > 0, F.col("start_block") + F.col("n") - F.col("tail") - 1)
     carried = (
-        scan_blocks(blocks, separator, width)
+        summaries.select("file", "block", "n", F.size("lengths").alias("ends"), "tail")
         .withColumn("start_block", F.coalesce(F.sum("n").over(before), F.lit(0)))
-        .withColumn("first_ordinal", F.coalesce(F.sum(F.size("lengths")).over(before), F.lit(0)))
+        .withColumn("first_ordinal", F.coalesce(F.sum("ends").over(before), F.lit(0)))
         .withColumn("opened", F.coalesce(F.max(last).over(before), F.lit(-1)) + 1)
         .withColumn("is_last", F.lead("block").over(ordered).isNull())
         .withColumn("carry", F.col("start_block") - F.col("opened"))
+        .join(summaries.select("file", "block", "lengths"), ["file", "block"])
     )
     open_tokens = F.when(F.size("lengths") > 0, F.col("tail")).otherwise(F.col("carry") + F.col("tail"))
     ends = F.when(F.col("is_last") & (open_tokens > 0), F.array(F.struct(F.size("lengths").cast("long").alias("k"), open_tokens.alias("n"), F.lit(False).alias("terminated")))).otherwise(
