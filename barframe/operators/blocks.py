@@ -28,6 +28,7 @@ def row_ordinal(
     bucket: str = "day",
     name: str = "rn",
     previous: Mapping[str, str] | None = None,
+    cut: str | None = None,
 ) -> DataFrame:
     """Position 0..n-1 of each row in its series, by ``(time_col, *tie_breakers)``.
 
@@ -36,13 +37,14 @@ def row_ordinal(
     holds one row per series and bucket; only that table is put in order as a whole. Rows
     without key or time belong to no series and are dropped before anything is counted.
     ``previous`` (new name -> column) adds the value a column has in the row before, NULL in the
-    first: inside a bucket by ``lag``, and for its first row from the table of buckets.
+    first: inside a bucket by ``lag``, and for its first row from the table of buckets. ``cut`` names
+    a column that already holds the calendar bucket; rows stored by key and ``cut`` stay in place.
     """
     previous = previous or {}
     keys = list(keys)
-    cut, before = "__bucket", "__before"
+    given, cut, before = cut, "__bucket", "__before"
     df = df.na.drop("any", subset=[*keys, time_col])
-    bucketed = df.withColumn(cut, F.date_trunc(bucket, F.col(time_col)))
+    bucketed = df.withColumn(cut, F.col(given) if given else F.date_trunc(bucket, F.col(time_col)))
     buckets = Window.partitionBy(*(keys or [F.lit(0)])).orderBy(cut)
     earlier = buckets.rowsBetween(Window.unboundedPreceding, -1)
     order = F.struct(time_col, *tie_breakers) if tie_breakers else F.col(time_col)

@@ -41,6 +41,58 @@ def read_bars(
     return drop_incomplete(bars)
 
 
+BUCKETS = 64  # files of a day
+
+
+def write_bar_table(bars: DataFrame, name: str, path: str, buckets: int = BUCKETS, mode: str = "append") -> None:
+    """Store bars as the table ``name``: partitioned by date, bucketed by symbol and day, sorted by time.
+
+    A day of a symbol lies in one bucket, in order, so what works per symbol and day needs no
+    exchange of the rows (``row_ordinal`` with ``cut="day"``), and a symbol with most of the bars
+    spreads over its days. Incomplete bars are left out.
+    """
+    dated = drop_incomplete(project_ohlcv(bars)).withColumn("day", F.to_date("ts")).withColumn("date", F.col("day"))
+    spread = dated.repartition(buckets, "symbol", "day")
+    spread.write.mode(mode).format("parquet").option("path", path).partitionBy("date").bucketBy(buckets, "symbol", "day").sortBy("symbol", "ts").saveAsTable(name)
+
+
+def open_bar_table(spark: SparkSession, name: str, path: str, buckets: int = BUCKETS) -> None:
+    """Make a table that another session has stored known to this one, with the partitions it has by now."""
+    columns = "symbol string, ts timestamp, open double, high double, low double, close double, volume double, day date, date date"
+    spark.sql(
+        f"create table if not exists {name} ({columns}) using parquet location '{path}' partitioned by (date) "
+        f"clustered by (symbol, day) sorted by (symbol, ts) into {buckets} buckets"
+    )
+    spark.sql(f"alter table {name} recover partitions")
+
+
+def newest_date(spark: SparkSession, name: str) -> str | None:
+    """The last date of a bar table, from the names of its partitions."""
+    found = spark.sql(f"show partitions {name}").agg(F.max(F.substring_index("partition", "=", -1))).first()
+    return found[0]
+
+
+def read_bar_table(spark: SparkSession, name: str, symbols: Sequence[str] | None = None, days: int | None = 7, end: str | None = None) -> DataFrame:
+    """Bars of the last ``days`` days, back from ``end`` or from the latest bar, with their ``day``.
+
+    Only folders of these days are read: the newest date comes from the partitions' names, and the
+    latest bar is looked for in that one.
+    """
+    bars = spark.table(name)
+    if symbols is not None:
+        bars = bars.where(F.col("symbol").isin(*symbols))
+    if days is not None:
+        if end is None:
+            newest = newest_date(spark, name)
+            end = bars.where(F.col("date") == F.lit(newest).cast("date")).agg(F.max("ts").cast("string")).first()[0] if newest else None
+            if end is None and newest:  # the wanted symbols have no bar that day
+                end = bars.agg(F.max("ts").cast("string")).first()[0]
+        last = F.lit(end).cast("timestamp")
+        first = last - F.make_dt_interval(F.lit(days))
+        bars = bars.where(F.col("date").between(F.to_date(first), F.to_date(last)) & F.col("ts").between(first, last))
+    return bars.select("symbol", "ts", *OHLCV, "day")
+
+
 def instrument_catalog(spark: SparkSession, instruments: Mapping[str, str] = INSTRUMENTS) -> DataFrame:
     """Name and vendor symbol of each instrument, from a small mapping."""
     return spark.createDataFrame(list(instruments.items()), "name string, symbol string")

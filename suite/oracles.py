@@ -450,6 +450,9 @@ ORACLES["landed_constituents"] = f"""with {CONSTITUENTS}, r as (
       || '","open":' || o_orderkey || '}}' from base
     union all select distinct idx, 'null' from base)
   select idx as index_name, raw from r where (starts_with(idx, 'nifty midcap ') or regexp_matches(idx, '^nifty [0-9]')) and split_part(idx, ' ', -1)::integer % 2 = 0"""
+ORACLES["bar_table_recent"] = f"""with {BARS} select * from bars where symbol in ('click', 'view')
+  and ts >= (select max(ts) from bars where symbol in ('click', 'view')) - interval 7 days"""
+ORACLES["bar_table_ordinals"] = f"with {BARS} select symbol, ts, rn, lag(close) over (partition by symbol order by ts) as before from n"
 ORACLES["streamed_bars_closing"] = ORACLES["streamed_bars"]
 ORACLES["activity_discovered"] = ORACLES["activity"]
 ORACLES["command_replies_restart"] = ORACLES["command_replies"]

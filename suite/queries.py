@@ -80,6 +80,26 @@ def recent_bars(spark, sf):
     return t.plain_ts(br.read_bars(spark, path, ["click", "view"], days=7))
 
 
+def _bar_table(spark, sf):
+    path = shared_path(spark, "bars")
+    name = f"bars_{path.rsplit('-', 1)[1]}"
+    br.write_bar_table(t.bars(spark, sf), name, path, buckets=8)
+    return name
+
+
+@query
+def bar_table_recent(spark, sf):
+    """Seven days back from the latest bar, out of a table by date, bucketed by symbol and day."""
+    return t.plain_ts(br.read_bar_table(spark, _bar_table(spark, sf), ["click", "view"]).drop("day"))
+
+
+@query
+def bar_table_ordinals(spark, sf):
+    """All bars of that table, numbered without an exchange of the rows."""
+    bars = br.read_bar_table(spark, _bar_table(spark, sf), days=None)
+    return t.plain_ts(number_rows(bars, cut="day", previous={"before": "close"}).select("symbol", "ts", "rn", "before"))
+
+
 @query
 def row_ordinal(spark, sf):
     return t.plain_ts(t.numbered_bars(spark, sf).select("symbol", "ts", "rn"))

@@ -10,7 +10,7 @@ from barframe.operators.blocks import row_ordinal
 from barframe.operators.memberships import add_cap_class
 from barframe.operators.skew import flag_members, join_per_key
 from barframe.plans.features import feature_table, require_series, select_features
-from barframe.sources.bars import build_bars, instrument_catalog, named_bars, read_bars
+from barframe.sources.bars import build_bars, instrument_catalog, named_bars, newest_date, open_bar_table, read_bar_table, read_bars, write_bar_table
 from barframe.sources.sinks import append_run, write_memberships, write_table
 
 
@@ -262,3 +262,29 @@ def test_a_day_of_ticks_is_no_single_sort(spark):
     binned = ticks.groupBy((F.unix_seconds("ts") / 60).cast("long")).count().agg(F.max("count")).first()[0]
     assert binned == 60
     assert "__bin" in got._jdf.queryExecution().optimizedPlan().toString() and "date_trunc" not in got._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_bar_table_is_pruned_and_numbered_in_place(spark, tmp_path):
+    bars = spark.range(20 * 1440).selectExpr(
+        "if(id % 5 < 4, 'hot', concat('s', id % 7)) as symbol", "timestamp_seconds(1704067200 + id * 60) as ts", "1.0D as open", "1.0D as high", "1.0D as low", "cast(id as double) as close", "1.0D as volume",
+    )
+    path = str(tmp_path / "bars")
+    write_bar_table(bars.where("close < 20000"), "bars_written", path, buckets=4)
+    write_bar_table(bars.where("close >= 20000"), "bars_written", path, buckets=4)
+    open_bar_table(spark, "bars_opened", path, buckets=4)
+    assert newest_date(spark, "bars_opened") == "2024-01-20"
+    seven = read_bar_table(spark, "bars_opened")
+    assert seven.count() == 7 * 1440 + 1 and read_bar_table(spark, "bars_opened", ["hot"], end="2024-01-05").count() == 4 * 4 * 1440 // 5 + 1
+    scan = seven._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(date" in scan and "PartitionFilters: []" not in scan
+    numbered = rows_numbered = row_ordinal(read_bar_table(spark, "bars_opened", days=None), cut="day", previous={"before": "close"})
+    plan = numbered._jdf.queryExecution().executedPlan().toString()
+    # what is exchanged is the table of buckets; the rows' own columns are in no exchange
+    exchanged = [line for line in plan.splitlines() if "Exchange" in line]
+    assert exchanged and len(exchanged) <= 2 and "Bucketed: true" in plan
+    after = plan.split("Exchange", 1)[1]
+    assert "partial_count" in after or "count(1)" in after
+    want = {(r["symbol"], r["ts"]): (r["rn"], r["before"]) for r in row_ordinal(bars, previous={"before": "close"}).collect()}
+    assert {(r["symbol"], r["ts"]): (r["rn"], r["before"]) for r in rows_numbered.collect()} == want
+    for name in ("bars_written", "bars_opened"):
+        spark.sql(f"drop table {name}")
