@@ -39,16 +39,19 @@ def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each near-duplicate group: the one with the smallest id, null ids last, and of equal ids
-    the first one read. Every row is a document of its own, so ids may be missing or used twice; rows
-    without a word are in no group and all stay. Only the columns of documents go on."""
-    rows = stored(docs.select(*COLUMNS).withColumn("row", F.monotonically_increasing_id()), "join-rows")
-    groups = ngramjoin.jaccard_groups(rows.select("row", "text"), doc_id="row", like=ngramjoin.Likeness(words=5, num=80, den=100))
-    several = groups.where("doc_id <> component_id").select("component_id").distinct()
-    inside = groups.join(several, "component_id", "left_semi").select(F.col("doc_id").alias("row"), "component_id")
+    the first one read. Every row is a document of its own, so ids may be missing or used twice (rows
+    then get stored tags, and the groups are of tags); rows without a word are in no group and all
+    stay. Only the columns of documents go on."""
+    like, rows = ngramjoin.Likeness(words=5, num=80, den=100), docs.select(*COLUMNS)
+    if rows.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1 or doc_id is null").isEmpty():
+        groups = ngramjoin.jaccard_groups(rows.select("doc_id", "text"), like=like)
+        return rows.join(groups.where("doc_id <> component_id").select("doc_id"), "doc_id", "left_anti").select(*COLUMNS)
+    rows = stored(rows.withColumn("row", F.monotonically_increasing_id()), "join-rows")
+    groups = ngramjoin.jaccard_groups(rows.select("row", "text"), doc_id="row", like=like)
+    members = groups.select(F.col("doc_id").alias("row"), "component_id").join(rows.select("row", "doc_id"), "row")
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")
-    first = inside.join(rows.select("row", "doc_id"), "row").groupBy("component_id").agg(F.min(place).alias("first"))
-    gone = inside.join(first.select("first.row"), "row", "left_anti")
-    return rows.join(gone.select("row"), "row", "left_anti").select(*COLUMNS)
+    first = members.groupBy("component_id").agg(F.min(place).alias("first")).select("first.row")
+    return rows.join(first, "row", "left_semi").select(*COLUMNS)
 
 
 def to_target_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
