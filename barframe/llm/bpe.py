@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from barframe.llm.arrays import LETTER, NUMBER, OTHER, SPACE, code_points, point_classes, text_chunks, with_input
+from barframe.llm.arrays import LETTER, NUMBER, OTHER, SPACE, code_points, point_classes, text_chunks, tidy, with_input
 
 CACHE_PIECES = 200_000  # merged pieces in each of the two generations of a worker's cache
 _NEVER = 1 << 62  # the rank of a pair that does not merge
@@ -219,4 +219,4 @@ def encode_texts(
                 yield pa.RecordBatch.from_arrays([*kept, *[pa.array(c, pa.binary()) for c in columns]], names=[*rest, *added])
         words.forget()
 
-    return source.mapInArrow(run, schema)
+    return source.mapInArrow(tidy(run), schema)

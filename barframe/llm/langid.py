@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from barframe.llm.arrays import code_points, lower_points, rows_of, text_chunks, with_input
+from barframe.llm.arrays import code_points, give_back, lower_points, rows_of, text_chunks, tidy, with_input
 
 BUCKET_BITS = 12
 SAMPLE_ROWS = 1000  # labelled rows that the classifiers are fitted on, over all languages
@@ -155,13 +155,16 @@ def fit_languages(
                 packed = pa.array([np.minimum(r, 65535).astype("<u2").tobytes() for r in found], pa.binary())
                 yield pa.RecordBatch.from_arrays([*[batch.column(i).slice(row, end - row) for i in (1, 2)], packed], names=["label", "draw", "counts"])
 
-    rows = sample.select("text", "label", "draw").mapInArrow(run, "label string, draw double, counts binary").toArrow()
+    rows = sample.select("text", "label", "draw").mapInArrow(tidy(run), "label string, draw double, counts binary").toArrow()
     names, draws = rows["label"].to_pylist(), rows["draw"].to_pylist()
     order = sorted(range(len(names)), key=lambda i: (names[i], draws[i]))
     matrix = np.zeros((len(names), 1 << BUCKET_BITS), dtype="<u2")
     for place, i in enumerate(order):
         matrix[place] = np.frombuffer(rows["counts"][i].as_buffer(), dtype="<u2")
-    return fit_codes(matrix, [names[i] for i in order])
+    del rows
+    model = fit_codes(matrix, [names[i] for i in order])
+    give_back()
+    return model
 
 
 def identify(df: DataFrame, model: Model, text: str = "text", pred: str = "lang_pred", score: str = "score", ambiguous: str = "ambiguous", unknown: str = "und") -> DataFrame:
@@ -190,7 +193,7 @@ def identify(df: DataFrame, model: Model, text: str = "text", pred: str = "lang_
                     [*kept, pa.array(names, pa.string()), pa.array(chance, pa.float64()), pa.array(lead < LEAD, pa.bool_())], names=[*rest, pred, score, ambiguous]
                 )
 
-    return source.mapInArrow(run, schema)
+    return source.mapInArrow(tidy(run), schema)
 
 
 def held_out(doc_id: str = "doc_id") -> Column:

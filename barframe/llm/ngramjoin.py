@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from barframe.llm.arrays import byte_sums, lower_ascii, mix, small_batches, span_hashes, text_chunks, word_spans
+from barframe.llm.arrays import byte_sums, lower_ascii, mix, small_batches, span_hashes, text_chunks, tidy, word_spans
 from barframe.llm.components import connected_components
 from barframe.session import stored
 
@@ -131,7 +131,7 @@ def frequency_sketch(docs: DataFrame, text: str, k: int) -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([level.tobytes()], pa.binary())], names=["piece", "levels"])
 
     small_batches(docs.sparkSession)
-    counted = docs.select(F.col(text).alias("text")).mapInArrow(count, "piece int, counts binary")
+    counted = docs.select(F.col(text).alias("text")).mapInArrow(tidy(count), "piece int, counts binary")
     rows = counted.groupBy("piece").applyInArrow(merge, "piece int, levels binary").collect()  # 256 rows, 4 MB
     width = (1 << COUNTER_BITS) // COUNTER_ROWS
     levels = np.zeros((COUNTER_ROWS, width), dtype=np.uint8)
@@ -181,7 +181,7 @@ def shingle_sets(docs: DataFrame, doc_id: str, text: str, like: Likeness, levels
                 )
 
     source = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
-    return source.mapInArrow(run, "doc_id long, n long, digest binary, prefix array<long>, sig binary")
+    return source.mapInArrow(tidy(run), "doc_id long, n long, digest binary, prefix array<long>, sig binary")
 
 
 def id_filter(ids: DataFrame) -> np.ndarray:
@@ -220,7 +220,7 @@ def token_sets(docs: DataFrame, like: Likeness, ids: DataFrame) -> DataFrame:
                 sets = [np.unique(hashes[a:b]).view(np.int64) for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(row, end - row), pa.array(sets, pa.list_(pa.int64()))], names=["doc_id", "tokens"])
 
-    return docs.where("doc_id is not null").select("doc_id", "text", place.alias("place")).mapInArrow(run, "doc_id long, tokens array<long>")
+    return docs.where("doc_id is not null").select("doc_id", "text", place.alias("place")).mapInArrow(tidy(run), "doc_id long, tokens array<long>")
 
 
 def wide_signatures(docs: DataFrame, like: Likeness, ids: DataFrame) -> DataFrame:
@@ -233,7 +233,7 @@ def wide_signatures(docs: DataFrame, like: Likeness, ids: DataFrame) -> DataFram
             sigs = [signature(t, wide_bits(o)) for t, o in zip(sets, octaves, strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(t) for t in sets], pa.int64()), pa.array(sigs, pa.binary())], names=["class_id", "n", "sig"])
 
-    return token_sets(docs, like, ids).mapInArrow(run, "class_id long, n long, sig binary").distinct()
+    return token_sets(docs, like, ids).mapInArrow(tidy(run), "class_id long, n long, sig binary").distinct()
 
 
 # ---- signature trees --------------------------------------------------------------------
@@ -418,7 +418,7 @@ def cell_pairs(cells: DataFrame, like: Likeness, nearest: int | None, bits: Call
             yield from process(held)
 
     placed = cells.select(*keys, "n", "class_id", "sig", "component").repartition(*keys).sortWithinPartitions(*keys, "n", "class_id")
-    return placed.mapInArrow(run, "a long, b long, octave int, token long, i int, j int")
+    return placed.mapInArrow(tidy(run), "a long, b long, octave int, token long, i int, j int")
 
 
 # ---- the join ---------------------------------------------------------------------------

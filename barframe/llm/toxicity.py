@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barframe.llm.arrays import code_points, lower_points, point_sums, rows_of, span_hashes, text_chunks, with_input
+from barframe.llm.arrays import code_points, give_back, lower_points, point_sums, rows_of, span_hashes, text_chunks, tidy, with_input
 
 SAMPLE_ROWS = 2000  # labelled documents of each class that the model is fitted on
 FEATURES = 512  # features kept, those that tell the classes apart best
@@ -189,7 +189,7 @@ def fit_severity(
                     [batch.column(1).slice(row, end - row), batch.column(2).slice(row, end - row), *packed, pa.array(words, pa.int64())], names=["key", "toxic", "features", "counts", "words"]
                 )
 
-    sample = texts.select("text", "key", "toxic").mapInArrow(run, "key long, toxic int, features binary, counts binary, words long").toArrow()
+    sample = texts.select("text", "key", "toxic").mapInArrow(tidy(run), "key long, toxic int, features binary, counts binary, words long").toArrow()
     if not sample.num_rows:
         return nothing_known(n_grades)
     order = np.argsort(sample["key"].to_numpy(), kind="stable")
@@ -201,6 +201,8 @@ def fit_severity(
     owners = np.repeat(np.arange(len(bags)), [len(b) for b in bags])
     x = amounts(count_matrix(chosen_features, np.concatenate(bags), owners, len(bags), np.concatenate(counts)), words)
     w, theta = fit_ordinal(x, severity_grades(y, x, n_grades), n_grades)
+    del sample, bags, counts, owners, x
+    give_back()
     return Model(chosen_features, w, theta)
 
 
@@ -256,4 +258,4 @@ def severity(df: DataFrame, model: Model, text: str = "text", expected: str = "s
                     [*kept, pa.array(up.sum(axis=1), pa.float64()), pa.array(each.argmax(axis=1), pa.int32()), pa.array(up[:, 0] > 0.5, pa.bool_())], names=[*rest, *added]
                 )
 
-    return source.mapInArrow(run, schema)
+    return source.mapInArrow(tidy(run), schema)
