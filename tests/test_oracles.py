@@ -9,7 +9,7 @@ from suite.oracles import ORACLES
 from suite.queries import QUERIES
 
 SF = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
-MORE_ROWS = {"trend_model_facts"}  # the guard of a training run asks for 500 complete rows
+MORE_ROWS = {"trend_model_facts", "trend_job_outbox"}  # the guard of a training run asks for 500 complete rows
 
 
 def folder(name):
