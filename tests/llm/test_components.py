@@ -2,6 +2,7 @@ import random
 
 import pytest
 
+from barframe.llm import components
 from barframe.llm.components import connected_components
 
 
@@ -33,3 +34,25 @@ def brute(links):
 def test_components(spark, links):
     got = connected_components(spark.createDataFrame(links, "a long, b long"))
     assert sorted((r["node"], r["component"]) for r in got.collect()) == brute(links)
+
+
+@pytest.mark.parametrize("links_of_hub", [1, 3, 256])
+@pytest.mark.parametrize(
+    "links",
+    [
+        [(0, i) for i in range(1, 400)] + [(1000, i) for i in range(300, 700)],  # the least and the largest id
+        [(500, i) for i in range(400)] + [(500, 900), (900, 901), (950, 951)],
+        [(r.randrange(8), r.randrange(8, 600)) for r in [random.Random(2)] for _ in range(900)],
+    ],
+)
+def test_hubs(spark, monkeypatch, links, links_of_hub):
+    monkeypatch.setattr(components, "HUB_LINKS", links_of_hub)
+    got = connected_components(spark.createDataFrame(links, "a long, b long"))
+    assert sorted((r["node"], r["component"]) for r in got.collect()) == brute(links)
+
+
+def test_hub_rows_are_not_shuffled(spark):
+    edges = spark.range(1, 5000).selectExpr("id AS u", "0L AS v").unionByName(spark.range(5000, 5010).selectExpr("id AS u", "id - 4999 AS v"))
+    moved = components._star(edges, True, 256)
+    assert {(r["u"], r["v"]) for r in moved.collect()} == {(i, 0) for i in range(1, 5000)} | {(5000 + i, 0) for i in range(10)}
+    assert "BroadcastHashJoin" in moved._jdf.queryExecution().toString()
