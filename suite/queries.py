@@ -27,7 +27,7 @@ from barframe.plans.trend import predict, results_row, score_latest, train_and_p
 from barframe.session import shared_path, stored
 from barframe.sources import bars as br
 from barframe.sources.records import all_records, extract_records, record_keys, split_document
-from barframe.sources.record_files import read_membership_records, read_snapshot_records
+from barframe.sources.record_files import join_parts, read_membership_records, read_snapshot_records
 from barframe.sources.sinks import read_runs, write_activity, write_memberships, write_outbox
 from barframe.streaming.bars import bars_to_end, stream_bars, stream_once
 from barframe.streaming.pull import land_updates, pulled_updates
@@ -477,30 +477,49 @@ def split_documents(spark, sf):
     return split_document(t.snapshot_docs(spark, sf))
 
 
-def _land_documents(records, path, opening, closing, keys):
-    """One document per value of ``keys``: ``records (key, place, raw)`` a line each, in order of their place,
-    between the opening and the closing text. A task sorts and writes lines; it never holds a document."""
-    ends = [keys.select("key", F.lit(n).alias("end"), F.lit(None).cast("struct<a: bigint, b: int>").alias("place"), F.lit(text).alias("value")) for n, text in ((0, opening + "null"), (2, closing))]
+SLICE = 64 << 20  # bytes of lines that one task sorts, about
+SLICES = 200  # so many at most: up to there a shuffle holds no rows back in its writing tasks
+LINE = 128  # bytes of a line besides its text, about
+
+
+def _land_documents(records, path, ends):
+    """One document per key of ``ends (key, opening, closing)``, one file each: ``records (key, place, raw)`` a line each, in
+    order of their place, between the opening and the closing text. Places should differ, also those of equal records.
+
+    A document may be any part of all lines, so tasks sort slices of them, whatever their keys, and the slices of a document
+    are then joined to its file piece by piece. A task never holds a document.
+    """
     lines = records.select("key", F.lit(1).alias("end"), "place", F.concat(F.lit(","), "raw").alias("value"))
-    whole = lines.unionByName(ends[0]).unionByName(ends[1])
-    whole.repartition("key").sortWithinPartitions("key", "end", "place").select("key", "value").write.partitionBy("key").mode("append").text(path)
+    first = ends.select("key", F.lit(0).alias("end"), F.concat("opening", F.lit("null")).alias("value"))
+    last = ends.select("key", F.lit(2).alias("end"), F.col("closing").alias("value"))
+    whole = lines.unionByName(first, allowMissingColumns=True).unionByName(last, allowMissingColumns=True)
+    size = whole.agg(F.sum(F.coalesce(F.octet_length("value"), F.lit(0)) + F.lit(LINE).cast("bigint"))).first()[0] or 0
+    order = ["key", "end", "place"]
+    parts = shared_path(records.sparkSession, "parts")
+    sliced = whole.repartitionByRange(min(size // SLICE + 1, SLICES), *order).sortWithinPartitions(*order)
+    sliced.select("key", "value").write.partitionBy("key").option("compression", "gzip").text(parts)
+    join_parts(records.sparkSession, parts, path)
+
+
+def _place(*cols):
+    """A place that no two rows share; only stored rows keep it."""
+    return F.struct(*[F.col(c) if isinstance(c, str) else c for c in cols], F.monotonically_increasing_id().alias("row")).alias("place")
 
 
 def _landed_snapshots(spark, sf):
     """The documents of each category as one file, as a fetch would leave them; one is cut off."""
     path = shared_path(spark, "landed")
-    records = all_records(t.snapshot_docs(spark, sf)).select("category", F.struct(F.col("o_orderkey").alias("a"), F.col("pos").alias("b")).alias("place"), "raw")
-    forms = {
-        "Volume Gainers": ('{"timestamp": "t", "data": [', "]}"),
-        "Top Losers": ('{"other": {"data": [1]}, "allSec": {"data": [', "]}}"),
-        "Bulk Deals Data": ('{"BLOCK_DEALS_DATA": [], "SHORT_DEALS_DATA": [7], "BULK_DEALS_DATA": [', "]}"),
-    }
-    for category, (opening, closing) in forms.items():
-        key = category.replace(" ", "")
-        mine = records.where(F.col("category") == category).withColumn("key", F.lit(key))
-        _land_documents(mine, path, opening, closing, spark.range(1).select(F.lit(key).alias("key")))
-    cut = records.where("category = 'Volume Gainers'").withColumn("key", F.lit("Broken"))
-    _land_documents(cut, path, '{"allSec": {"data": [', "]", spark.range(1).select(F.lit("Broken").alias("key")))
+    forms = [
+        ("Volume Gainers", "VolumeGainers", '{"timestamp": "t", "data": [', "]}"),
+        ("Top Losers", "TopLosers", '{"other": {"data": [1]}, "allSec": {"data": [', "]}}"),
+        ("Bulk Deals Data", "BulkDealsData", '{"BLOCK_DEALS_DATA": [], "SHORT_DEALS_DATA": [7], "BULK_DEALS_DATA": [', "]}"),
+        ("Volume Gainers", "Broken", '{"allSec": {"data": [', "]"),
+    ]
+    records = all_records(t.snapshot_docs(spark, sf)).where(F.col("category").isin(*{f[0] for f in forms}))
+    records = stored(records.select("category", _place("o_orderkey", "pos"), "raw"), "records")
+    keys = [F.when(F.col("category") == category, key) for category, key, _, _ in forms]
+    keyed = records.select(F.explode(F.array_compact(F.array(*keys))).alias("key"), "place", "raw")
+    _land_documents(keyed, path, spark.createDataFrame([f[1:] for f in forms], "key string, opening string, closing string"))
     return path
 
 
@@ -516,8 +535,10 @@ def landed_snapshots(spark, sf):
 def landed_constituents(spark, sf):
     """Membership records of landed files, one document per index, of the configured indices."""
     path = shared_path(spark, "landed")
-    records = constituent_records(t.constituent_docs(spark, sf)).select(F.col("index_name").alias("key"), F.struct(F.xxhash64("raw").alias("a"), F.col("pos").alias("b")).alias("place"), "raw")
-    _land_documents(records, f"{path}/t", '{"name": "x", "data": [', "]}", records.select("key").distinct())
+    records = constituent_records(t.constituent_docs(spark, sf))
+    records = stored(records.select(F.col("index_name").alias("key"), _place(F.xxhash64("raw").alias("hash"), "pos"), "raw"), "records")
+    ends = records.select("key").distinct().select("key", F.lit('{"name": "x", "data": [').alias("opening"), F.lit("]}").alias("closing"))
+    _land_documents(records, f"{path}/t", ends)
     folders = {f"{kind}{n}" for n in range(0, 25, 2) for kind in ("nifty ", "nifty midcap ")} | {"nifty none"}
     return read_membership_records(spark, f"{path}/t", sorted(folders), key="key").select("index_name", "raw")
 

@@ -1,3 +1,4 @@
+import gzip
 import json
 
 import pytest
@@ -79,6 +80,43 @@ def test_snapshots_of_a_catalog(spark, tmp_path):
         rf.read_snapshot_records(spark, catalog).collect()
 
 
+def test_tasks_land_slices_of_a_document(spark, tmp_path, monkeypatch):
+    from pyspark.sql.readwriter import DataFrameWriter
+
+    from suite import queries as q
+
+    orders = spark.range(2000).select(F.lit(7).cast("long").alias("o_orderkey"), F.col("id").alias("o_custkey"), F.lit("F").alias("o_orderstatus"), F.lit(1.5).alias("o_totalprice"), F.lit("1-URGENT").alias("o_orderpriority"))
+    orders.write.parquet(str(tmp_path / "orders.parquet"))
+    folders, text = [], DataFrameWriter.text
+    monkeypatch.setattr(DataFrameWriter, "text", lambda self, path, *more: (folders.append(path), text(self, path, *more))[1])
+    monkeypatch.setattr(q, "SLICE", 100_000, raising=False)
+    rows = q.landed_snapshots(spark, str(tmp_path)).collect()
+    lines = [r["count"] for f in set(folders) for r in spark.read.text(f"{f}/key=VolumeGainers").groupBy(F.input_file_name()).count().collect()]
+    assert sum(lines) == 4002 and max(lines) < 1000  # all places are equal but for the row
+    gained = [r["raw"] for r in sorted(rows, key=lambda r: r["pos"]) if r["category"] == "Volume Gainers"]
+    assert [r["pos"] for r in rows if r["category"] == "Volume Gainers"] == list(range(4001)) and gained[0] == "null"
+    assert sorted(gained[1:2001]) == sorted(f'{{"symbol":"C{i}","price":1.5}}' for i in range(2000))
+    assert sorted(gained[2001:]) == sorted(f'{{"symbol":"O7","qty":{i},"meta":{{"name":"1-URGENT"}}}}' for i in range(2000))
+    assert sorted(tuple(r) for r in rows if r["category"] != "Volume Gainers") == [("Bulk Deals Data", 0, "null"), ("Short Deals Data", 0, "7"), ("Top Losers", 0, "null")]
+
+
+def test_parts_are_joined_in_order_of_their_numbers(spark, tmp_path):
+    parts, path = tmp_path / "parts", tmp_path / "t"
+    for folder, files in {"index_name=A B": {"part-00002-x.txt": '{"data": [1', "part-100000-x.txt": ", 4]}", "part-99999-x.txt.gz": ", 3", "part-00010-x.txt": ", 2", ".part-00010-x.txt.crc": "crc"}, "index_name=x%3Ay+z": {"part-00000-x.txt": '{"data": []}'}, "_temporary": {"part-00000-x.txt": "{"}}.items():
+        (parts / folder).mkdir(parents=True)
+        for name, text in files.items():
+            (parts / folder / name).write_bytes(gzip.compress(text.encode()) if name.endswith(".gz") else text.encode())
+    (parts / "_SUCCESS").write_text("")
+    for _ in range(2):  # a repeated run leaves one document
+        rf.join_parts(spark, str(parts), str(path))
+    assert sorted(str(f.relative_to(path)) for f in path.rglob("*") if f.is_file()) == ["index_name=A B/document.json", "index_name=x%3Ay+z/document.json"]
+    got = rf.read_membership_records(spark, str(path), ["A B", "x:y+z"]).collect()
+    assert sorted(tuple(r) for r in got) == [("A B", i, str(i + 1)) for i in range(4)]
+    (tmp_path / "none").mkdir()
+    rf.join_parts(spark, str(tmp_path / "none"), f"file:{tmp_path}/nothing")
+    assert list((tmp_path / "nothing").iterdir()) == []
+
+
 def test_runs_are_written_once(spark, tmp_path):
     path, rows = str(tmp_path / "t"), spark.range(4)
     for run in ("007", "2024-01-01 00:00:00", "a/b=c%2F", "007"):
