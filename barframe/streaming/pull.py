@@ -1,14 +1,20 @@
 """A log of updates as a stream whose offset is the update id.
 
 ``land_updates`` keeps the log in folders by span of ids. The source gives the lowest ids above
-its offset, ``limit`` of them in a micro-batch, in ascending order, wherever files end; it reads
+its offset, ``limit`` of them in a pull, in ascending order, wherever files end; it reads
 the ids of as few spans as hold them, and the rows of exactly those ids.
+
+A micro-batch is one pull, or with ``pulls`` as many as wait, up to that number: a long log costs
+a micro-batch per ``AT_ONCE`` ids, not one per pull. Each pull still is the ``limit`` lowest ids
+above the one before it, and each row says which it came with.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from bisect import bisect_left
+from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import pyarrow.dataset as ds
@@ -22,6 +28,8 @@ from barframe.operators.commands import UPDATE_SCHEMA
 from barframe.sources.files import file_system
 
 SPAN = 4096  # update ids of a folder
+AT_ONCE = 1 << 16  # ids of a micro-batch that holds many pulls
+PULL_COLUMNS = ("pull", "after")  # the number of a pull and the id it starts after
 
 
 def land_updates(updates: DataFrame, path: str) -> None:
@@ -31,8 +39,8 @@ def land_updates(updates: DataFrame, path: str) -> None:
 
 
 class SpanPartition(InputPartition):
-    def __init__(self, folder: str, above: int, upto: int):
-        self.folder, self.above, self.upto = folder, above, upto
+    def __init__(self, folder: str, above: int, upto: int, pull: int = 0, marks: Sequence[int] = ()):
+        self.folder, self.above, self.upto, self.pull, self.marks = folder, above, upto, pull, marks
 
 
 class UpdateLogReader(DataSourceStreamReader):
@@ -53,43 +61,103 @@ class UpdateLogReader(DataSourceStreamReader):
     def initialOffset(self) -> dict:
         return {"update_id": self.after}
 
-    def latestOffset(self) -> dict:
+    def _ids(self, folder: str, wanted: pc.Expression) -> list[int]:
+        column = self._table(folder).to_table(columns=["update_id"], filter=wanted)["update_id"]
+        return sorted(pc.unique(column).to_pylist())
+
+    def _lowest(self, n: int) -> list[int]:
+        """The ``n`` lowest ids above what was handed out."""
         ids: list[int] = []
         for _, folder in self._spans():
-            column = self._table(folder).to_table(columns=["update_id"], filter=pc.field("update_id") > self.handed)["update_id"]
-            ids += sorted(pc.unique(column).to_pylist())[: self.limit - len(ids)]
-            if len(ids) == self.limit:
+            ids += self._ids(folder, pc.field("update_id") > self.handed)[: n - len(ids)]
+            if len(ids) == n:
                 break
-        return {"update_id": ids[-1] if ids else self.handed}
+        return ids
 
-    def partitions(self, start: dict, end: dict) -> list[InputPartition]:
-        above, upto = start["update_id"], end["update_id"]
+    def _planned(self, above: int, upto: int) -> list[tuple[int, str]]:
+        """The spans that may hold ids above ``above`` and up to ``upto``, which then count as handed out."""
         self.handed = above
-        wanted = [SpanPartition(folder, above, upto) for n, folder in self._spans() if n <= upto // SPAN]
+        wanted = [(n, folder) for n, folder in self._spans() if n <= upto // SPAN]
         self.handed = upto
         return wanted
 
+    def latestOffset(self) -> dict:
+        ids = self._lowest(self.limit)
+        return {"update_id": ids[-1] if ids else self.handed}
+
+    def partitions(self, start: dict, end: dict) -> list[InputPartition]:
+        above, upto = start["update_id"], end["update_id"]
+        return [SpanPartition(folder, above, upto) for _, folder in self._planned(above, upto)]
+
     def read(self, partition: SpanPartition) -> Iterator[pa.RecordBatch]:
         inside = (pc.field("update_id") > partition.above) & (pc.field("update_id") <= partition.upto)
         table = self._table(partition.folder).to_table(columns=["update_id", "message"], filter=inside)
         yield from table.sort_by("update_id").to_batches()
 
 
+class PullsReader(UpdateLogReader):
+    """Plans micro-batches of up to ``pulls`` pulls. The offset also counts the pulls; a partition knows
+    the ids (``marks``) that the pulls of its span start after, the first of them being ``pull``."""
+
+    def __init__(self, path: str, after: int = 0, limit: int = BATCH_LIMIT, pulls: int = 1):
+        super().__init__(path, after, limit)
+        self.pulls, self.counted = pulls, 0
+
+    def initialOffset(self) -> dict:
+        return {"update_id": self.after, "pulls": 0}
+
+    def latestOffset(self) -> dict:
+        ids = self._lowest(self.limit * self.pulls)
+        return {"update_id": ids[-1] if ids else self.handed, "pulls": self.counted + (len(ids) + self.limit - 1) // self.limit}
+
+    def partitions(self, start: dict, end: dict) -> list[InputPartition]:
+        above, upto = start["update_id"], end["update_id"]
+        spans, ends, seen = self._planned(above, upto), [], 0
+        for _, folder in spans:
+            ids = self._ids(folder, (pc.field("update_id") > above) & (pc.field("update_id") <= upto))
+            ends += ids[(-seen - 1) % self.limit :: self.limit]
+            seen += len(ids)
+        ends = [*ends[: end["pulls"] - start["pulls"] - 1], upto]  # ids that came since belong to the pulls as planned
+        marks, wanted = [above, *ends], []
+        for n, folder in spans:
+            first, last = (bisect_left(ends, i) for i in (max(n * SPAN, above + 1), min(n * SPAN + SPAN - 1, upto)))
+            wanted.append(SpanPartition(folder, above, upto, start["pulls"] + first, marks[first : last + 1]))
+        self.counted = end["pulls"]
+        return wanted
+
+    def read(self, partition: SpanPartition) -> Iterator[pa.RecordBatch]:
+        marks = np.array(partition.marks, "int64")
+        for batch in super().read(partition):
+            at = np.searchsorted(marks, batch.column("update_id").to_numpy()) - 1
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(partition.pull + at), pa.array(marks[at])], names=[*batch.schema.names, *PULL_COLUMNS])
+
+
 class UpdateLog(DataSource):
-    """``spark.readStream.format("update_log")`` with the options ``path``, ``after`` and ``limit``."""
+    """``spark.readStream.format("update_log")`` with the options ``path``, ``after``, ``limit`` and ``pulls``."""
 
     @classmethod
     def name(cls) -> str:
         return "update_log"
 
     def schema(self) -> str:
-        return UPDATE_SCHEMA
+        return ", ".join([UPDATE_SCHEMA, *[f"{c} bigint" for c in PULL_COLUMNS if "pulls" in self.options]])
 
     def streamReader(self, schema) -> UpdateLogReader:
-        return UpdateLogReader(self.options["path"], int(self.options.get("after", 0)), int(self.options.get("limit", BATCH_LIMIT)))
+        path, after, limit = self.options["path"], int(self.options.get("after", 0)), int(self.options.get("limit", BATCH_LIMIT))
+        return PullsReader(path, after, limit, int(self.options["pulls"])) if "pulls" in self.options else UpdateLogReader(path, after, limit)
+
+
+def pulls_at_once(limit: int = BATCH_LIMIT) -> int:
+    """How many pulls of ``limit`` ids a micro-batch holds where it may hold many."""
+    return max(AT_ONCE // limit, 1)
+
 
+def pulled_updates(spark: SparkSession, path: str, after: int = 0, limit: int = BATCH_LIMIT, pulls: int | None = None) -> DataFrame:
+    """The updates above ``after`` as a stream, the ``limit`` lowest ids in each pull.
 
-def pulled_updates(spark: SparkSession, path: str, after: int = 0, limit: int = BATCH_LIMIT) -> DataFrame:
-    """The updates above ``after`` as a stream, the ``limit`` lowest ids in each micro-batch."""
+    A micro-batch is one pull. With ``pulls`` it holds as many as wait, up to that number, and rows say
+    their ``pull``, counted from 0 on, and the id it starts ``after``.
+    """
     spark.dataSource.register(UpdateLog)
-    return spark.readStream.format("update_log").option("path", path).option("after", after).option("limit", limit).load()
+    stream = spark.readStream.format("update_log").option("path", path).option("after", after).option("limit", limit)
+    return (stream if pulls is None else stream.option("pulls", pulls)).load()

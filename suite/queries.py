@@ -30,7 +30,7 @@ from barframe.sources.records import all_records, extract_records, record_keys,
 from barframe.sources.record_files import join_parts, read_membership_records, read_snapshot_records
 from barframe.sources.sinks import read_runs, write_activity, write_memberships, write_outbox
 from barframe.streaming.bars import bars_to_end, stream_bars, stream_once
-from barframe.streaming.pull import land_updates, pulled_updates
+from barframe.streaming.pull import land_updates, pulled_updates, pulls_at_once
 from barframe.streaming.updates import Registry, UpdateJob, read_outbox, read_processed, read_updates, updates_stream
 from suite import tables as t
 
@@ -909,8 +909,8 @@ def _supplier_log(spark, sf):
 def pulled_updates_by_ten(spark, sf):
     """Which pull gives which update: the ten lowest waiting ids, again and again."""
     path = shared_path(spark, "pulled")
-    stream = pulled_updates(spark, _supplier_log(spark, sf))
-    take = lambda batch, n: batch.select("update_id", F.lit(n).cast("bigint").alias("pull")).write.mode("overwrite").parquet(f"{path}/t/n={n}")
+    stream = pulled_updates(spark, _supplier_log(spark, sf), pulls=pulls_at_once())
+    take = lambda batch, n: batch.select("update_id", "pull").write.mode("overwrite").parquet(f"{path}/t/n={n}")
     pull = stream.writeStream.foreachBatch(take).option("checkpointLocation", f"{path}/checkpoint").start()
     try:
         pull.processAllAvailable()

@@ -8,8 +8,9 @@ from barframe.operators import commands as cm
 from barframe.sources.bars import build_bars
 from barframe.streaming.bars import AT_END, bars_to_end, read_bars_to_end, run_to_end, run_to_table, stream_bars
 from barframe.streaming.progress import Progress
-from barframe.streaming.pull import SPAN, UpdateLogReader, land_updates, pulled_updates
+from barframe.streaming.pull import SPAN, PullsReader, UpdateLogReader, land_updates, pulled_updates
 from barframe.streaming.updates import Registry, UpdateJob, new_updates, read_outbox, read_processed, read_updates, updates_stream, with_previous_id
+from suite.queries import QUERIES
 
 IDS = [1, 2]
 
@@ -219,6 +220,58 @@ def test_pulls_take_the_lowest_ids(spark, tmp_path):
     assert len(reader.partitions({"update_id": SPAN}, {"update_id": 3 * SPAN})) == 2
 
 
+def numbered(ids, limit, above=0, pull=0):
+    """``(update_id, pull, after)`` of sorted ids in pulls of ``limit``."""
+    return [(i, pull + n // limit, ids[n // limit * limit - 1] if n >= limit else above) for n, i in enumerate(ids)]
+
+
+def test_a_micro_batch_holds_many_pulls(spark, tmp_path):
+    log = str(tmp_path / "log")
+    ids = [1, 2, 5, SPAN - 1, SPAN, SPAN + 1, 3 * SPAN, 3 * SPAN + 7, *range(10 * SPAN - 9, 10 * SPAN + 12, 2), 40 * SPAN]
+    for part in (ids[::2], ids[1::2], ids[:3]):  # some ids are there twice
+        land_updates(log_rows(spark, part), log)
+    stream, seen = pulled_updates(spark, log, limit=3, pulls=4), []
+    take = lambda batch, n: seen.append((n, sorted({(r["update_id"], r["pull"], r["after"]) for r in batch.collect()}), batch.count()))
+    query = stream.writeStream.foreachBatch(take).option("checkpointLocation", str(tmp_path / "cp")).start()
+    query.processAllAvailable()
+    want = numbered(ids, 3)  # 20 ids: the last pull has two
+    assert [(n, rows) for n, rows, _ in seen] == [(0, want[:12]), (1, want[12:])] and [n for *_, n in seen] == [15, 8]
+    later = [40 * SPAN + 1, 40 * SPAN + 2, 41 * SPAN, 41 * SPAN + 1]
+    land_updates(log_rows(spark, [4, *later]), log)  # 4 is below what was pulled
+    query.processAllAvailable()
+    query.stop()
+    assert seen[2][:2] == (2, numbered(later, 3, 40 * SPAN, 7)) and len(seen) == 3
+
+
+def test_ids_that_come_between_do_not_add_pulls(spark, tmp_path):
+    log = str(tmp_path / "log")
+    land_updates(log_rows(spark, [10, 20, 30, 40, SPAN + 50, SPAN + 60, SPAN + 70]), log)
+    reader = PullsReader(log, limit=2, pulls=3)
+    start, end = reader.initialOffset(), reader.latestOffset()
+    assert (start, end) == ({"update_id": 0, "pulls": 0}, {"update_id": SPAN + 60, "pulls": 3})
+    land_updates(log_rows(spark, [31, 32, 33]), log)
+    plan = reader.partitions(start, end)
+    land_updates(log_rows(spark, [5, SPAN + 1]), log)
+    rows = [tuple(r[c] for c in ("update_id", "pull", "after")) for p in plan for b in reader.read(p) for r in b.to_pylist()]
+    assert rows == [(5, 0, 0), (10, 0, 0), (20, 0, 0), (30, 1, 20), (31, 1, 20), *[(i, 2, 31) for i in (32, 33, 40, SPAN + 1, SPAN + 50, SPAN + 60)]]
+    assert reader.latestOffset() == {"update_id": SPAN + 70, "pulls": 4}
+
+
+def suppliers(spark, tmp_path, n):
+    keys = [i * 7 % 1009 for i in range(n)]  # in no order, with gaps
+    rows = spark.createDataFrame([(k, f"S{k}", k % 25) for k in keys], "s_suppkey bigint, s_name string, s_nationkey int")
+    rows.write.parquet(str(tmp_path / "sf/supplier.parquet"))
+    return str(tmp_path / "sf"), [k * 3 + 3 for k in sorted(keys)]
+
+
+def test_pulls_by_ten_share_micro_batches(spark, tmp_path, monkeypatch):
+    sf, ids = suppliers(spark, tmp_path, 95)
+    monkeypatch.setattr("suite.queries.shared_path", lambda _, name: str(tmp_path / name))
+    got = sorted(tuple(r) for r in QUERIES["pulled_updates_by_ten"](spark, sf).collect())
+    assert got == [(i, n // 10) for n, i in enumerate(ids)]
+    assert len(list((tmp_path / "pulled/t").glob("n=*"))) == 1  # ten pulls
+
+
 def test_pull_goes_on_from_its_progress(spark, tmp_path):
     log, out = str(tmp_path / "log"), str(tmp_path / "out")
     land_updates(log_rows(spark, range(3, 60, 3)), log)
