@@ -7,8 +7,8 @@ retry neither loses nor doubles a reply, and a run with a new checkpoint leaves
 alone. A micro-batch is written once and counted in that pass; its branches read that copy.
 
 ``run`` takes landed files, whose progress is in the streaming checkpoint. ``pull`` takes a log
-by update id, some ids a time; its micro-batches are named by the id they start after, and a new
-start goes on from the durable progress alone.
+by update id, some ids a time; its micro-batches hold as many pulls as wait, within bounds, and are
+named by the id they start after. A new start goes on from the durable progress alone.
 """
 
 from __future__ import annotations
@@ -41,7 +41,7 @@ from barframe.operators.commands import (
 )
 from barframe.session import cut_lineage, shared_path
 from barframe.streaming.progress import Progress
-from barframe.streaming.pull import pulled_updates
+from barframe.streaming.pull import PULL_COLUMNS, pulled_updates, pulls_at_once
 
 Handler = Callable[[DataFrame], DataFrame]  # commands -> (update_id, chat_id, reply)
 Function = Callable[[int, list[str]], str | None]  # (chat id, args) -> reply
@@ -104,7 +104,7 @@ def new_updates(updates: DataFrame, high_water: int) -> DataFrame:
 
     Of rows with one id and different content the first by its JSON text counts.
     """
-    content = F.to_json(F.struct(*[c for c in updates.columns if c != "update_id"]))
+    content = F.to_json(F.struct(*[c for c in updates.columns if c not in ("update_id", *PULL_COLUMNS)]))
     first = Window.partitionBy("update_id").orderBy(content)
     fresh = updates.where(F.col("update_id") > high_water).withColumn("__rank", F.row_number().over(first)).where("__rank = 1").drop("__rank")
     return fresh.unionByName(updates.where(F.col("update_id").isNull()))
@@ -198,7 +198,7 @@ def function_replies(commands: DataFrame, functions: dict[str, Function]) -> Dat
 class UpdateJob:
     """Handles the command log from ``source`` (a stream of updates) into tables under ``root``:
     ``outbox``, ``unauthorized``, ``dead_letters``, ``handled`` (what functions gave), ``processed`` (one
-    row per micro-batch) and ``state``. ``run`` names the folders of this log's checkpoint; ``now`` is
+    row per micro-batch, or per pull of it) and ``state``. ``run`` names the folders of this log's checkpoint; ``now`` is
     the time the state notes, by default the clock's."""
 
     def __init__(
@@ -218,15 +218,18 @@ class UpdateJob:
         )
         query.awaitTermination()
 
-    def pull(self, spark: SparkSession, log: str, limit: int = BATCH_LIMIT) -> None:
+    def pull(self, spark: SparkSession, log: str, limit: int = BATCH_LIMIT, pulls: int | None = None) -> None:
         """Handle the landed log of ``land_updates`` from the noted progress on, ``limit`` ids a time,
         until none waits, then stop.
 
-        A micro-batch is named by the highest id before it, so one that failed is written again
-        in place by the next start.
+        A micro-batch handles the pulls that wait together, ``pulls`` of them at most; progress is noted
+        after it and ``processed`` has a row for each. Handlers of whole tables get one pull a time, so
+        with them a micro-batch is one pull. A micro-batch is named by the highest id before it, so one
+        that failed is written again in place by the next start.
         """
         progress = Progress(spark, f"{self.root}/state", self.run_name)
-        source = pulled_updates(spark, log, progress.before()[0], limit)
+        pulls = 1 if self.registry.custom else pulls or pulls_at_once(limit)
+        source = pulled_updates(spark, log, progress.before()[0], limit, pulls)
         query = (
             source.writeStream.foreachBatch(lambda batch, _: self.handle(batch, progress.before()[0]))
             .option("checkpointLocation", shared_path(spark, "pull"))
@@ -256,8 +259,11 @@ class UpdateJob:
         for name, handler in self.registry.custom.items():
             self._handle_custom(commands.where(F.col("command") == name), name, handler, batch_id)
         now = str(self.now or datetime.now(timezone.utc).isoformat())
-        row = spark.createDataFrame([(processed, top, now)], "processed bigint, last_update_id bigint, last_save string")
-        self._write(row.coalesce(1), "processed", batch_id)
+        if "after" in updates.columns and processed:
+            taken = updates.groupBy("after").agg(F.count(F.lit(1)).alias("processed"), F.max("update_id").alias("last_update_id"), F.lit(now).alias("last_save"))
+        else:
+            taken = spark.createDataFrame([(processed, top, now)], "processed bigint, last_update_id bigint, last_save string")
+        self._write(taken.coalesce(1), "processed", batch_id)
         progress.note(batch_id, top, processed, total + processed, slot, now)
 
     def _staged(self, updates: DataFrame) -> DataFrame:
@@ -304,6 +310,8 @@ def read_outbox(spark: SparkSession, root: str) -> DataFrame:
 
 
 def read_processed(spark: SparkSession, root: str) -> DataFrame:
-    """``(run, batch_id, processed, last_update_id, last_save)``: the updates each micro-batch took."""
-    rows = spark.read.parquet(f"{root}/processed")
-    return rows.select(F.col("run").cast("string").alias("run"), F.col("batch_id").cast("bigint").alias("batch_id"), "processed", "last_update_id", "last_save")
+    """``(run, batch_id, processed, last_update_id, last_save)``: the updates each micro-batch took, or each pull,
+    whose ``batch_id`` is the id it starts after."""
+    rows = spark.read.schema("after bigint, processed bigint, last_update_id bigint, last_save string").parquet(f"{root}/processed")
+    batch_id = F.coalesce("after", F.col("batch_id").cast("bigint")).alias("batch_id")
+    return rows.select(F.col("run").cast("string").alias("run"), batch_id, "processed", "last_update_id", "last_save")

@@ -296,6 +296,53 @@ def test_pull_goes_on_from_its_progress(spark, tmp_path):
     assert [i for i, _, _ in replies(spark, tmp_path)].count(63) == 1
 
 
+def test_pulls_are_handled_together(spark, tmp_path):
+    log, out, ids = str(tmp_path / "log"), str(tmp_path / "out"), [n * 911 + 4 for n in range(50)]
+    for part in (ids, ids[::7]):  # some ids are there twice
+        land_updates(log_rows(spark, part), log)
+    UpdateJob(None, out, IDS, now="2024-01-01").pull(spark, log, limit=4, pulls=5)
+    starts = [0, *ids[3::4]]
+    want = [(start, len(took), took[-1]) for start, took in zip(starts, [ids[n : n + 4] for n in range(0, 50, 4)], strict=True)]
+    taken = read_processed(spark, out)
+    assert sorted((r["batch_id"], r["processed"], r["last_update_id"]) for r in taken.collect()) == want
+    assert taken.dtypes == [("run", "string"), ("batch_id", "bigint"), ("processed", "bigint"), ("last_update_id", "bigint"), ("last_save", "string")]
+    folders = {int(f.name.removeprefix("batch_id=")) for f in (tmp_path / "out/processed/run=0").glob("batch_id=*")}
+    assert folders == {0, ids[19], ids[39]}  # 13 pulls
+    assert Progress(spark, f"{out}/state", "0").before()[:2] == (ids[-1], 50)
+    got = replies(spark, tmp_path)
+    assert [i for i, *_ in got] == ids and all(f"Last Update ID: {before}\n" in text for (*_, text), before in zip(got, [0, *ids], strict=False))
+
+
+def test_a_message_counts_before_none_whatever_pull(spark, tmp_path):
+    log, out = str(tmp_path / "log"), str(tmp_path / "out")
+    for message in (None, ((1, "n", None), "/ping")):
+        land_updates(spark.createDataFrame([(7, message)], cm.UPDATE_SCHEMA), log)
+    UpdateJob(None, out, IDS, now="2024-01-01").pull(spark, log)
+    assert replies(spark, tmp_path) == [(7, 1, cm.PING_TEXT)]
+
+
+def test_handlers_of_tables_get_one_pull(spark, tmp_path):
+    log, out, sizes = str(tmp_path / "log"), str(tmp_path / "out"), []
+    land_updates(log_rows(spark, range(5, 75, 5)), log)
+
+    def count(commands):
+        sizes.append(commands.count())
+        return commands.select("update_id", "chat_id", F.lit(f"one of {sizes[-1]}").alias("reply"))
+
+    registry = Registry()
+    registry.register_command("status", count)
+    UpdateJob(None, out, IDS, registry, now="2024-01-01").pull(spark, log, limit=6)
+    assert sizes == [6, 6, 2] and [text for *_, text in replies(spark, tmp_path)] == ["one of 6"] * 12 + ["one of 2"] * 2
+
+
+def test_the_rows_of_processed_updates_share_a_micro_batch(spark, tmp_path, monkeypatch):
+    sf, ids = suppliers(spark, tmp_path, 95)
+    monkeypatch.setattr("suite.queries.shared_path", lambda _, name: str(tmp_path / name))
+    got = sorted(tuple(r) for r in QUERIES["processed_updates"](spark, sf).collect())
+    assert got == [(0, 40, ids[39], "2024-01-31"), (ids[39], 40, ids[79], "2024-01-31"), (ids[79], 15, ids[94], "2024-01-31")]
+    assert [f.name for f in (tmp_path / "updates/processed/run=0").glob("batch_id=*")] == ["batch_id=0"]
+
+
 TICKS = "symbol string, event_id bigint, ts timestamp, price double"
 
 
