@@ -11,8 +11,8 @@ above the one before it, and each row says which it came with.
 
 from __future__ import annotations
 
-from bisect import bisect_left
-from collections.abc import Iterator, Sequence
+from bisect import bisect_left, bisect_right
+from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -96,18 +96,22 @@ class UpdateLogReader(DataSourceStreamReader):
 
 
 class PullsReader(UpdateLogReader):
-    """Plans micro-batches of up to ``pulls`` pulls. The offset also counts the pulls; a partition knows
-    the ids (``marks``) that the pulls of its span start after, the first of them being ``pull``."""
+    """Plans micro-batches of up to ``pulls`` pulls; ``stops``, ascending ids, also end one. The offset also
+    counts the pulls; a partition knows the ids (``marks``) that the pulls of its span start after, the
+    first of them being ``pull``."""
 
-    def __init__(self, path: str, after: int = 0, limit: int = BATCH_LIMIT, pulls: int = 1):
+    def __init__(self, path: str, after: int = 0, limit: int = BATCH_LIMIT, pulls: int = 1, stops: Sequence[int] = ()):
         super().__init__(path, after, limit)
-        self.pulls, self.counted = pulls, 0
+        self.pulls, self.stops, self.counted = pulls, stops, 0
 
     def initialOffset(self) -> dict:
         return {"update_id": self.after, "pulls": 0}
 
     def latestOffset(self) -> dict:
         ids = self._lowest(self.limit * self.pulls)
+        coming = bisect_left(self.stops, ids[0]) if ids else len(self.stops)
+        if coming < len(self.stops):
+            ids = ids[: bisect_right(ids, self.stops[coming])]
         return {"update_id": ids[-1] if ids else self.handed, "pulls": self.counted + (len(ids) + self.limit - 1) // self.limit}
 
     def partitions(self, start: dict, end: dict) -> list[InputPartition]:
@@ -133,7 +137,7 @@ class PullsReader(UpdateLogReader):
 
 
 class UpdateLog(DataSource):
-    """``spark.readStream.format("update_log")`` with the options ``path``, ``after``, ``limit`` and ``pulls``."""
+    """``spark.readStream.format("update_log")`` with the options ``path``, ``after``, ``limit``, ``pulls`` and ``stops``."""
 
     @classmethod
     def name(cls) -> str:
@@ -144,7 +148,9 @@ class UpdateLog(DataSource):
 
     def streamReader(self, schema) -> UpdateLogReader:
         path, after, limit = self.options["path"], int(self.options.get("after", 0)), int(self.options.get("limit", BATCH_LIMIT))
-        return PullsReader(path, after, limit, int(self.options["pulls"])) if "pulls" in self.options else UpdateLogReader(path, after, limit)
+        if "pulls" not in self.options:
+            return UpdateLogReader(path, after, limit)
+        return PullsReader(path, after, limit, int(self.options["pulls"]), [int(i) for i in self.options.get("stops", "").split()])
 
 
 def pulls_at_once(limit: int = BATCH_LIMIT) -> int:
@@ -152,12 +158,16 @@ def pulls_at_once(limit: int = BATCH_LIMIT) -> int:
     return max(AT_ONCE // limit, 1)
 
 
-def pulled_updates(spark: SparkSession, path: str, after: int = 0, limit: int = BATCH_LIMIT, pulls: int | None = None) -> DataFrame:
+def pulled_updates(
+    spark: SparkSession, path: str, after: int = 0, limit: int = BATCH_LIMIT, pulls: int | None = None, stops: Iterable[int] = ()
+) -> DataFrame:
     """The updates above ``after`` as a stream, the ``limit`` lowest ids in each pull.
 
-    A micro-batch is one pull. With ``pulls`` it holds as many as wait, up to that number, and rows say
-    their ``pull``, counted from 0 on, and the id it starts ``after``.
+    A micro-batch is one pull. With ``pulls`` it holds as many as wait, up to that number, none that goes
+    over one of the ids ``stops``, and rows say their ``pull``, counted from 0 on, and the id it starts ``after``.
     """
     spark.dataSource.register(UpdateLog)
     stream = spark.readStream.format("update_log").option("path", path).option("after", after).option("limit", limit)
-    return (stream if pulls is None else stream.option("pulls", pulls)).load()
+    if pulls is not None:
+        stream = stream.option("pulls", pulls).option("stops", " ".join(map(str, sorted(stops))))
+    return stream.load()

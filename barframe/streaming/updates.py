@@ -18,6 +18,7 @@ from functools import reduce
 from datetime import datetime, timezone
 
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -225,11 +226,12 @@ class UpdateJob:
         A micro-batch handles the pulls that wait together, ``pulls`` of them at most; progress is noted
         after it and ``processed`` has a row for each. Handlers of whole tables get one pull a time, so
         with them a micro-batch is one pull. A micro-batch is named by the highest id before it, so one
-        that failed is written again in place by the next start.
+        that failed is written again in place by the next start. Where progress was lost, those that
+        were written since are planned from the same ids on, and replaced too.
         """
         progress = Progress(spark, f"{self.root}/state", self.run_name)
         pulls = 1 if self.registry.custom else pulls or pulls_at_once(limit)
-        source = pulled_updates(spark, log, progress.before()[0], limit, pulls)
+        source = pulled_updates(spark, log, progress.before()[0], limit, pulls, self._begun(spark))
         query = (
             source.writeStream.foreachBatch(lambda batch, _: self.handle(batch, progress.before()[0]))
             .option("checkpointLocation", shared_path(spark, "pull"))
@@ -240,6 +242,16 @@ class UpdateJob:
         finally:
             query.stop()
 
+    def _begun(self, spark: SparkSession) -> set[int]:
+        """The micro-batches of this run that wrote something, noted or not."""
+        try:
+            files = spark.read.schema("update_id bigint").parquet(f"{self.root}/unauthorized/run={self.run_name}").inputFiles()
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return set()
+        return {int(file.split("/")[-2].removeprefix("batch_id=")) for file in files}
+
     def handle(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         progress = Progress(spark, f"{self.root}/state", self.run_name)

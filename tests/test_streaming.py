@@ -10,6 +10,7 @@ from barframe.streaming.bars import AT_END, bars_to_end, read_bars_to_end, run_t
 from barframe.streaming.progress import Progress
 from barframe.streaming.pull import SPAN, PullsReader, UpdateLogReader, land_updates, pulled_updates
 from barframe.streaming.updates import Registry, UpdateJob, new_updates, read_outbox, read_processed, read_updates, updates_stream, with_previous_id
+from suite import tables as t
 from suite.queries import QUERIES
 
 IDS = [1, 2]
@@ -343,6 +344,61 @@ def test_the_rows_of_processed_updates_share_a_micro_batch(spark, tmp_path, monk
     assert [f.name for f in (tmp_path / "updates/processed/run=0").glob("batch_id=*")] == ["batch_id=0"]
 
 
+def test_replies_are_replaced_where_progress_was_lost(spark, tmp_path):
+    """In steps, then from 0 again with all ids there: no micro-batch goes over the start of an earlier one."""
+    log, out = str(tmp_path / "log"), str(tmp_path / "out")
+    steps = [range(3, 60, 3), range(60, 90, 3), [90]]
+    for step in steps:
+        land_updates(log_rows(spark, step), log)
+        UpdateJob(None, out, IDS, now="2024-01-01").pull(spark, log, limit=8)
+    took = lambda: sorted((r["batch_id"], r["processed"], r["last_update_id"]) for r in read_processed(spark, out).collect())
+    first, answered = took(), replies(spark, tmp_path)
+    assert first == [(0, 8, 24), (24, 8, 48), (48, 3, 57), (57, 8, 81), (81, 2, 87), (87, 1, 90)]
+    assert [i for i, *_ in answered] == list(range(3, 93, 3))
+    for file in (tmp_path / "out/state").rglob("*.parquet"):
+        file.write_bytes(b"damaged")
+    land_updates(log_rows(spark, [93]), log)
+    UpdateJob(None, out, IDS, now="2024-01-01").pull(spark, log, limit=8)
+    assert took() == [*first[:-1], (87, 2, 93)]
+    assert replies(spark, tmp_path)[:-1] == answered and len(replies(spark, tmp_path)) == 31
+
+
+def test_a_failed_micro_batch_of_many_pulls_is_replaced(spark, tmp_path):
+    log, out, calls = str(tmp_path / "log"), str(tmp_path / "out"), spark.sparkContext.accumulator(0)
+    land_updates(log_rows(spark, range(5, 205, 5), "/again"), log)
+
+    def again(chat, args):
+        calls.add(1)
+        return f"chat {chat}"
+
+    registry = Registry()
+    registry.register_function("again", again)
+    real, Progress.note = Progress.note, lambda *a: 1 / 0
+    try:
+        with pytest.raises(Exception):  # noqa: B017
+            UpdateJob(None, out, IDS, registry, now="2024-01-01").pull(spark, log, limit=4)
+    finally:
+        Progress.note = real
+    land_updates(log_rows(spark, [205], "/again"), log)
+    UpdateJob(None, out, IDS, registry, now="2024-01-01").pull(spark, log, limit=4)
+    assert replies(spark, tmp_path) == [(i, 1, "chat 1") for i in range(5, 210, 5)]
+    assert sum(r["processed"] for r in read_processed(spark, out).collect()) == 41 and calls.value == 81
+
+
+def test_the_replies_of_pulls_share_a_micro_batch(spark, tmp_path, monkeypatch):
+    sf, ids = suppliers(spark, tmp_path, 95)
+    monkeypatch.setattr("suite.queries.shared_path", lambda _, name: str(tmp_path / name))
+    got = sorted(tuple(r) for r in QUERIES["pulled_replies"](spark, sf).collect())
+    asked = [i for i in ids if (i // 3 - 1) % 25 in t.CHAT_IDS]
+    assert [(i, part) for i, _, part, _ in got] == [(i, 0) for i in asked]
+    for i, chat, _, text in got:
+        key = i // 3 - 1
+        assert chat == key % 25
+        before = max((j for j in ids if j < i), default=0)
+        assert (f"Last Update ID: {before}\n" in text, text == cm.PING_TEXT, text == f"{cm.UNKNOWN_TEXT}foo") == (key % 3 == 0, key % 3 == 1, key % 3 == 2)
+    assert [f.name for f in (tmp_path / "updates/outbox/run=0").glob("batch_id=*")] == ["batch_id=0"]
+
+
 TICKS = "symbol string, event_id bigint, ts timestamp, price double"
 
 
